@@ -7,6 +7,9 @@ from ..schemas import FEATURE_TEXTS
 
 FEATURES = "features"
 
+# Slots per block of grams; raise it for large vocabularies.
+NUM_FEATURES = 1 << 10
+
 
 def featurized(column: str) -> str:
     return f"{column}Featurized"
@@ -21,7 +24,7 @@ def gram_columns(column: str) -> dict[str, str]:
     }
 
 
-def text_featurizer(columns=FEATURE_TEXTS, num_features: int = 1 << 12,
+def text_featurizer(columns=FEATURE_TEXTS, num_features: int = NUM_FEATURES,
                     features: str = FEATURES) -> PipelineModel:
     """Word and trigram counts per column, each scaled to length one, in one vector.
 

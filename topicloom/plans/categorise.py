@@ -6,13 +6,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from ..operators import clustering
-from ..operators.features import text_featurizer
+from ..operators.features import NUM_FEATURES, text_featurizer
 from ..schemas import ATTRIBUTES, CATEGORIZED
 from ..session import materialize
 
-# Partitions of the training rows; fixed, so that a run can be repeated.
-TRAIN_PARTITIONS = 8
-
 
 @dataclass
 class Categorised:
@@ -23,17 +20,22 @@ class Categorised:
     sweep: clustering.Sweep
 
 
-def text_features(rows: DataFrame, partitions: int = TRAIN_PARTITIONS,
-                  num_features: int = 1 << 12):
-    """Featuriser and the featurised rows, stored once for all fits."""
+def text_features(rows: DataFrame, partitions: int | None = None,
+                  num_features: int = NUM_FEATURES):
+    """Featuriser and the featurised rows, stored once for all fits.
+
+    The rows are laid out in ``partitions`` parts, the shuffle partitions of the
+    session unless given, so that a run can be repeated.
+    """
     featurizer = text_featurizer(num_features=num_features)
+    partitions = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid_out = clustering.spread_rows(rows, partitions, [*ATTRIBUTES, "Top20Words"])
     return featurizer, materialize(featurizer.transform(laid_out), "features")
 
 
 def categorise(rows: DataFrame, ks=range(clustering.LOW_K, clustering.HIGH_K + 1),
-               metric="distance", partitions: int = TRAIN_PARTITIONS,
-               num_features: int = 1 << 12, max_iter: int = 20) -> Categorised:
+               metric="distance", partitions: int | None = None,
+               num_features: int = NUM_FEATURES, max_iter: int = 20) -> Categorised:
     """Featurise once, sweep k, and label the rows with the best model."""
     featurizer, features = text_features(rows, partitions, num_features)
     found = clustering.sweep(features, ks, metric=metric, max_iter=max_iter)

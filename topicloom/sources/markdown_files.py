@@ -79,21 +79,35 @@ def with_file_key(files: DataFrame, root: str) -> DataFrame:
     return files.withColumn("File", file_key(relative_path("path", root)))
 
 
-def _open(uri: str):
-    return fs.FileSystem.from_uri(uri if "://" in uri else _without_scheme(uri))
+def _reader(suffix):
+    """Functions that list and read below an address.
 
+    They are made here, and not at module level, so that they travel to the
+    tasks by value and the package need not be installed there.
+    """
+
+    def open_system(uri):
+        plain = uri if "://" in uri else uri.removeprefix("file:")
+        return fs.FileSystem.from_uri(plain)
+
+    def walk(uri, recursive):
+        """Files and folders below ``uri``, without folders starting with a dot."""
+        system, base = open_system(uri)
+        for info in system.get_file_info(fs.FileSelector(base, recursive=recursive)):
+            below = info.path[len(base):].strip("/").split("/")
+            is_dir = info.type == fs.FileType.Directory
+            folders = below if is_dir else below[:-1]
+            if any(name.startswith(".") for name in folders):
+                continue
+            if is_dir or below[-1].endswith(suffix):
+                yield "/".join([uri, *below]), is_dir
+
+    def read(uri):
+        system, name = open_system(uri)
+        with system.open_input_stream(name) as stream:
+            return stream.read().decode("utf-8", errors="replace")
 
-def _walk(uri: str, suffix: str, recursive: bool):
-    """Files and folders below ``uri``; folders starting with a dot are left out."""
-    system, base = _open(uri)
-    for info in system.get_file_info(fs.FileSelector(base, recursive=recursive)):
-        below = info.path[len(base):].strip("/").split("/")
-        is_dir = info.type == fs.FileType.Directory
-        folders = below if is_dir else below[:-1]
-        if any(name.startswith(".") for name in folders):
-            continue
-        if is_dir or below[-1].endswith(suffix):
-            yield "/".join([uri, *below]), is_dir
+    return walk, read
 
 
 def _scan_all(spark, root, suffix):
@@ -102,23 +116,21 @@ def _scan_all(spark, root, suffix):
     Paths are shuffled between the two, so a folder with most of the files is
     read by all tasks.
     """
-    top = list(_walk(root, suffix, recursive=False))
+    walk, read = _reader(suffix)
     slots = spark.sparkContext.defaultParallelism
+    top = list(walk(root, recursive=False))
     start = spark.createDataFrame(top, "path string, is_dir boolean").repartition(slots)
 
     def list_files(batches):
         for batch in batches:
             for path, is_dir in zip(batch["path"], batch["is_dir"]):
-                found = _walk(path, suffix, recursive=True) if is_dir else [(path, False)]
+                found = walk(path, recursive=True) if is_dir else [(path, False)]
                 yield pd.DataFrame({"path": [p for p, folder in found if not folder]}, dtype=str)
 
     def read_files(batches):
         for batch in batches:
             for path in batch["path"]:
-                system, name = _open(path)
-                with system.open_input_stream(name) as stream:
-                    text = stream.read().decode("utf-8", errors="replace")
-                yield pd.DataFrame({"path": [path], "content": [text]})
+                yield pd.DataFrame({"path": [path], "content": [read(path)]})
 
     listed = start.mapInPandas(list_files, "path string")
     parts = max(slots, int(spark.conf.get("spark.sql.shuffle.partitions")))
