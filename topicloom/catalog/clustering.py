@@ -12,7 +12,7 @@ from ..operators.summary import sort_summary, summary_lines
 from ..plans.categorise import apply_model, categorise, text_features
 from ..plans.rank import model_input
 from ..schemas import FEATURE_TEXTS
-from ..session import materialize, work_dir
+from ..session import materialize, spread_input, work_dir
 from . import corpus as c
 
 # A short range keeps the label queries quick; the sweep query uses the full one.
@@ -21,7 +21,11 @@ FEW = range(2, 6)
 
 def _rows(spark, sf_dir):
     """Model input of the pages, stored as the ranking step would."""
-    return materialize(model_input(c.page_docs(spark, sf_dir).drop("lang")), "model-input")
+    return _stored(model_input(c.page_docs(spark, sf_dir).drop("lang")))
+
+
+def _stored(rows):
+    return spread_input(materialize(rows, "model-input"))
 
 
 def feature_terms(spark, sf_dir):
@@ -85,7 +89,7 @@ def apply_saved_model(spark, sf_dir):
     result = categorise(_rows(spark, sf_dir), FEW)
     path = work_dir(spark, "trained")
     clustering.save_model(result.model, path)
-    new = model_input(c.docs(spark, sf_dir))
+    new = _stored(model_input(c.stored_docs(spark, sf_dir)))
     return apply_model(clustering.load_model(path), new)
 
 

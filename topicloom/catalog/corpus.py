@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.headings import heading_slots, slot_columns, title_trim, top_headings
 from ..functions.text import clean_words, is_blank
 from ..schemas import ATTRIBUTES, HEADINGS
-from ..session import spread_input
+from ..session import materialize, spread_input
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -190,6 +190,11 @@ define(
 )
 
 
+def stored_docs(spark, sf_dir) -> DataFrame:
+    """:func:`docs` as the extraction step leaves it: a stored table."""
+    return spread_input(materialize(docs(spark, sf_dir), "docs"))
+
+
 def plain_docs(spark, sf_dir) -> DataFrame:
     """documents as (File, Words)."""
     return texts(spark, sf_dir).select("File", clean_words("text").alias("Words"))

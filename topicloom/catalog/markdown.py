@@ -40,18 +40,14 @@ LINKS = ["paragraph", "link", "image", "bare", "definition", "reference"]
 CONTAINERS = ["quote", "table", "item", "paragraph"]
 
 
-def _ready(line):
-    allowed = F.regexp_replace(line, r"[^\p{L}\p{N} .,;!?'-]", " ")
-    return title_trim(allowed)
-
-
 def lines(spark, sf_dir):
     """(File, ls): the usable lines of each document, in order."""
-    ready = F.filter(
-        F.transform(F.split("text", "\n"), _ready), lambda line: line.rlike("[A-Za-z]")
-    )
+    allowed = F.regexp_replace("text", r"[^\p{L}\p{N} .,;!?'\n-]", " ")
+    usable = F.filter(F.split(allowed, "\n"), lambda line: line.rlike("[A-Za-z]"))
+    ready = F.transform(usable, title_trim)
     found = c.texts(spark, sf_dir).select("File", ready.alias("ls"))
-    return found.filter(F.size("ls") > 0)
+    # Exploded, not filtered: a filter on the lines would make them twice.
+    return found.select("File", F.explode(F.when(F.size("ls") > 0, F.array("ls"))).alias("ls"))
 
 
 def markdown(spark, sf_dir, kinds, front=False):
@@ -91,7 +87,8 @@ def front_matter(spark, sf_dir):
 
 def header_extract(spark, sf_dir):
     parsed = parse_markdown(markdown(spark, sf_dir, ALL, front=True))
-    rows = parsed.select("File", F.posexplode("headings").alias("pos", "h"))
+    found = F.coalesce("headings", F.array())
+    rows = parsed.select("File", F.posexplode(found).alias("pos", "h"))
     return rows.select(
         "File", F.col("pos").cast("bigint").alias("pos"),
         F.col("h.level").cast("bigint").alias("level"), F.col("h.text").alias("text"),

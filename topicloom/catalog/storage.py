@@ -47,7 +47,7 @@ def categorized_round_trip(spark, sf_dir):
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".md")).alias("File"),
         (F.col("quality") + 1).cast("int").alias("PredictedLabel"),
     )
-    rows = model_input(c.docs(spark, sf_dir)).join(labels, "File")
+    rows = model_input(c.stored_docs(spark, sf_dir)).join(labels, "File")
     tables.write_categorized(rows, layout.categorized, "csv")
     return tables.read_categorized(spark, layout.categorized, "csv").select(
         "File", "Title", "WordCount", "ReadingTime", "Top20Words",

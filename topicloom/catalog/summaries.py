@@ -4,12 +4,13 @@ from pyspark.sql import functions as F
 
 from ..operators import summary
 from ..plans.rank import model_input
+from ..session import materialize, spread_input
 from . import corpus as c
 
 
 def categorised_pages(spark, sf_dir):
     """Model input of the pages with their language."""
-    pages = c.page_docs(spark, sf_dir)
+    pages = spread_input(materialize(c.page_docs(spark, sf_dir), "page-docs"))
     return model_input(pages.drop("lang")).join(pages.select("File", "lang"), "File")
 
 

@@ -105,7 +105,7 @@ def long_reading_times(spark, sf_dir):
 
 
 def model_input_rows(spark, sf_dir):
-    return model_input(c.docs(spark, sf_dir))
+    return model_input(c.stored_docs(spark, sf_dir))
 
 
 def page_model_input(spark, sf_dir):

@@ -14,9 +14,7 @@ MIN_HEADING_LENGTH = 5
 def title_trim(c) -> Column:
     """Drop what stands before the first ASCII letter, then trim."""
     c = _column(c)
-    return trim_space(
-        F.when(c.rlike("[A-Za-z]"), F.regexp_replace(c, r"\A[^A-Za-z]+", "")).otherwise(c)
-    )
+    return trim_space(F.regexp_replace(c, r"\A[^A-Za-z]+(?=[A-Za-z])", ""))
 
 
 def top_headings(headings) -> Column:

@@ -9,6 +9,8 @@ small to overload a task. Very long keys are never broadcast.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import plain_unions
+
 MAX_KEY_LENGTH = 256
 
 
@@ -24,6 +26,7 @@ def join_weighted(facts: DataFrame, lookup: DataFrame, key: str, weight: str,
     Only the others, each key of bounded size, go through a shuffled join. Both
     branches read the same upstream exchange of ``facts``.
     """
+    plain_unions(facts.sparkSession)
     heavy = F.coalesce(
         (F.col(weight) * slots > lookup.agg(F.sum(weight)).scalar()) & _short(key),
         F.lit(False),

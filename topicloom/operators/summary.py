@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
+from ..session import plain_unions
 
 # Fixed value: phrases in the name of a category.
 TITLE_PHRASES = 10
@@ -107,6 +108,7 @@ def summary_lines(categorised: DataFrame, category: str = "PredictedLabel", weig
 
     Unsorted; :func:`sort_summary` gives the reading order.
     """
+    plain_unions(categorised.sparkSession)
     ranked = rank_phrases(phrase_counts(phrases(categorised, category)), weight)
     heads = category_titles(ranked).select(
         "category",

@@ -28,11 +28,29 @@ def words(docs: DataFrame) -> DataFrame:
     return docs.select("File", F.explode(_tokens_or_null()).alias("word"))
 
 
+def gather_documents(docs: DataFrame) -> DataFrame:
+    """Bring the rows of a document into one partition, if no document is hot.
+
+    Texts are smaller than the word rows made from them, so this is the cheapest
+    place to shuffle: counting per document then needs no shuffle, and ranking
+    sends no more than the top words of a document on. A key held by more rows than an even share of the partitions would
+    overload one of them. One job over the key column finds out, and then the rows
+    stay where they are and counting shuffles by document and word.
+    """
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = docs.groupBy("File").agg(F.count(F.lit(1)).alias("n"))
+    most, total = copies.agg(F.max("n"), F.sum("n")).first()
+    if most is None or most * partitions > total:
+        return docs
+    return docs.select("File", "Words").repartition("File")
+
+
 def term_frequency(docs: DataFrame) -> DataFrame:
     """Count of each lower-case word per document.
 
     Rows are combined before the shuffle, which is keyed by document and word,
-    so neither a frequent word nor a large document ends up in one task.
+    so neither a frequent word nor a large document ends up in one task. After
+    :func:`gather_documents` no shuffle is left.
     """
     lowered = docs.select("File", F.lower("Words").alias("Words"))
     return words(lowered).groupBy("File", "word").agg(F.count(F.lit(1)).alias("count"))
@@ -88,7 +106,7 @@ def filtered_scores(docs: DataFrame, stop_words=STOP_WORDS, variant="outside") -
     Stop words leave before counting: the document frequency of a word does not
     depend on other words, so the scores are the same with far fewer rows.
     """
-    kept = drop_stop_words(term_frequency(docs), stop_words)
+    kept = drop_stop_words(term_frequency(gather_documents(docs)), stop_words)
     return tf_idf(kept, docs, variant).select("File", "word", SCORE)
 
 
@@ -120,10 +138,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
     The token count of a row is known without exploding it, so one number per
     row is shuffled and not one row per word.
     """
-    counted = docs.filter(~is_blank("Words")).select(
-        "File", F.size(tokens("Words")).cast("bigint").alias("n")
-    )
-    return counted.groupBy("File").agg(F.sum("n").alias("WordCount"))
+    counted = docs.select("File", F.size(_tokens_or_null()).cast("bigint").alias("n"))
+    sums = counted.groupBy("File").agg(F.sum("n").alias("WordCount"))
+    return sums.filter(F.col("WordCount").isNotNull())
 
 
 def with_reading_time(counts: DataFrame) -> DataFrame:

@@ -38,13 +38,21 @@ def parse_markdown(files: DataFrame, content: str = "content") -> DataFrame:
 
 
 def fill_documents(parsed: DataFrame) -> DataFrame:
-    """Title, subtitles and words of parsed documents; those without a title go."""
+    """Title, subtitles and words of parsed documents; those without a title go.
+
+    They go by exploding an array of one or no element. A filter on the title
+    would be pushed below the projections, and the optimizer would then repeat
+    the whole parse inside its condition.
+    """
     keep = [c for c in parsed.columns if c not in ("headings", "plain")]
     slots = parsed.select(
         *keep, "plain", heading_slots(top_headings("headings")).alias("_slots")
     )
-    titled = slots.filter(~is_blank("File") & ~is_blank(F.get("_slots", F.lit(0))))
-    return titled.select(*keep, *slot_columns("_slots"), clean_words("plain").alias("Words"))
+    titled = ~is_blank("File") & ~is_blank(F.get("_slots", F.lit(0)))
+    kept = slots.select(
+        *keep, "plain", F.explode(F.when(titled, F.array("_slots"))).alias("_slots")
+    )
+    return kept.select(*keep, *slot_columns("_slots"), clean_words("plain").alias("Words"))
 
 
 def extract_documents(files: DataFrame) -> DataFrame:
