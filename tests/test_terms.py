@@ -98,6 +98,25 @@ def test_stop_words_from_a_table(spark):
     assert {r.word for r in left.collect()} == {"join", "window"}
 
 
+def test_scores_with_a_listed_table(spark):
+    rows = random_rows(300, hot="hot")
+    listed = [("wordaa",), ("wordba",), ("wordzz",)]
+    table = spark.createDataFrame(listed, "word string")
+    want, _ = brute_force(rows, stop={w for (w,) in listed})
+    top = terms.top_words(terms.filtered_scores(docs_of(spark, rows), table))
+    got = {r.File: r.Top20Words.split(" ") for r in terms.joined_top_words(top).collect()}
+    assert got == want
+
+
+def test_long_words_need_a_larger_share(spark):
+    long = "x" * 5000
+    facts = spark.range(900).select(F.when(F.col("id") % 3 == 0, long).otherwise(F.col("id").cast("string")).alias("key"), "id")
+    lookup = facts.groupBy("key").agg(F.count("*").alias("n"))
+    for slots in (10, 100, 1000):
+        joined = join_weighted(facts, lookup, "key", "n", slots)
+        assert joined.count() == 900 and joined.filter("n = 300").count() == 300
+
+
 def test_model_input_keeps_titles_of_a_shared_key(spark):
     rows = [("a", "Title one", "alpha beta"), ("a", "Title two", "beta gamma"), ("a", "Title two", "beta"),
             ("b", "1 2 3", "alpha delta"), ("c", "Only stop", "the and"), ("d", "C# & more!", "omega")]

@@ -1,9 +1,10 @@
 """Joins to a table with one row per key that stay even when a key is hot.
 
-A hot key holds more than ``1/slots`` of all rows. There can be fewer than
-``slots`` of those, so a table of hot keys is small whatever the data size, and
-that is what makes broadcasting it safe. Every other key is by definition too
-small to overload a task. Very long keys are never broadcast.
+A hot key holds more than ``1/slots`` of all rows, and a long key must hold a
+larger share in proportion to its length. As all shares together are one, the
+hot keys are fewer than ``slots`` and their lengths add up to less than
+``slots * KEY_UNIT`` characters whatever the data size. That bound is what makes
+broadcasting them safe. Every other key is too small to overload a task.
 """
 
 from pyspark.sql import DataFrame
@@ -11,11 +12,13 @@ from pyspark.sql import functions as F
 
 from ..session import plain_unions
 
-MAX_KEY_LENGTH = 256
+KEY_UNIT = 64
 
 
-def _short(key):
-    return F.length(key) <= MAX_KEY_LENGTH
+def _is_hot(rows, key, total, slots):
+    """Whether ``rows`` of a key are a share above its part of the slots."""
+    size = 1 + F.floor(F.length(F.col(key).cast("string")) / KEY_UNIT)
+    return F.coalesce(F.col(rows) * slots > total * size, F.lit(False))
 
 
 def join_weighted(facts: DataFrame, lookup: DataFrame, key: str, weight: str,
@@ -27,11 +30,8 @@ def join_weighted(facts: DataFrame, lookup: DataFrame, key: str, weight: str,
     branches read the same upstream exchange of ``facts``.
     """
     plain_unions(facts.sparkSession)
-    heavy = F.coalesce(
-        (F.col(weight) * slots > lookup.agg(F.sum(weight)).scalar()) & _short(key),
-        F.lit(False),
-    )
-    marked = lookup.withColumn("_heavy", heavy)
+    total = lookup.agg(F.sum(weight)).scalar()
+    marked = lookup.withColumn("_heavy", _is_hot(weight, key, total, slots))
     values = [c for c in lookup.columns if c != key]
     hot = marked.filter("_heavy")
     cold = marked.filter("NOT _heavy").drop("_heavy")
@@ -54,9 +54,7 @@ def join_salted(facts: DataFrame, lookup: DataFrame, key: str, spread_by: list[s
     total = facts.agg(F.count(F.lit(1))).scalar()
     parts = F.ceil(F.col("_rows") * slots / total).cast("int")
     hot = F.broadcast(
-        counts.filter((F.col("_rows") * slots > total) & _short(key)).select(
-            key, parts.alias("_parts")
-        )
+        counts.filter(_is_hot("_rows", key, total, slots)).select(key, parts.alias("_parts"))
     )
     salt = F.pmod(F.xxhash64(*spread_by), F.coalesce("_parts", F.lit(1))).cast("int")
     spread = facts.join(hot, key, "left").withColumn("_salt", salt).drop("_parts")

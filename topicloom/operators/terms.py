@@ -76,8 +76,9 @@ def with_idf(df: DataFrame, docs: DataFrame, variant="outside") -> DataFrame:
 def drop_stop_words(rows: DataFrame, stop_words=STOP_WORDS) -> DataFrame:
     """Leave out short and listed words.
 
-    A DataFrame with a ``word`` column may stand for the list; it can be large,
-    so the anti join is left to the optimizer's size checks.
+    A DataFrame with a ``word`` column may stand for a further list. It can be
+    large, so it is meant for rows with one word each, such as document
+    frequencies; :func:`filtered_scores` takes it there for term rows.
     """
     if isinstance(stop_words, DataFrame):
         return rows.filter(~is_stop_word("word")).join(
@@ -86,10 +87,21 @@ def drop_stop_words(rows: DataFrame, stop_words=STOP_WORDS) -> DataFrame:
     return rows.filter(~is_stop_word("word", stop_words))
 
 
-def tf_idf(tf: DataFrame, docs: DataFrame, variant="outside") -> DataFrame:
-    """Score of each word in each document of ``docs``, given its ``tf`` rows."""
+def tf_idf(tf: DataFrame, docs: DataFrame, variant="outside",
+           listed: DataFrame | None = None) -> DataFrame:
+    """Score of each word in each document of ``docs``, given its ``tf`` rows.
+
+    Words of ``listed`` are left out. They are marked in the table with one row
+    per word and leave after the join, so that frequent ones need no join of
+    their own with the term rows.
+    """
     idf = with_idf(document_frequency(tf), docs, variant).drop("total")
+    if listed is not None:
+        marks = listed.select("word").distinct().withColumn("_listed", F.lit(True))
+        idf = idf.join(marks, "word", "left")
     joined = join_weighted(tf, idf, "word", "docFrequency")
+    if listed is not None:
+        joined = joined.filter("_listed IS NULL")
     return joined.select(
         "File",
         "word",
@@ -104,10 +116,13 @@ def filtered_scores(docs: DataFrame, stop_words=STOP_WORDS, variant="outside") -
     """Scores without stop words.
 
     Stop words leave before counting: the document frequency of a word does not
-    depend on other words, so the scores are the same with far fewer rows.
+    depend on other words, so the scores are the same with far fewer rows. A
+    DataFrame with a ``word`` column is a list in addition to the default one.
     """
-    kept = drop_stop_words(term_frequency(gather_documents(docs)), stop_words)
-    return tf_idf(kept, docs, variant).select("File", "word", SCORE)
+    listed = stop_words if isinstance(stop_words, DataFrame) else None
+    known = STOP_WORDS if listed is not None else stop_words
+    kept = drop_stop_words(term_frequency(gather_documents(docs)), known)
+    return tf_idf(kept, docs, variant, listed).select("File", "word", SCORE)
 
 
 def rank_words(scores: DataFrame) -> DataFrame:
