@@ -1,8 +1,7 @@
 """Sources and sinks: write what Spark derives from the tables, read it back."""
 
-import os
-
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_value, is_blank
@@ -68,10 +67,10 @@ def _write_files(rows, root):
     def write(batches):
         for batch in batches:
             for path, text in zip(batch["path"], batch["text"]):
-                target = os.path.join(root, path)
-                os.makedirs(os.path.dirname(target), exist_ok=True)
-                with open(target, "w", encoding="utf-8", newline="") as out:
-                    out.write(text)
+                system, target = fs.FileSystem.from_uri(f"{root}/{path}")
+                system.create_dir(target.rpartition("/")[0])
+                with system.open_output_stream(target) as out:
+                    out.write(text.encode("utf-8"))
             yield pd.DataFrame({"n": [len(batch)]})
 
     rows.mapInPandas(write, "n bigint").agg(F.sum("n")).collect()
@@ -84,7 +83,7 @@ def _files(spark, sf_dir, hidden):
                  F.col("doc_id").cast("string"), F.lit(".md")).alias("path"),
         "text",
     )
-    _write_files(rows, root.removeprefix("file://"))
+    _write_files(rows, root if "://" in root else root.removeprefix("file:"))
     return root
 
 

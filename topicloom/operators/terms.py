@@ -112,16 +112,19 @@ def tf_idf(tf: DataFrame, docs: DataFrame, variant="outside",
     )
 
 
-def filtered_scores(docs: DataFrame, stop_words=STOP_WORDS, variant="outside") -> DataFrame:
+def filtered_scores(docs: DataFrame, stop_words=STOP_WORDS, variant="outside",
+                    gathered: DataFrame | None = None) -> DataFrame:
     """Scores without stop words.
 
     Stop words leave before counting: the document frequency of a word does not
     depend on other words, so the scores are the same with far fewer rows. A
     DataFrame with a ``word`` column is a list in addition to the default one.
+    ``gathered`` takes the documents as :func:`gather_documents` left them.
     """
+    gathered = gather_documents(docs) if gathered is None else gathered
     listed = stop_words if isinstance(stop_words, DataFrame) else None
     known = STOP_WORDS if listed is not None else stop_words
-    kept = drop_stop_words(term_frequency(gather_documents(docs)), known)
+    kept = drop_stop_words(term_frequency(gathered), known)
     return tf_idf(kept, docs, variant, listed).select("File", "word", SCORE)
 
 

@@ -22,9 +22,13 @@ def attributes(docs: DataFrame) -> DataFrame:
 
 def document_words(docs: DataFrame, k: int = terms.TOP, stop_words=STOP_WORDS,
                    variant="outside") -> DataFrame:
-    """Top words and word count, one row per document."""
-    top = terms.top_words(terms.filtered_scores(docs, stop_words, variant), k)
-    return terms.joined_top_words(top).join(terms.word_counts(docs), "File")
+    """Top words and word count, one row per document.
+
+    Both come from the same shuffle of the texts.
+    """
+    gathered = terms.gather_documents(docs)
+    top = terms.top_words(terms.filtered_scores(docs, stop_words, variant, gathered), k)
+    return terms.joined_top_words(top).join(terms.word_counts(gathered), "File")
 
 
 def model_input(docs: DataFrame, k: int = terms.TOP, stop_words=STOP_WORDS,
