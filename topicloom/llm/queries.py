@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from topicloom.llm import secret_scan, sentence_pieces
+from topicloom.llm import chat_tools, mixing, quality, secret_scan, sentence_pieces, url_filter, vector_file
 from topicloom.llm.common import read_table
 
 
@@ -22,9 +23,45 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(read_table(spark, sf_dir, "documents")))
 
 
+#: Verdict, host and path of each rule of the URL query.
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(mixing.mixture(read_table(spark, sf_dir, "documents")))
+
+
+def op6_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat_tools.conversation_calls(read_table(spark, sf_dir, "conversations"))
+    return chat_tools.link_calls(calls, results, chat_tools.ASK)
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES).drop("score")
+
+
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_file.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return quality.judge(docs).select(*names)
+
+
+QUERIES = (op3_sentence_pieces, op4_source_mix, op5_secret_scan, op6_chat_tools, op7_url_filter, op8_exact_top_k, op9_quality_rules)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_sentence_pieces, op5_secret_scan)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_chat_tools": chat_tools.SQL, "op8_exact_top_k": vector_file.SQL, "op9_quality_rules": quality.SQL}
