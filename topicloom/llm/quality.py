@@ -2,9 +2,10 @@
 
 Each document gives two histograms: character classes, and the common words of its language against all others. A
 language's reference is the sum of these histograms over all of its documents that are long enough and hold few
-symbols. A document goes if the Jensen-Shannon distance to its reference (base 2, from 0 to 1) is above a threshold
-in either histogram; documents with fewer words than the guard are never judged this way, nor are languages without a
-list of common words. The base rules hold for all.
+symbols. A document goes if the Jensen-Shannon distance of its classes to the reference (base 2, from 0 to 1) is above
+``CLASS_DISTANCE``, or if both distances are above the lower pair ``BOTH_DISTANCES``. Small histograms scatter, so
+each rule has a guard: the least number of words. Languages without a list of common words are not judged this way.
+The base rules hold for all. On labelled documents the thresholds lie above all of good quality.
 
 Everything is a column expression over one row; the reference has one row for each language with a word list, so it is
 safe to broadcast. Rows keep their multiplicity and their ids, null or not. A null text counts as having no words. Clashing columns of the input are not read; ``judge`` needs only the id, text and language.
@@ -27,7 +28,9 @@ COMMON_WORDS = {
 SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 50
 CLASS_DISTANCE = 0.3
-WORD_DISTANCE = 0.55
+#: Of classes and words together, for documents of at least so many words.
+BOTH_DISTANCES = (0.18, 0.24)
+BOTH_WORDS = 100
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -128,7 +131,7 @@ def _sum(counts: Column) -> Column:
     return F.aggregate(counts, F.lit(0).cast("long"), lambda s, x: s + x)
 
 
-def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = MIN_WORDS, class_distance: float = CLASS_DISTANCE, word_distance: float = WORD_DISTANCE) -> DataFrame:
+def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = MIN_WORDS, class_distance: float = CLASS_DISTANCE, both_distances: tuple[float, float] = BOTH_DISTANCES, both_words: int = BOTH_WORDS) -> DataFrame:
     """``df`` with the base counts, the two distances (null where not judged), ``base_failed`` and ``kept``."""
     ref = F.broadcast(references(df, text_col, lang_col, min_words))
     m = measures(df, text_col, lang_col)
@@ -138,7 +141,8 @@ def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_wor
     classes = distance(F.col("classes"), _sum(F.col("classes")), F.col("ref_classes"), _sum(F.col("ref_classes")))
     words = distance(others("common", F.col("n_words")), F.col("n_words"), others("ref_common", F.col("ref_words")), F.col("ref_words"))
     m = m.withColumn("class_distance", F.when(judged, classes)).withColumn("word_distance", F.when(judged, words))
-    far = F.coalesce((F.col("class_distance") > class_distance) | (F.col("word_distance") > word_distance), F.lit(False))
+    both = (F.col("n_words") >= both_words) & (F.col("class_distance") > both_distances[0]) & (F.col("word_distance") > both_distances[1])
+    far = F.coalesce((F.col("class_distance") > class_distance) | both, F.lit(False))
     return (
         m.withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & ~far)
@@ -171,8 +175,10 @@ j AS (SELECT n.*, ref_words, [{', '.join(f'c{i}' for i in range(1, 8))}] AS rc,
 p AS (SELECT *, list_transform(classes, lambda x: x / n_chars) AS p1, list_transform(rc, lambda x: x / list_sum(rc)) AS q1,
     list_transform(list_append(common, n_words - list_sum(common)::BIGINT), lambda x: x / n_words) AS p2,
     list_transform(list_append(rw, ref_words - list_sum(rw)), lambda x: x / ref_words) AS q2 FROM j),
+x AS (SELECT *, {_JS.format(a='p1', b='q1')} AS dc, {_JS.format(a='p2', b='q2')} AS dw FROM p),
 k AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
-    coalesce(n_words >= {MIN_WORDS} AND ref_words IS NOT NULL AND ({_JS.format(a='p1', b='q1')} > {CLASS_DISTANCE} OR {_JS.format(a='p2', b='q2')} > {WORD_DISTANCE}), false) AS far FROM p)
+    coalesce(n_words >= {MIN_WORDS} AND ref_words IS NOT NULL AND (dc > {CLASS_DISTANCE} OR
+        n_words >= {BOTH_WORDS} AND dc > {BOTH_DISTANCES[0]} AND dw > {BOTH_DISTANCES[1]}), false) AS far FROM x)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
     n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept FROM k
 """

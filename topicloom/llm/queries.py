@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import chat_tools, mixing, quality, secret_scan, sentence_pieces, url_filter, vector_file
+from topicloom.llm import chat_tools, line_dedup, mixing, quality, secret_scan, sentence_pieces, url_filter, vector_file
 from topicloom.llm.common import read_table
 
 
@@ -15,6 +15,11 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_kept", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.piece_digest(read_table(spark, sf_dir, "documents"), piece_model())
 
@@ -56,7 +61,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).select(*names)
 
 
-QUERIES = (op3_sentence_pieces, op4_source_mix, op5_secret_scan, op6_chat_tools, op7_url_filter, op8_exact_top_k, op9_quality_rules)
+QUERIES = (op1_line_dedup, op3_sentence_pieces, op4_source_mix, op5_secret_scan, op6_chat_tools, op7_url_filter, op8_exact_top_k, op9_quality_rules)
 
 
 def queries() -> dict:
@@ -64,4 +69,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_tools": chat_tools.SQL, "op8_exact_top_k": vector_file.SQL, "op9_quality_rules": quality.SQL}
+    return {"op1_line_dedup": line_dedup.SQL, "op6_chat_tools": chat_tools.SQL, "op8_exact_top_k": vector_file.SQL, "op9_quality_rules": quality.SQL}
