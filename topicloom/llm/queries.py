@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import chat_tools, line_dedup, mixing, quality, secret_scan, sentence_pieces, url_filter, vector_file
+from topicloom.llm import chat_tools, line_dedup, mixing, ngram_join, quality, secret_scan, sentence_pieces, url_filter, vector_file
 from topicloom.llm.common import read_table
 
 
@@ -20,6 +20,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_kept", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.piece_digest(read_table(spark, sf_dir, "documents"), piece_model())
 
@@ -61,7 +65,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).select(*names)
 
 
-QUERIES = (op1_line_dedup, op3_sentence_pieces, op4_source_mix, op5_secret_scan, op6_chat_tools, op7_url_filter, op8_exact_top_k, op9_quality_rules)
+QUERIES = (op1_line_dedup, op2_ngram_join, op3_sentence_pieces, op4_source_mix, op5_secret_scan, op6_chat_tools, op7_url_filter, op8_exact_top_k, op9_quality_rules)
 
 
 def queries() -> dict:
