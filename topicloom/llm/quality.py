@@ -1,6 +1,6 @@
 """Quality rules: base counts and the divergence of a document from its language.
 
-Each document gives two histograms: character classes, and the common words of its language against all others. A
+Each document gives two histograms: character classes (and the bytes by which its characters are wider than one), and the common words of its language against all others. A
 language's reference is the sum of these histograms over all of its documents that are long enough and hold few
 symbols. A document goes if the Jensen-Shannon distance of its classes to the reference (base 2, from 0 to 1) is above
 ``CLASS_DISTANCE``, or if both distances are above the lower pair ``BOTH_DISTANCES``. Small histograms scatter, so
@@ -25,6 +25,8 @@ COMMON_WORDS = {
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "une", "que", "pour", "dans"],
     "es": ["de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "un", "con"],
 }
+#: A character of a word.
+WORD_START = GAP.replace("[", "[^")
 SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 50
 CLASS_DISTANCE = 0.3
@@ -70,18 +72,19 @@ def measures(df: DataFrame, text_col: str = "text", lang_col: str = "lang", repe
     """
     text, lines, words = (fresh(df, n) for n in ("_text", "_lines", "_words"))
     t = F.coalesce(F.col(text_col), F.lit(""))
-    df = df.withColumn(text, t).withColumn(words, F.filter(F.split(text, GAP + "+"), lambda x: x != ""))
-    df = df.withColumn(lines, F.filter(F.split(text, "\n"), lambda x: F.length(F.regexp_replace(x, GAP + "+", "")) > 0))
+    df = df.withColumn(text, t).withColumn(words, F.array_remove(F.split(text, GAP + "+"), ""))
+    df = df.withColumn(lines, F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD_START)))
     df = (
         df.withColumn("n_words", F.size(words).cast("long"))
-        .withColumn("word_chars", F.length(F.regexp_replace(text, GAP + "+", "")).cast("long"))
+        .withColumn("word_chars", F.length(F.array_join(words, "")).cast("long"))
         .withColumn("n_symbols", _count(F.col(text), SYMBOLS).cast("long"))
         .withColumn("n_dup_lines", (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"))
         .drop(lines)
     )
     if repeats:
         df = _repeats(df, words)
-    sparse = [_count(F.col(text), p).cast("long") for p in ("[A-Z]", "[0-9]", "[.,;:!?]", "[^\\x00-\\x7F]+")]
+    sparse = [_count(F.col(text), p).cast("long") for p in ("[A-Z]", "[0-9]", "[.,;:!?]")]
+    wide = (F.octet_length(text) - F.length(text)).cast("long")
     blank = F.length(text).cast("long") - F.col("word_chars")
     rest = F.length(text).cast("long") - blank - F.col("n_symbols") - sum(sparse[1:], sparse[0])
     lists = [[F.lit(x) for x in COMMON_WORDS[lang]] for lang in COMMON_WORDS]
@@ -92,7 +95,7 @@ def measures(df: DataFrame, text_col: str = "text", lang_col: str = "lang", repe
     df = df.withColumn(common, own)
     hits = [(F.size(words) - F.size(F.array_remove(words, F.get(common, F.lit(i))))).cast("long") for i in range(len(lists[0]))]
     return (
-        df.withColumn("classes", F.array(blank, F.col("n_symbols"), *sparse, rest))
+        df.withColumn("classes", F.array(blank, F.col("n_symbols"), *sparse, wide, rest))
         .withColumn("common", F.when(F.col(common).isNotNull(), F.array(*hits)))
         .drop(common, words, text)
     )
@@ -164,15 +167,15 @@ c AS (SELECT r, count(DISTINCT i + k) AS n FROM h, (SELECT unnest([0, 1, 2]) AS
 m AS (SELECT w.r, doc_id, lang, len(words) AS n_words, list_sum(list_transform(words, lambda x: length(x))) AS chars,
     {_COUNT.format(SYMBOLS)} AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
     length(t) AS n_chars, {_COUNT.format('[A-Z]')} AS u, {_COUNT.format('[0-9]')} AS dg, {_COUNT.format('[.,;:!?]')} AS st,
-    {_COUNT.format('[^\\x00-\\x7F]')} AS na,
+    strlen(t) - length(t) AS wide, strlen(t) AS n_bytes,
     list_transform({_LISTS}, lambda x: len(list_filter(words, lambda y: y = x))) AS common FROM w LEFT JOIN c USING (r)),
 n AS (SELECT *, coalesce(chars, 0)::BIGINT AS word_chars,
-    [n_chars - coalesce(chars, 0), n_symbols, u, dg, st, na, coalesce(chars, 0) - n_symbols - u - dg - st - na] AS classes FROM m),
+    [n_chars - coalesce(chars, 0), n_symbols, u, dg, st, wide, coalesce(chars, 0) - n_symbols - u - dg - st] AS classes FROM m),
 f AS (SELECT * FROM n WHERE lang IN ({', '.join(f"'{k}'" for k in COMMON_WORDS)}) AND n_words >= {MIN_WORDS} AND 10 * n_symbols < n_words),
 s AS (SELECT lang, sum(n_words) AS ref_words,
     {', '.join(f'sum(classes[{i}]) AS c{i}' for i in range(1, 8))}, {', '.join(f'sum(common[{i}]) AS w{i}' for i in range(1, 13))} FROM f GROUP BY lang),
 j AS (SELECT n.*, ref_words, [{', '.join(f'c{i}' for i in range(1, 8))}] AS rc, [{', '.join(f'w{i}' for i in range(1, 13))}] AS rw FROM n LEFT JOIN s USING (lang)),
-p AS (SELECT *, list_transform(classes, lambda x: x / n_chars) AS p1, list_transform(rc, lambda x: x / list_sum(rc)) AS q1,
+p AS (SELECT *, list_transform(classes, lambda x: x / n_bytes) AS p1, list_transform(rc, lambda x: x / list_sum(rc)) AS q1,
     list_transform(list_append(common, n_words - list_sum(common)::BIGINT), lambda x: x / n_words) AS p2,
     list_transform(list_append(rw, ref_words - list_sum(rw)), lambda x: x / ref_words) AS q2 FROM j),
 x AS (SELECT *, {_JS.format(a='p1', b='q1')} AS dc, {_JS.format(a='p2', b='q2')} AS dw FROM p),
