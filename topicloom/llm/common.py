@@ -44,3 +44,13 @@ def text_or_empty(column: Column) -> Column:
 def unit_interval(*columns: Column) -> Column:
     """A number in [0, 1) that depends on nothing but the values: reruns agree."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))
+
+
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows of ``df`` that meet a condition on costly columns.
+
+    A plain filter would be moved below the columns it reads and have them computed again for itself; it stays above
+    a column that is not deterministic.
+    """
+    row = fresh(df, "_row")
+    return df.withColumn(row, F.monotonically_increasing_id()).filter(condition & (F.col(row) >= 0)).drop(row)

@@ -64,14 +64,13 @@ def _signatures(words: Column) -> Column:
 def first_places(docs: DataFrame, min_near: int) -> DataFrame:
     """(a, b, place, sigs) of each distinct word sequence; a and b are its hashes. ``docs``: key, text."""
     lines = docs.select("key", F.posexplode(F.split("text", "\n")).alias("at", "line")).withColumn("words", _words(F.col("line")))
-    lines = lines.filter(F.size("words") > 0)
     signs = F.when(F.size("words") >= min_near, F.transform(_signatures(F.col("words")), lambda x: x["sig"]))
     lines = lines.select(
         F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), "words").alias("b"), _place(F.col("key"), F.col("at")).alias("place"),
-        signs.alias("signs"),
+        signs.alias("signs"), F.size("words").alias("n"),
     )
     kept = [F.max(F.get("signs", F.lit(i))).alias(f"s{i}") for i in range(8)]
-    return lines.groupBy("a", "b").agg(F.min("place").alias("place"), *kept)
+    return lines.groupBy("a", "b").agg(F.min("place").alias("place"), F.max("n").alias("n"), *kept).filter("n > 0").drop("n")
 
 
 def _near(docs: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -139,7 +138,7 @@ def _stays(merged: Column, e: Column, j: Column) -> Column:
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_near: int = MIN_NEAR) -> DataFrame:
     """``df`` with its texts cut to the lines that stay, and ``n_lines`` and ``n_kept`` of lines with a word.
 
-    A null text stays null.
+    A null text stays null. Columns of these two names are replaced.
     """
     kept = kept_lines(df, id_col, text_col, min_near)
     key, own, merged, rest = (fresh(df, n) for n in ("_key", "_kept", "_merged", "_rest"))
@@ -150,7 +149,7 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     filled = lambda items: F.size(F.filter(items, lambda e: (e["tag"] == 1) & ~_blank(e["x"]))).cast("long")
     rows = rows.withColumn("n_lines", filled(F.col(merged))).withColumn("n_kept", filled(F.col(rest)))
     text = F.when(F.col(text_col).isNotNull(), F.array_join(F.transform(rest, lambda e: e["x"]), "\n"))
-    return rows.withColumn(text_col, text).select(*df.columns, "n_lines", "n_kept")
+    return rows.withColumn(text_col, text).select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in ("n_lines", "n_kept")), "n_lines", "n_kept")
 
 
 SQL = rf"""

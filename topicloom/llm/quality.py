@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import GAP, fresh
+from topicloom.llm.common import GAP, fresh, where_computed
 
 # Common words by language.
 COMMON_WORDS = {
@@ -111,7 +111,7 @@ def references(df: DataFrame, text_col: str = "text", lang_col: str = "lang", mi
     Documents under the guard, or with a symbol for every ten words or more, say nothing about their language.
     """
     m = measures(df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")), repeats=False)
-    m = m.filter(F.col("lang").isin(*COMMON_WORDS) & (F.col("n_words") >= min_words) & (10 * F.col("n_symbols") < F.col("n_words")))
+    m = where_computed(m, F.col("lang").isin(*COMMON_WORDS) & (F.col("n_words") >= min_words) & (10 * F.col("n_symbols") < F.col("n_words")))
     total = lambda name, n: F.array(*(F.sum(F.get(name, F.lit(i))) for i in range(n)))
     return m.groupBy(F.col("lang").alias("ref_lang")).agg(
         total("classes", 7).alias("ref_classes"), total("common", 12).alias("ref_common"), F.sum("n_words").alias("ref_words")

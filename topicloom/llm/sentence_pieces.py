@@ -172,8 +172,8 @@ def decode_pieces(df: DataFrame, model: str, id_col: str = "doc_id", ids_col: st
     return rows.mapInArrow(run, T.StructType([T.StructField("id", rows.schema["id"].dataType)]).add("text", "string")).withColumnRenamed("id", id_col)
 
 
-def piece_digest(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encoding, spans and decoding of each row in one pass, as digests.
+def piece_digest(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """Encoding, spans and decoding of each row in one pass, as digests, and the ids themselves if asked for.
 
     ``span_bytes`` is the number of source bytes the spans cover; every byte of the text is covered once by a model
     that neither drops nor rewrites characters.
@@ -184,17 +184,20 @@ def piece_digest(df: DataFrame, model: str, id_col: str = "doc_id", text_col: st
         own = codec(model)
         for keys, texts in _chunks(batches):
             sizes, hashes, back, covered = [], [], [], []
-            for text, ids in zip(texts, own.encode(texts), strict=True):
+            pieces = own.encode(texts)
+            for text, ids in zip(texts, pieces, strict=True):
                 starts, ends = own.spans(text, ids)
                 sizes.append(len(ids))
                 hashes.append(hashlib.sha256(",".join([own.decimal[i] for i in ids]).encode()).hexdigest())
                 back.append(hashlib.sha256(own.processor.decode(ids).encode("utf-8", "surrogatepass")).hexdigest())
                 covered.append(int((ends - starts).sum()))
-            yield pa.RecordBatch.from_arrays(
-                [keys, pa.array(sizes, pa.int64()), pa.array(hashes), pa.array(back), pa.array(covered, pa.int64())],
-                ["id", "n_tokens", "ids_sha256", "decoded_sha256", "span_bytes"],
-            )
+            columns = [keys, pa.array(sizes, pa.int64()), pa.array(hashes), pa.array(back), pa.array(covered, pa.int64())]
+            if with_ids:
+                columns.append(pa.array(pieces, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType)])
     schema = schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string").add("span_bytes", "long")
+    if with_ids:
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
