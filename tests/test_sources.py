@@ -25,18 +25,19 @@ def tree(tmp_path):
 
 @pytest.mark.parametrize("end", ["", "/"])
 def test_scan(spark, tree, end):
-    files = with_file_key(scan_markdown(spark, tree + end), tree + end)
+    files = with_file_key(scan_markdown(spark, tree + end, skip_hidden_names=True), tree + end)
     got = sorted((r.File, r.content) for r in files.filter("content <> ''").collect())
     assert got == sorted([
         ("top.md", "# Top"), ("a-b-c.md", "# Deep"), ("a-b-c.md", "# Clash"), ("a-with space+plus%.md", "# Odd"),
     ])
-    listing = file_listing(scan_markdown(spark, tree + end), tree + end).orderBy("level", "file", "fileName")
+    listing = file_listing(scan_markdown(spark, tree + end, skip_hidden_names=True), tree + end).orderBy("level", "file", "fileName")
     levels = {(r.level, r.fileName) for r in listing.collect()} - {(1, "empty.md")}
     assert levels == {(1, "top.md"), (3, "a-b-c.md"), (2, "a-b-c.md"), (2, "a-with space+plus%.md")}
 
 
-def test_scan_with_hidden_names(spark, tree):
-    files = with_file_key(scan_markdown(spark, tree, include_hidden=True), tree)
+@pytest.mark.parametrize("end", ["", "/"])
+def test_scan_keeps_hidden_names(spark, tree, end):
+    files = with_file_key(scan_markdown(spark, tree + end), tree + end)
     assert {r.File for r in files.collect()} == {
         "top.md", "a-b-c.md", "a-with space+plus%.md", "_dir-y.md", "a-_z.md", "a-.dot.md", "empty.md",
     }
@@ -62,7 +63,31 @@ def test_layout():
 DOC_ROWS = [
     ("f1.md", "Ends with \\", "a,b", None, "", "x", "y", "some words"),
     ("f2.md", 'Has "quotes"', None, None, None, None, None, None),
+    ("f3.md", 'Ends "so"', '"', 'a "b" c \\ "', ",", "\\", '""', "w"),
 ]
+BROKEN = ("f4.md", "Title with\nbreak", "a\r\nb", "\rc", None, None, None, "w")
+
+
+def test_line_breaks_stay_inside_their_row(spark, tmp_path):
+    tables.write_docs(spark.createDataFrame([*DOC_ROWS, BROKEN], DOCS), str(tmp_path / "d"), "csv")
+    rows = {r.File: r for r in tables.read_docs(spark, str(tmp_path / "d"), "csv").collect()}
+    assert set(rows) == {"f1.md", "f2.md", "f3.md", "f4.md"}
+    assert tuple(rows["f4.md"])[1:4] == ("Title with break", "a b", " c")
+
+
+def test_torn_lines_fail(spark, tmp_path):
+    (tmp_path / "d.csv").write_text(",".join(f'"{n}"' for n in DOCS.names) + '\r\n"f","cut short"\r\n')
+    with pytest.raises(Exception):
+        tables.read_docs(spark, str(tmp_path / "d.csv"), "csv").collect()
+
+
+def test_quotes_are_untouched_in_parquet(spark, tmp_path):
+    row = ("f", '"already quoted"', '"Foo" bar', *[None] * 4, 3, "< 1 minute", "top", 2)
+    df = spark.createDataFrame([row], CATEGORIZED)
+    for fmt, want in (("parquet", ('"already quoted"', '"Foo" bar')), ("csv", ("already quoted", '"Foo" bar'))):
+        tables.write_categorized(df, str(tmp_path / fmt), fmt)
+        back = tables.read_categorized(spark, str(tmp_path / fmt), fmt).first()
+        assert (back.Title, back.Subtitle1) == want
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])

@@ -36,7 +36,7 @@ def named(data):
 
 
 def test_title_prefixes(spark):
-    df = rows(spark).select("File", F.inline(summary.title_prefixes("Title")))
+    df = summary.title_prefixes(rows(spark).select("File", "Title"))
     got = [r.phrase for r in df.filter("File = 'a.md'").orderBy("pos").collect()]
     assert got == ["Azure", "Azure - Data", "Azure - Data Lake"]
     assert [r.phrase for r in df.filter("File = 'd.md'").collect()] == ["12 # thing"]
@@ -58,6 +58,27 @@ def test_names_against_definition(spark, partitions):
     assert got == named(data)
 
 
+def test_long_titles_make_one_prefix_per_row(spark):
+    df = spark.createDataFrame([("f", "word " * 3000)], "File string, Title string")
+    found = summary.title_prefixes(df)
+    assert found.count() == 3000 and found.agg(F.max(F.length("phrase"))).first()[0] == 3000 * 5 - 1
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_numbers_of_whole_categories(spark, partitions):
+    data = [(f"x{i}.md", f"Word{i % 7} part{i % 3} tail", f"word{i % 5} tail", i % 3) for i in range(200)]
+    counts = summary.phrase_counts(summary.phrases(rows(spark, data).repartition(partitions)))
+    want = {(r.category, r.phrase): r.rn for r in summary.rank_phrases(counts).collect()}
+    got = {(r.category, r.phrase): r.rn for r in summary.rank_all_phrases(counts).collect()}
+    assert got == want
+
+
+def test_positions_follow_the_order(spark):
+    lines = summary.summary_lines(rows(spark))
+    placed = [r.line for r in summary.numbered_summary(lines).orderBy("position").collect()]
+    assert placed == [r.line for r in summary.sort_summary(lines).collect()]
+
+
 def test_summary_order(spark):
     lines = [r.line for r in summary.sort_summary(summary.summary_lines(rows(spark))).collect()]
     names = named(ROWS)

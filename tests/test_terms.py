@@ -85,12 +85,6 @@ def test_top_words_against_brute_force(spark, hot, partitions):
     assert {r.File: r.WordCount for r in terms.word_counts(docs).collect()} == counts
 
 
-def test_hot_document_is_not_gathered(spark):
-    even, hot = docs_of(spark, random_rows(300)), docs_of(spark, random_rows(300, hot="hot"))
-    assert terms.gather_documents(hot) is hot
-    assert terms.gather_documents(even) is not even
-
-
 def test_stop_words_from_a_table(spark):
     listed = spark.createDataFrame([("spark",)], "word string")
     docs = docs_of(spark, WORKED)
@@ -113,7 +107,7 @@ def test_long_words_need_a_larger_share(spark):
     facts = spark.range(900).select(F.when(F.col("id") % 3 == 0, long).otherwise(F.col("id").cast("string")).alias("key"), "id")
     lookup = facts.groupBy("key").agg(F.count("*").alias("n"))
     for slots in (10, 100, 1000):
-        joined = join_weighted(facts, lookup, "key", "n", slots)
+        joined = join_weighted(facts, lookup, "key", "n", ["id"], slots)
         assert joined.count() == 900 and joined.filter("n = 300").count() == 300
 
 
@@ -135,7 +129,7 @@ def test_weighted_join_takes_both_ways(spark, slots):
     )
     lookup = facts.filter("key <> 'k7'").groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("m"))
     want = {tuple(r) for r in facts.join(lookup, "key").select("key", "id", "n", "m").collect()}
-    got = join_weighted(facts, lookup, "key", "n", slots).select("key", "id", "n", "m").collect()
+    got = join_weighted(facts, lookup, "key", "n", ["id"], slots).select("key", "id", "n", "m").collect()
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
@@ -157,13 +151,21 @@ def test_hot_key_is_spread(spark):
     assert plan.count() == 4000
 
 
-def test_tf_is_read_from_one_shuffle(spark):
-    """The three uses of the term rows share their exchange."""
-    docs = docs_of(spark, random_rows(300, hot="hot"))
+@pytest.mark.parametrize("hot", [None, "hot"])
+def test_plan_of_top_words(spark, hot):
+    """One explode, term rows shared by their uses, no shuffle of texts, no job before the action."""
+    docs = docs_of(spark, random_rows(300, hot=hot))
+    tracker, group = spark.sparkContext.statusTracker(), f"plan-{hot}"
+    spark.sparkContext.setJobGroup(group, group)
     top = terms.top_words(terms.filtered_scores(docs))
+    assert not tracker.getJobIdsForGroup(group)
     top.collect()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     plan = top._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("Generate explode") == 1
+    assert plan.count("Generate explode(transform") == 1
+    assert "Union" not in plan
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and not any("Words" in line for line in moved)
 
 
 def test_functions_by_name(spark):

@@ -1,22 +1,27 @@
 """Features, the sweep over k, labels, distances and saved models.
 
-The outcome of k-means has no SQL form; its features before hashing have one.
+Clusters have an SQL form where the groups are known. The documents here carry the
+words of their language as texts, so rows of one language have equal features: the
+best fit has a cluster per language, of no cost, and rows of other languages are
+all equally far. Clusters are named by their smallest file. Fits over real texts
+and vectors are checked against a second way to compute their numbers.
 """
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import HashingTF
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import clustering
-from ..operators.features import gram_columns
-from ..operators.summary import sort_summary, summary_lines
+from ..operators.features import gram_rows, gram_widths, text_featurizer
+from ..operators.summary import numbered_summary, summary_lines
 from ..plans.categorise import apply_model, categorise, text_features
 from ..plans.rank import model_input
-from ..schemas import FEATURE_TEXTS
 from ..session import materialize, spread_input, work_dir
 from . import corpus as c
+from .summaries import define_phrases
 
-# A short range keeps the label queries quick; the sweep query uses the full one.
-FEW = range(2, 6)
+LANGUAGES = ("en", "de", "fr", "es")
 
 
 def _rows(spark, sf_dir):
@@ -28,99 +33,183 @@ def _stored(rows):
     return spread_input(materialize(rows, "model-input"))
 
 
+def _language_rows(spark, sf_dir):
+    """Model input whose texts name the language of a document."""
+    docs = c.texts(spark, sf_dir)
+    named = [F.concat(F.lit(f"{n} in language "), F.repeat("lang", 3)).alias(n) for n in c.HEADINGS]
+    return _stored(docs.select(
+        "File", *named, F.repeat(F.concat("lang", "lang", F.lit(" ")), 5).alias("Top20Words"),
+        F.length("text").cast("bigint").alias("WordCount"), F.lit("< 1 minute").alias("ReadingTime"),
+    ))
+
+
+def _named(labelled, by="File"):
+    """The smallest file of a cluster instead of its number."""
+    first = labelled.groupBy("PredictedLabel").agg(F.min(by).alias("category"))
+    return labelled.join(first, "PredictedLabel").drop("PredictedLabel")
+
+
+def _language_vectors(spark, sf_dir):
+    """Documents with one place of a vector for each language."""
+    at = F.array(*[(F.col("lang") == name).cast("double") for name in LANGUAGES])
+    docs = c.texts(spark, sf_dir).select("File", array_to_vector(at).alias("features"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(clustering.spread_rows(docs, parts, ["File"]), "language-vectors")
+
+
 def feature_terms(spark, sf_dir):
     """Grams per text column with count and weight before hashing."""
     rows = model_input(c.page_docs(spark, sf_dir).drop("lang"))
-    blocks = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), F.lit(kind).alias("kind"), F.expr(sql).alias("grams"))
-            for name in FEATURE_TEXTS
-            for kind, sql in gram_columns(name).items()
-        ]
+    counted = gram_rows(rows).groupBy("File", "name", "kind", "gram").agg(F.count(F.lit(1)).alias("n"))
+    block = Window.partitionBy("File", "name", "kind")
+    weight = F.col("n") / F.sqrt(F.sum(F.col("n") * F.col("n")).over(block))
+    return counted.withColumn("weight", F.round(weight, 9))
+
+
+def text_feature_weights(spark, sf_dir):
+    """Number of distinct grams of each block, and whether its vector holds their weights.
+
+    The slots come from hashing single grams, the weights from the counts.
+    """
+    rows = _rows(spark, sf_dir)
+    widths = gram_widths(rows)
+    vectors = text_featurizer(num_features=widths).transform(rows)
+    counted = gram_rows(rows).groupBy("File", "name", "kind", "gram").agg(F.count(F.lit(1)).alias("n"))
+    start, placed = 0, None
+    for (name, kind), width in widths.items():
+        own = counted.filter((F.col("name") == name) & (F.col("kind") == kind)).select("gram").distinct()
+        hashed = HashingTF(numFeatures=width, inputCol="one", outputCol="hash").transform(
+            own.withColumn("one", F.array("gram"))
+        )
+        slot = F.element_at(F.unwrap_udt("hash")["indices"], 1) + start
+        found = hashed.select(F.lit(name).alias("name"), F.lit(kind).alias("kind"), "gram", slot.alias("slot"))
+        placed = found if placed is None else placed.unionByName(found)
+        start += width
+    slots = counted.join(materialize(placed, "slots"), ["name", "kind", "gram"])
+    own = slots.groupBy("File", "name", "kind", "slot").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("grams"))
+    block = Window.partitionBy("File", "name", "kind")
+    own = own.withColumn("weight", F.col("n") / F.sqrt(F.sum(F.col("n") * F.col("n")).over(block)))
+    raw = F.unwrap_udt("features")
+    dense = F.sequence(F.lit(0), F.size(raw["values"]) - 1)
+    held = vectors.select("File", F.inline(F.arrays_zip(
+        F.coalesce(raw["indices"], dense).alias("slot"), raw["values"].alias("value"))))
+    both = own.join(held.filter("value <> 0"), ["File", "slot"], "full")
+    same = F.coalesce(F.abs(F.col("weight") - F.col("value")) < 1e-9, F.lit(False))
+    return both.groupBy("File", "name", "kind").agg(
+        F.sum("grams").alias("grams"), F.bool_and(same).alias("agrees")
     )
-    grams = rows.select("File", F.inline(blocks)).select("File", "name", "kind", F.explode("grams").alias("gram"))
-    return grams.groupBy("File", "name", "kind", "gram").agg(F.count(F.lit(1)).alias("n"))
-
-
-def text_feature_norms(spark, sf_dir):
-    """Squared length of the feature vector: one per non-empty block."""
-    _, features = text_features(_rows(spark, sf_dir))
-    values = F.unwrap_udt("features")["values"]
-    squares = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v * v)
-    return features.select("File", F.round(squares, 6).alias("squared_length"))
 
 
 def kmeans_sweep(spark, sf_dir):
+    """Each k with its cost, and whether the cost of the best one equals the mean squared distance."""
     _, features = text_features(_rows(spark, sf_dir))
     found = clustering.sweep(features)
-    return found.table(spark).withColumn("best", F.col("k") == found.best_k)
+    scored = clustering.with_distances(found.model.transform(features), found.model)
+    least = F.array_min("Score")
+    mean = scored.agg(F.avg(least * least)).first()[0]
+    table = found.table(spark)
+    best = F.col("k") == found.best_k
+    sound = (F.col("cost") >= found.costs[found.best_k]) & (~best | (F.abs(F.col("cost") - mean) < 1e-4))
+    return table.select(F.col("k").cast("bigint").alias("k"), sound.alias("sound"))
+
+
+def language_sweep(spark, sf_dir):
+    """The best k over vectors of languages, its cost, and the number of fits."""
+    found = clustering.sweep(_language_vectors(spark, sf_dir))
+    row = (found.best_k, round(found.costs[found.best_k], 9) + 0.0, len(found.costs))
+    return spark.createDataFrame([row], "best_k bigint, cost double, fits bigint")
 
 
 def silhouette_sweep(spark, sf_dir):
-    _, features = text_features(_rows(spark, sf_dir))
-    found = clustering.sweep(features, FEW, metric="silhouette")
-    return found.table(spark).withColumn("best", F.col("k") == found.best_k)
+    """The best silhouette over vectors of languages, and its clusters."""
+    features = _language_vectors(spark, sf_dir)
+    found = clustering.sweep(features, metric="silhouette")
+    labelled = clustering.with_label(found.model.transform(features))
+    return labelled.agg(F.countDistinct("PredictedLabel").alias("clusters")).withColumn(
+        "silhouette", F.round(F.lit(-found.costs[found.best_k]), 6)
+    )
 
 
 def categorized(spark, sf_dir):
-    return categorise(_rows(spark, sf_dir), FEW).rows
+    return _named(categorise(_language_rows(spark, sf_dir)).rows)
 
 
 def cluster_summary(spark, sf_dir):
-    lines = summary_lines(categorise(_rows(spark, sf_dir), FEW).rows)
-    return sort_summary(lines).select("category", "ord", "line")
+    named = _named(categorise(_language_rows(spark, sf_dir)).rows)
+    lines = numbered_summary(summary_lines(named, "category"))
+    return lines.select("category", F.col("ord").cast("bigint").alias("ord"), "line", "position")
 
 
 def centroid_distances(spark, sf_dir):
-    """Distance to each centre; the nearest one is the label."""
-    _, features = text_features(_rows(spark, sf_dir))
-    found = clustering.sweep(features, FEW)
+    """Distances to all centres in rising order; the nearest centre is the label."""
+    features = _language_vectors(spark, sf_dir)
+    found = clustering.sweep(features)
     scored = clustering.with_distances(
         clustering.with_label(found.model.transform(features)), found.model
     )
+    rounded = F.transform(F.array_sort("Score"), lambda x: F.round(x.cast("double"), 4) + 0.0)
     return scored.select(
-        "File", "PredictedLabel", F.size("Score").alias("centres"),
+        "File", F.array_join(rounded.cast("array<string>"), " ").alias("distances"),
         (F.array_position("Score", F.array_min("Score")) == F.col("PredictedLabel")).alias("nearest"),
     )
 
 
 def apply_saved_model(spark, sf_dir):
-    """Train on the pages, save, load, and label the documents."""
-    result = categorise(_rows(spark, sf_dir), FEW)
+    """Train on every other document, save, load, and label all documents."""
+    rows = _language_rows(spark, sf_dir)
+    result = categorise(rows.filter("length(File) % 2 = 0 OR hash(File) % 2 = 0"))
     path = work_dir(spark, "trained")
     clustering.save_model(result.model, path)
-    new = _stored(model_input(c.stored_docs(spark, sf_dir)))
-    return apply_model(clustering.load_model(path), new)
+    return _named(apply_model(clustering.load_model(path), rows)).select("File", "category")
 
 
 def embedding_clusters(spark, sf_dir):
-    """The same sweep over ready-made vectors."""
-    from pyspark.ml.functions import array_to_vector
-
+    """The same sweep over ready-made vectors; distances are computed a second time."""
     rows = c.table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     vectors = rows.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    features = materialize(clustering.spread_rows(vectors, 8, ["vec_id"]), "embeddings")
-    found = clustering.sweep(features, FEW)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    features = materialize(clustering.spread_rows(vectors, parts, ["vec_id"]), "embeddings")
+    found = clustering.sweep(features)
     labelled = clustering.with_label(found.model.transform(features))
-    return labelled.select("vec_id", "PredictedLabel", F.size(vector_to_array("features")).alias("size"))
+    scored = clustering.with_distances(labelled, found.model)
+    own = vector_to_array("features")
+    gaps = []
+    for i, center in enumerate(found.model.clusterCenters()):
+        squares = F.zip_with(own, F.array(*map(F.lit, center.tolist())), lambda a, b: (a - b) * (a - b))
+        distance = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x))
+        gaps.append(F.abs(F.get("Score", F.lit(i)) - distance))
+    return scored.select(
+        "vec_id", F.size(own).cast("bigint").alias("size"),
+        (F.greatest(*gaps) < 1e-3).alias("agrees"),
+        (F.array_position("Score", F.array_min("Score")) == F.col("PredictedLabel")).alias("nearest"),
+    )
+
+
+def training_rows(spark, sf_dir):
+    """Rows of the stored training table."""
+    from ..operators.terms import corpus_size
+
+    return corpus_size(_stored(model_input(c.stored_docs(spark, sf_dir))))
 
 
 QUERIES = {
     "feature_terms": feature_terms,
-    "text_features": text_feature_norms,
+    "text_features": text_feature_weights,
     "kmeans_sweep": kmeans_sweep,
+    "language_sweep": language_sweep,
     "silhouette_sweep": silhouette_sweep,
     "categorize": categorized,
     "cluster_summary": cluster_summary,
     "centroid_distances": centroid_distances,
     "apply_saved_model": apply_saved_model,
     "embedding_clusters": embedding_clusters,
+    "training_rows": training_rows,
 }
 
 _BLOCKS = " UNION ALL ".join(
     f"SELECT \"File\", '{name}' AS name, lower(\"{name}\") AS t FROM page_model_input "
     f'WHERE "{name}" IS NOT NULL'
-    for name in FEATURE_TEXTS
+    for name in [*c.HEADINGS, "Top20Words"]
 )
 c.define("feature_texts", ("page_model_input",), _BLOCKS)
 c.define(
@@ -131,13 +220,36 @@ c.define(
     "unnest(range(1, length(t) - 1)) AS i FROM feature_texts)",
 )
 
+_COUNTED = 'SELECT "File", name, kind, gram, count(*) AS n FROM grams GROUP BY ALL'
+_LANGUAGE_NAMES = ", ".join(f"'{n} in language ' || repeat(lang, 3) AS \"{n}\"" for n in c.HEADINGS)
+_CATEGORY = 'min("File") OVER (PARTITION BY lang) AS category'
+c.define(
+    "language_rows", ("texts",),
+    f'SELECT "File", {_LANGUAGE_NAMES}, length("text") AS "WordCount", \'< 1 minute\' AS "ReadingTime", '
+    f"repeat(lang || lang || ' ', 5) AS \"Top20Words\", {_CATEGORY} FROM texts",
+)
+define_phrases("language_summary_rows", 'SELECT *, category AS lang FROM language_rows', ("language_rows",), "language_")
+_FAR = "(SELECT count(DISTINCT lang) FROM documents)"
+
 SQL = {
     "feature_terms": c.with_tables(
-        'SELECT "File", name, kind, gram, count(*) AS n FROM grams GROUP BY ALL', "grams"
+        "SELECT *, round(n / sqrt(sum(n * n) OVER (PARTITION BY \"File\", name, kind)), 9) AS weight "
+        f"FROM ({_COUNTED})",
+        "grams",
     ),
     "text_features": c.with_tables(
-        'SELECT "File", CAST(count(DISTINCT name || kind) AS DOUBLE) AS squared_length '
-        'FROM grams GROUP BY "File"',
-        "grams",
+        f'SELECT "File", name, kind, count(*) AS grams, true AS agrees FROM ({_COUNTED}) GROUP BY ALL', "grams"
+    ),
+    "kmeans_sweep": "SELECT unnest(range(2, 21)) AS k, true AS sound",
+    "language_sweep": "SELECT count(DISTINCT lang) AS best_k, 0.0::DOUBLE AS cost, 19 AS fits FROM documents",
+    "silhouette_sweep": "SELECT count(DISTINCT lang) AS clusters, 1.0::DOUBLE AS silhouette FROM documents",
+    "categorize": c.with_tables("SELECT * FROM language_rows", "language_rows"),
+    "cluster_summary": c.with_tables("SELECT category, ord, line, position FROM language_summary", "language_summary"),
+    "centroid_distances": (
+        "SELECT 'doc-' || doc_id || '.md' AS \"File\", "
+        f"'0.0' || repeat(' 1.4142', ({_FAR} - 1)::INTEGER) AS distances, true AS nearest FROM documents"
     ),
+    "apply_saved_model": c.with_tables('SELECT "File", category FROM language_rows', "language_rows"),
+    "embedding_clusters": "SELECT vec_id, len(embedding) AS size, true AS agrees, true AS nearest FROM embeddings",
+    "training_rows": c.with_tables("SELECT count(*) AS total FROM doc_model_input", "doc_model_input"),
 }

@@ -137,32 +137,39 @@ define(
     f'SELECT "File", pos, pos % 4 AS level, {sql_title_trim("line")} AS "text" '
     f"FROM lines WHERE NOT {sql_blank('line')}",
 )
-define(
-    "dedup", ("heading_rows",),
-    'SELECT "File", min(pos) AS pos, level, "text" FROM ('
-    'SELECT *, max(level) OVER (PARTITION BY "File", "text") AS deepest FROM heading_rows) '
-    'WHERE level = deepest GROUP BY "File", level, "text"',
-)
-define(
-    "ranked_headings", ("dedup",),
-    'SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "File" '
-    'ORDER BY level, length("text") DESC, pos) AS rn FROM dedup) WHERE rn <= 6',
-)
-define(
-    "slots", ("ranked_headings",),
-    'SELECT "File", shown, row_number() OVER (PARTITION BY "File" ORDER BY rn) AS slot FROM ('
-    f"SELECT \"File\", rn, replace({sql_trim('text')}, '\"', '') AS shown FROM ranked_headings) "
-    "WHERE length(shown) >= 5",
-)
-define(
-    "filled", ("slots", "ranked_headings"),
-    'SELECT r."File", '
-    + ", ".join(
-        f'max(CASE WHEN slot = {i + 1} THEN shown END) AS "{name}"' for i, name in enumerate(HEADINGS)
+
+
+def define_headings(rows: str, prefix: str = "") -> None:
+    """Deduplicated, ranked and filled headings over ``rows``, named with ``prefix``."""
+    define(
+        f"{prefix}dedup", (rows,),
+        'SELECT "File", min(pos) AS pos, level, "text" FROM ('
+        f'SELECT *, max(level) OVER (PARTITION BY "File", "text") AS deepest FROM {rows}) '
+        'WHERE level = deepest GROUP BY "File", level, "text"',
     )
-    + ' FROM (SELECT DISTINCT "File" FROM ranked_headings) r LEFT JOIN slots s ON s."File" = r."File" '
-    'GROUP BY r."File"',
-)
+    define(
+        f"{prefix}ranked_headings", (f"{prefix}dedup",),
+        'SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "File" '
+        f'ORDER BY level, length("text") DESC, pos) AS rn FROM {prefix}dedup) WHERE rn <= 6',
+    )
+    define(
+        f"{prefix}slots", (f"{prefix}ranked_headings",),
+        'SELECT "File", shown, row_number() OVER (PARTITION BY "File" ORDER BY rn) AS slot FROM ('
+        f"SELECT \"File\", rn, replace({sql_trim('text')}, '\"', '') AS shown FROM {prefix}ranked_headings) "
+        "WHERE length(shown) >= 5",
+    )
+    define(
+        f"{prefix}filled", (f"{prefix}slots", f"{prefix}ranked_headings"),
+        'SELECT r."File", '
+        + ", ".join(
+            f'max(CASE WHEN slot = {i + 1} THEN shown END) AS "{name}"' for i, name in enumerate(HEADINGS)
+        )
+        + f' FROM (SELECT DISTINCT "File" FROM {prefix}ranked_headings) r '
+        f'LEFT JOIN {prefix}slots s ON s."File" = r."File" GROUP BY r."File"',
+    )
+
+
+define_headings("heading_rows")
 
 
 def docs(spark, sf_dir) -> DataFrame:
@@ -205,27 +212,62 @@ define("plain_docs", ("texts",), f'SELECT "File", {sql_clean("text")} AS "Words"
 # --- pages ------------------------------------------------------------------
 
 
+#: The title (level 0) and the headers of a page; in text order, the title first.
+_TITLE = "(?is)<(title)(?: [^>]*)?>([^<]*)</"
+_HEADERS = "(?is)<h([1-6])(?: [^>]*)?>([^<]*)</"
+
+
+def page_heading_array(html="html"):
+    """Array of (level, text) of a page, texts trimmed, blank ones left out."""
+
+    def found(pattern):
+        tags = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+        texts = F.regexp_extract_all(html, F.lit(pattern), F.lit(2))
+        return F.arrays_zip(tags.alias("tag"), texts.alias("text"))
+
+    both = F.concat(found(_TITLE), found(_HEADERS))
+    levelled = F.transform(
+        both,
+        lambda h: F.struct(
+            F.when(h["tag"].rlike("^[1-6]$"), h["tag"].cast("int")).otherwise(0).alias("level"),
+            title_trim(h["text"]).alias("text"),
+        ),
+    )
+    return F.filter(levelled, lambda h: ~is_blank(h["text"]))
+
+
 def page_docs(spark, sf_dir) -> DataFrame:
     """pages in the form of the *docs* table, plus the page language."""
-    pages = table(spark, sf_dir, "pages", "page_id", "html")
-    title = F.regexp_extract("html", "(?s)<title>([^<]*)</title>", 1)
-    nothing = [F.lit(None).cast("string").alias(name) for name in HEADINGS[1:]]
-    return pages.select(
+    pages = table(spark, sf_dir, "pages", "page_id", "html").select(
         F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(".md")).alias("File"),
-        F.replace(title, F.lit('"'), F.lit("")).alias("Title"),
-        *nothing,
+        heading_slots(top_headings(page_heading_array())).alias("_slots"),
         clean_words(F.regexp_replace("html", "<[^>]*>", " ")).alias("Words"),
         F.regexp_extract("html", '<html lang="([^"]*)"', 1).alias("lang"),
     )
+    return pages.select("File", *slot_columns("_slots"), "Words", "lang")
 
 
 define(
-    "page_docs", (),
-    "SELECT 'page-' || page_id || '.md' AS \"File\", "
-    "replace(regexp_extract(html, '(?s)<title>([^<]*)</title>', 1), '\"', '') AS \"Title\", "
-    + ", ".join(f'CAST(NULL AS VARCHAR) AS "{name}"' for name in HEADINGS[1:])
+    "page_tags", (),
+    "SELECT 'page-' || page_id || '.md' AS \"File\", unnest(list_concat("
+    f"list_zip(list_transform(regexp_extract_all(html, '{_TITLE}', 1), lambda x: 0), regexp_extract_all(html, '{_TITLE}', 2)), "
+    f"list_zip(list_transform(regexp_extract_all(html, '{_HEADERS}', 1), lambda x: x::INTEGER), "
+    f"regexp_extract_all(html, '{_HEADERS}', 2)))) AS h FROM pages",
+)
+define(
+    "page_heading_rows", ("page_tags",),
+    'SELECT "File", row_number() OVER (PARTITION BY "File") - 1 AS pos, level, "text" FROM ('
+    f"SELECT \"File\", h[1] AS level, {sql_title_trim('h[2]')} AS \"text\" FROM page_tags "
+    f"WHERE NOT {sql_blank('h[2]')})",
+)
+define_headings("page_heading_rows", "page_")
+define(
+    "page_docs", ("page_filled",),
+    "SELECT p.\"File\", " + ", ".join(f'f."{name}"' for name in HEADINGS)
     + f", {sql_clean(chr(40) + 'regexp_replace(html, ' + chr(39) + '<[^>]*>' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')' + chr(41))} AS \"Words\", "
-    "regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang FROM pages",
+    "regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang "
+    "FROM (SELECT *, 'page-' || page_id || '.md' AS \"File\" FROM pages) p "
+    'LEFT JOIN page_filled f ON f."File" = p."File"',
 )
 
 

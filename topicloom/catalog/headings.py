@@ -39,17 +39,13 @@ def heading_fill_arrays(spark, sf_dir):
 
 
 def page_headings(spark, sf_dir):
-    """Title (level 0) and first header (level 1) of the pages."""
+    """Title (level 0) and all headers (1 to 6) of the pages."""
     pages = c.table(spark, sf_dir, "pages", "page_id", "html")
-    tags = [(0, "(?s)<title>([^<]*)</title>"), (1, "(?s)<h1>([^<]*)</h1>")]
-    found = F.array(
-        *[F.struct(F.lit(level).alias("level"), F.regexp_extract("html", tag, 1).alias("text"))
-          for level, tag in tags]
-    )
     rows = pages.select(
-        F.col("page_id").cast("string").alias("File"), F.posexplode(found).alias("pos", "h")
-    ).select("File", "pos", "h.level", title_trim("h.text").alias("text"))
-    ranked = headings.rank_headings(headings.dedup_headings(rows.filter(~is_blank("text"))))
+        F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(".md")).alias("File"),
+        F.posexplode(c.page_heading_array()).alias("pos", "h"),
+    ).select("File", "pos", "h.level", "h.text")
+    ranked = headings.rank_headings(headings.dedup_headings(rows))
     return _bigint(ranked, "pos", "level", "rn")
 
 
@@ -81,18 +77,6 @@ QUERIES = {
     "file_key": file_keys,
 }
 
-c.define(
-    "page_found", (),
-    "SELECT CAST(page_id AS VARCHAR) AS \"File\", 0 AS pos, 0 AS level, "
-    "regexp_extract(html, '(?s)<title>([^<]*)</title>', 1) AS t FROM pages UNION ALL "
-    "SELECT CAST(page_id AS VARCHAR), 1, 1, regexp_extract(html, '(?s)<h1>([^<]*)</h1>', 1) FROM pages",
-)
-c.define(
-    "page_heading_rows", ("page_found",),
-    f"SELECT * FROM (SELECT \"File\", pos, level, {c.sql_title_trim('t')} AS \"text\" FROM page_found) "
-    f"WHERE NOT {c.sql_blank(chr(34) + 'text' + chr(34))}",
-)
-
 SQL = {
     "title_trim": c.with_tables(
         f'SELECT "File", pos, {c.sql_title_trim("line")} AS title FROM lines', "lines"
@@ -106,12 +90,8 @@ SQL = {
         "texts", "filled",
     ),
     "page_headings": c.with_tables(
-        'SELECT "File", CAST(pos AS BIGINT) AS pos, CAST(level AS BIGINT) AS level, "text", rn FROM ('
-        'SELECT *, row_number() OVER (PARTITION BY "File" ORDER BY level, length("text") DESC, pos) AS rn '
-        'FROM (SELECT "File", min(pos) AS pos, level, "text" FROM (SELECT *, max(level) OVER '
-        '(PARTITION BY "File", "text") AS deepest FROM page_heading_rows) WHERE level = deepest '
-        'GROUP BY "File", level, "text")) WHERE rn <= 6',
-        "page_heading_rows",
+        'SELECT "File", pos, CAST(level AS BIGINT) AS level, "text", rn FROM page_ranked_headings',
+        "page_ranked_headings",
     ),
     "drop_untitled": c.with_tables(
         f'SELECT "File", trim({c.sql_extract(chr(34) + "Title" + chr(34))}) AS "Title" FROM filled '

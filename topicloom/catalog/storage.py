@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_value, is_blank
 from ..operators import summary
+from ..operators.ranking import number_rows
 from ..plans.rank import model_input
 from ..session import work_dir
 from ..sources import tables
@@ -15,6 +16,10 @@ from . import corpus as c
 from .summaries import categorised_pages
 
 
+#: How the names of the file queries start: plain ones and those other readers hide.
+NAMES = ["doc ", "_doc", ".doc"]
+
+
 def _layout(spark, name):
     return SessionLayout(work_dir(spark, name), 1)
 
@@ -48,17 +53,34 @@ def categorized_round_trip(spark, sf_dir):
     )
     rows = model_input(c.stored_docs(spark, sf_dir)).join(labels, "File")
     tables.write_categorized(rows, layout.categorized, "csv")
-    return tables.read_categorized(spark, layout.categorized, "csv").select(
-        "File", "Title", "WordCount", "ReadingTime", "Top20Words",
-        F.col("PredictedLabel").cast("bigint").alias("PredictedLabel"),
+    back = tables.read_categorized(spark, layout.categorized, "csv")
+    return back.withColumn("PredictedLabel", F.col("PredictedLabel").cast("bigint"))
+
+
+def raw_lines_round_trip(spark, sf_dir):
+    """Raw texts in every column of the text files: quotes, commas, back-slashes, line breaks."""
+    layout = _layout(spark, "raw")
+    odd = F.concat(F.lit('say "'), F.substring("text", 1, 40), F.lit('",\\ '))
+    raw = c.texts(spark, sf_dir).select(
+        "File", F.col("text").alias("Title"), odd.alias("Subtitle1"), F.lit("\\").alias("Subtitle2"),
+        F.lit('"').alias("Subtitle3"), F.lit("a,b\r\nc").alias("Subtitle4"),
+        F.substring("text", -30, 30).alias("Subtitle5"), F.col("text").alias("Words"),
     )
+    tables.write_docs(raw, layout.docs, "csv")
+    back = tables.read_docs(spark, layout.docs, "csv")
+    return back.select("File", *(F.md5(F.encode(n, "UTF-8")).alias(n) for n in [*c.HEADINGS, "Words"]))
 
 
 def summary_text(spark, sf_dir):
     layout = _layout(spark, "summary")
     lines = summary.summary_lines(categorised_pages(spark, sf_dir), "lang")
     tables.write_summary(lines, layout.summary)
-    return tables.read_summary(spark, layout.summary)
+    written = tables.read_summary(spark, layout.summary)
+    # The place of a line: its file, in name order, and its offset there, as one task reads a part.
+    found = written.select("line", F.col("_metadata.file_name").alias("part"),
+                           F.col("_metadata.file_block_start").alias("block"),
+                           F.monotonically_increasing_id().alias("at"))
+    return number_rows(found, [], ["part", "block", "at"], "position").select("line", "position")
 
 
 def _write_files(rows, root):
@@ -66,8 +88,9 @@ def _write_files(rows, root):
 
     def write(batches):
         for batch in batches:
+            system, base = fs.FileSystem.from_uri(root)
             for path, text in zip(batch["path"], batch["text"]):
-                system, target = fs.FileSystem.from_uri(f"{root}/{path}")
+                target = f"{base}/{path}"
                 system.create_dir(target.rpartition("/")[0])
                 with system.open_output_stream(target) as out:
                     out.write(text.encode("utf-8"))
@@ -76,10 +99,12 @@ def _write_files(rows, root):
     rows.mapInPandas(write, "n bigint").agg(F.sum("n")).collect()
 
 
-def _files(spark, sf_dir, hidden):
+def _files(spark, sf_dir, names):
+    """Documents as files whose names and folders start in the given ways, in turn."""
     root = work_dir(spark, "files")
+    start = F.get(F.array(*map(F.lit, names)), F.pmod("doc_id", F.lit(len(names))).cast("int"))
     rows = c.table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source").select(
-        F.concat(F.col("lang"), F.lit("/"), "source", F.lit("/"), F.lit(hidden),
+        F.concat(F.lit("_"), "lang", F.lit("/"), "source", F.lit("/"), start,
                  F.col("doc_id").cast("string"), F.lit(".md")).alias("path"),
         "text",
     )
@@ -88,12 +113,13 @@ def _files(spark, sf_dir, hidden):
 
 
 def file_scan(spark, sf_dir):
-    """Every document as a file: listing, key and content."""
-    root = _files(spark, sf_dir, "doc ")
+    """Every document as a file, whatever its name: listing, key and content."""
+    root = _files(spark, sf_dir, NAMES)
     files = with_file_key(scan_markdown(spark, root), root)
     listing = file_listing(files, root).withColumnRenamed("file", "path")
-    return files.join(listing, "path").select(
-        F.col("level").cast("bigint").alias("level"),
+    placed = number_rows(listing, [], [F.col("level"), F.col("path"), F.col("fileName")], "position")
+    return files.join(placed, "path").select(
+        F.col("level").cast("bigint").alias("level"), "position",
         "fileName", "File", F.length("content").cast("bigint").alias("n_chars"),
         F.md5(F.encode("content", "UTF-8")).alias("digest"),
     )
@@ -101,8 +127,8 @@ def file_scan(spark, sf_dir):
 
 def hidden_file_scan(spark, sf_dir):
     """Files whose names start with an underscore, which the native reader skips."""
-    root = _files(spark, sf_dir, "_doc")
-    files = with_file_key(scan_markdown(spark, root, include_hidden=True), root)
+    root = _files(spark, sf_dir, ["_doc"])
+    files = with_file_key(scan_markdown(spark, root), root)
     return files.select("File", F.md5(F.encode("content", "UTF-8")).alias("digest"))
 
 
@@ -117,37 +143,49 @@ QUERIES = {
     "docs_parquet_round_trip": docs_parquet_round_trip,
     "model_input_round_trip": model_input_round_trip,
     "categorized_round_trip": categorized_round_trip,
+    "raw_lines_round_trip": raw_lines_round_trip,
     "summary_text": summary_text,
     "file_scan": file_scan,
     "hidden_file_scan": hidden_file_scan,
     "blank_title_rows": blank_title_rows,
 }
 
-_NAMES = [*c.ATTRIBUTES, "Words"]
+_COLUMNS = [*c.ATTRIBUTES, "Words"]
 SQL = {
     "docs_round_trip": c.with_tables(
-        "SELECT " + ", ".join(f"nullif(\"{n}\", '') AS \"{n}\"" for n in _NAMES) + " FROM docs", "docs"
+        "SELECT " + ", ".join(f"nullif(\"{n}\", '') AS \"{n}\"" for n in _COLUMNS) + " FROM docs", "docs"
     ),
     "docs_parquet_round_trip": c.with_tables("SELECT * FROM docs", "docs"),
     "model_input_round_trip": c.with_tables("SELECT * FROM page_model_input", "page_model_input"),
     "categorized_round_trip": c.with_tables(
-        'SELECT m."File", "Title", "WordCount", "ReadingTime", "Top20Words", '
+        "SELECT " + ", ".join(f"nullif(m.\"{n}\", '') AS \"{n}\"" for n in c.ATTRIBUTES)
+        + ', "WordCount", "ReadingTime", "Top20Words", '
         'CAST(quality + 1 AS BIGINT) AS "PredictedLabel" FROM doc_model_input m '
         "JOIN labels l ON m.\"File\" = 'doc-' || l.doc_id || '.md'",
         "doc_model_input",
     ),
+    "raw_lines_round_trip": c.with_tables(
+        "SELECT \"File\", " + ", ".join(
+            f"md5(regexp_replace({text}, '\\r\\n?|\\n', ' ', 'g')) AS \"{name}\""
+            for name, text in [
+                ("Title", "text"), ("Subtitle1", "'say \"' || substr(text, 1, 40) || '\",\\ '"), ("Subtitle2", "'\\'"),
+                ("Subtitle3", "'\"'"), ("Subtitle4", "'a,b' || chr(13) || chr(10) || 'c'"),
+                ("Subtitle5", "right(text, 30)"), ("Words", "text"),
+            ]
+        ) + " FROM texts",
+        "texts",
+    ),
     "summary_text": c.with_tables(
-        "SELECT 'Category ' || category || ': ' || title AS line FROM titles "
-        "UNION ALL SELECT chr(9) || \"Title\" FROM categorised",
-        "titles", "categorised",
+        "SELECT line, position FROM summary", "summary",
     ),
     "file_scan": (
-        "SELECT 3 AS level, lang || '-' || \"source\" || '-doc ' || doc_id || '.md' AS \"fileName\", "
-        "lang || '-' || \"source\" || '-doc ' || doc_id || '.md' AS \"File\", "
-        "length(\"text\") AS n_chars, md5(\"text\") AS digest FROM documents"
+        "SELECT 3 AS level, row_number() OVER (ORDER BY p) AS position, replace(p, '/', '-') AS \"fileName\", "
+        "replace(p, '/', '-') AS \"File\", length(\"text\") AS n_chars, md5(\"text\") AS digest FROM ("
+        f"SELECT *, '_' || lang || '/' || \"source\" || '/' || {NAMES!r}[doc_id % {len(NAMES)} + 1] "
+        "|| doc_id || '.md' AS p FROM documents)"
     ),
     "hidden_file_scan": (
-        "SELECT lang || '-' || \"source\" || '-_doc' || doc_id || '.md' AS \"File\", "
+        "SELECT '_' || lang || '-' || \"source\" || '-_doc' || doc_id || '.md' AS \"File\", "
         "md5(\"text\") AS digest FROM documents"
     ),
     "blank_title_rows": c.with_tables(

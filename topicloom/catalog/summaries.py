@@ -16,7 +16,7 @@ def categorised_pages(spark, sf_dir):
 
 def title_prefixes(spark, sf_dir):
     titles = c.page_docs(spark, sf_dir)
-    rows = titles.select("File", F.inline(summary.title_prefixes("Title")))
+    rows = summary.title_prefixes(titles.select("File", "Title"))
     return rows.withColumn("pos", F.col("pos").cast("bigint"))
 
 
@@ -39,8 +39,7 @@ def phrase_counts(spark, sf_dir):
 
 
 def phrase_rank(spark, sf_dir):
-    ranked = summary.rank_phrases(_counts(spark, sf_dir))
-    return _flat(ranked).withColumn("rn", F.col("rn").cast("bigint"))
+    return _flat(summary.rank_all_phrases(_counts(spark, sf_dir)))
 
 
 def phrase_weight_squared(spark, sf_dir):
@@ -56,8 +55,38 @@ def category_title(spark, sf_dir):
 
 def category_summary(spark, sf_dir):
     lines = summary.summary_lines(categorised_pages(spark, sf_dir), "lang")
-    return summary.sort_summary(lines).select(
-        "category", F.col("ord").cast("bigint").alias("ord"), "line"
+    return summary.numbered_summary(lines).select(
+        "category", F.col("ord").cast("bigint").alias("ord"), "line", "position"
+    )
+
+
+def _documents(spark, sf_dir):
+    """Model input of the documents with their language; titles are whole lines."""
+    labels = c.texts(spark, sf_dir).select("File", "lang")
+    return model_input(c.stored_docs(spark, sf_dir)).join(labels, "File")
+
+
+def _document_counts(spark, sf_dir):
+    return summary.phrase_counts(summary.phrases(_documents(spark, sf_dir), "lang"))
+
+
+def document_phrase_counts(spark, sf_dir):
+    return _flat(_document_counts(spark, sf_dir))
+
+
+def document_phrase_rank(spark, sf_dir):
+    return _flat(summary.rank_all_phrases(_document_counts(spark, sf_dir)))
+
+
+def document_title_prefixes(spark, sf_dir):
+    rows = summary.title_prefixes(c.stored_docs(spark, sf_dir).select("File", "Title"))
+    return rows.withColumn("pos", F.col("pos").cast("bigint"))
+
+
+def document_category_summary(spark, sf_dir):
+    lines = summary.summary_lines(_documents(spark, sf_dir), "lang")
+    return summary.numbered_summary(lines).select(
+        "category", F.col("ord").cast("bigint").alias("ord"), "line", "position"
     )
 
 
@@ -68,6 +97,10 @@ QUERIES = {
     "phrase_weight_squared": phrase_weight_squared,
     "category_title": category_title,
     "category_summary": category_summary,
+    "document_title_prefixes": document_title_prefixes,
+    "document_phrase_counts": document_phrase_counts,
+    "document_phrase_rank": document_phrase_rank,
+    "document_category_summary": document_category_summary,
 }
 
 _PREFIXES = (
@@ -75,38 +108,59 @@ _PREFIXES = (
     "SELECT \"File\", {key} p, unnest(range(len(p))) AS i FROM (SELECT \"File\", {key} "
     "string_split(\"Title\", ' ') AS p FROM {source})) WHERE regexp_matches(p[i + 1], '[a-zA-Z'']')"
 )
-c.define(
-    "categorised", ("page_model_input", "page_docs"),
+
+
+def define_phrases(rows: str, select: str, needs: tuple[str, ...], prefix: str = "") -> None:
+    """Phrase tables over ``rows`` (File, Title, Top20Words, lang), named with ``prefix``."""
+    c.define(rows, needs, select)
+    c.define(
+        f"{prefix}phrases", (rows,),
+        'SELECT lang AS category, "File", 0 AS src, pos, phrase FROM (SELECT lang, "File", '
+        "unnest(range(len(string_split(\"Top20Words\", ' ')))) AS pos, "
+        f"unnest(string_split(\"Top20Words\", ' ')) AS phrase FROM {rows}) WHERE trim(phrase) <> '' "
+        "UNION ALL SELECT lang, \"File\", 1, pos, phrase FROM ("
+        + _PREFIXES.format(key="lang,", source=rows)
+        + ") WHERE trim(phrase) <> ''",
+    )
+    c.define(
+        f"{prefix}counted", (f"{prefix}phrases",),
+        'SELECT category, phrase, cnt, "File" AS first_file, src AS first_src, pos AS first_pos FROM ('
+        'SELECT *, count(*) OVER (PARTITION BY category, phrase) AS cnt, row_number() OVER '
+        '(PARTITION BY category, phrase ORDER BY "File", src, pos) AS place '
+        f"FROM {prefix}phrases) WHERE place = 1",
+    )
+    c.define(
+        f"{prefix}weighted", (f"{prefix}counted",),
+        "SELECT *, xor(CAST(len(string_split(phrase, ' ')) AS BIGINT), 2 * cnt) AS weight "
+        f"FROM {prefix}counted",
+    )
+    c.define(
+        f"{prefix}ranked_phrases", (f"{prefix}weighted",),
+        "SELECT *, row_number() OVER (PARTITION BY category ORDER BY cnt DESC, weight DESC, "
+        f"first_file, first_src, first_pos, phrase) AS rn FROM {prefix}weighted",
+    )
+    c.define(
+        f"{prefix}titles", (f"{prefix}ranked_phrases",),
+        "SELECT category, string_agg(phrase, ',' ORDER BY length(phrase) DESC, rn) AS title "
+        f"FROM {prefix}ranked_phrases WHERE rn <= 10 GROUP BY category",
+    )
+    c.define(
+        f"{prefix}summary", (f"{prefix}titles", rows),
+        'SELECT *, row_number() OVER (ORDER BY category, ord, line, "File") AS position FROM ('
+        "SELECT category, 0 AS ord, 'Category ' || category || ': ' || title AS line, '' AS \"File\" "
+        f"FROM {prefix}titles UNION ALL SELECT lang, 1, chr(9) || \"Title\", \"File\" FROM {rows})",
+    )
+
+
+define_phrases(
+    "categorised",
     'SELECT m.*, p.lang FROM page_model_input m JOIN page_docs p ON p."File" = m."File"',
+    ("page_model_input", "page_docs"),
 )
-c.define(
-    "phrases", ("categorised",),
-    "SELECT lang AS category, \"File\", 0 AS src, pos, phrase FROM (SELECT lang, \"File\", "
-    "unnest(range(len(string_split(\"Top20Words\", ' ')))) AS pos, "
-    "unnest(string_split(\"Top20Words\", ' ')) AS phrase FROM categorised) WHERE trim(phrase) <> '' "
-    "UNION ALL SELECT lang, \"File\", 1, pos, phrase FROM ("
-    + _PREFIXES.format(key="lang,", source="categorised")
-    + ") WHERE trim(phrase) <> ''",
-)
-c.define(
-    "counted", ("phrases",),
-    'SELECT category, phrase, cnt, "File" AS first_file, src AS first_src, pos AS first_pos FROM ('
-    'SELECT *, count(*) OVER (PARTITION BY category, phrase) AS cnt, row_number() OVER '
-    '(PARTITION BY category, phrase ORDER BY "File", src, pos) AS place FROM phrases) WHERE place = 1',
-)
-c.define(
-    "weighted", ("counted",),
-    "SELECT *, xor(CAST(len(string_split(phrase, ' ')) AS BIGINT), 2 * cnt) AS weight FROM counted",
-)
-c.define(
-    "ranked_phrases", ("weighted",),
-    "SELECT *, row_number() OVER (PARTITION BY category ORDER BY cnt DESC, weight DESC, "
-    "first_file, first_src, first_pos, phrase) AS rn FROM weighted",
-)
-c.define(
-    "titles", ("ranked_phrases",),
-    "SELECT category, string_agg(phrase, ',' ORDER BY length(phrase) DESC, rn) AS title "
-    "FROM ranked_phrases WHERE rn <= 10 GROUP BY category",
+define_phrases(
+    "categorised_documents",
+    'SELECT m.*, t.lang FROM doc_model_input m JOIN texts t ON t."File" = m."File"',
+    ("doc_model_input", "texts"), "doc_",
 )
 
 SQL = {
@@ -119,9 +173,11 @@ SQL = {
         "counted",
     ),
     "category_title": c.with_tables("SELECT * FROM titles", "titles"),
-    "category_summary": c.with_tables(
-        "SELECT category, 0 AS ord, 'Category ' || category || ': ' || title AS line FROM titles "
-        "UNION ALL SELECT lang, 1, chr(9) || \"Title\" FROM categorised",
-        "titles", "categorised",
+    "category_summary": c.with_tables("SELECT category, ord, line, position FROM summary", "summary"),
+    "document_title_prefixes": c.with_tables(_PREFIXES.format(key="", source="docs"), "docs"),
+    "document_phrase_counts": c.with_tables("SELECT * FROM doc_counted", "doc_counted"),
+    "document_phrase_rank": c.with_tables("SELECT * FROM doc_ranked_phrases", "doc_ranked_phrases"),
+    "document_category_summary": c.with_tables(
+        "SELECT category, ord, line, position FROM doc_summary", "doc_summary"
     ),
 }

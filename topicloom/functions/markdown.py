@@ -126,7 +126,7 @@ def header_text(line) -> Column:
     it. Blank when there is none.
     """
     body = F.regexp_replace(
-        _column(line), rf"\A{_CONTAINER}#{{1,6}}|\n(?:=+|-+)[ \t]*\z|#+[ \t]*\z", ""
+        _column(line), rf"\A{_CONTAINER}#{{1,6}}|\n(?:=++|-++)[ \t]*+\z|(?<!#)#++[ \t]*+\z", ""
     )
     runs = F.filter(
         F.split(F.regexp_replace(body, _MARKS, "\u0001"), "\u0001"), lambda run: run != ""

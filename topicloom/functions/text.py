@@ -23,8 +23,11 @@ def is_blank(c) -> Column:
 
 
 def trim_space(c) -> Column:
-    """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(_column(c), rf"\A{SPACE}+|{SPACE}+\z", "")
+    """Trim every kind of white space, not only blanks.
+
+    The end is tried once for each run of white space, from its first character.
+    """
+    return F.regexp_replace(_column(c), rf"\A{SPACE}++|(?<!{SPACE}){SPACE}++\z", "")
 
 
 def extract_words(c, non_letter=NON_LETTER) -> Column:

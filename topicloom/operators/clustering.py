@@ -79,7 +79,9 @@ def sweep(features: DataFrame, ks=range(LOW_K, HIGH_K + 1), seed: int = SEED,
             if best_k(costs) == k:
                 best = model
     finally:
+        # Fits that still run use the rows, also if another one has failed.
         pool.close()
+        pool.join()
         rows.unpersist()
     return Sweep(costs, best_k(costs), best)
 

@@ -2,13 +2,16 @@
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import HashingTF, Normalizer, SQLTransformer, VectorAssembler
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..schemas import FEATURE_TEXTS
 
 FEATURES = "features"
 
-# Slots per block of grams; raise it for large vocabularies.
-NUM_FEATURES = 1 << 10
+# Slots of a block for each distinct gram it holds, and the bounds of a block: the
+# centres of a model are dense, so the upper one limits what a fit holds in memory.
+SPARE, LEAST, MOST = 2, 16, 1 << 18
 
 
 def featurized(column: str) -> str:
@@ -24,13 +27,38 @@ def gram_columns(column: str) -> dict[str, str]:
     }
 
 
-def text_featurizer(columns=FEATURE_TEXTS, num_features: int = NUM_FEATURES,
+def gram_rows(rows: DataFrame, columns=FEATURE_TEXTS, key: str = "File") -> DataFrame:
+    """(key, name, kind, gram): a row for each gram of each text column."""
+    blocks = F.array(
+        *[
+            F.struct(F.lit(name).alias("name"), F.lit(kind).alias("kind"), F.expr(sql).alias("grams"))
+            for name in columns
+            for kind, sql in gram_columns(name).items()
+        ]
+    )
+    found = rows.select(key, F.inline(blocks))
+    return found.select(key, "name", "kind", F.explode("grams").alias("gram"))
+
+
+def gram_widths(rows: DataFrame, columns=FEATURE_TEXTS) -> dict[tuple[str, str], int]:
+    """Slots of each block: a power of two with room for the distinct grams of ``rows``.
+
+    One pass; a sketch for each block reaches the driver as one number.
+    """
+    grams = gram_rows(rows.withColumn("_row", F.lit(0)), columns, "_row")
+    counts = grams.groupBy("name", "kind").agg(F.approx_count_distinct("gram", 0.02).alias("n"))
+    found = {(r["name"], r["kind"]): r["n"] for r in counts.collect()}
+    width = lambda n: min(MOST, max(LEAST, 1 << (SPARE * n - 1).bit_length()))
+    return {(c, kind): width(found.get((c, kind), 1)) for c in columns for kind in gram_columns(c)}
+
+
+def text_featurizer(columns=FEATURE_TEXTS, num_features: int | dict = MOST,
                     features: str = FEATURES) -> PipelineModel:
     """Word and trigram counts per column, each scaled to length one, in one vector.
 
-    Grams are hashed into ``num_features`` slots per block, so no vocabulary is
-    gathered and the model size does not depend on the corpus. All stages are
-    plain transformers, so there is nothing to fit and the result can be saved.
+    Grams are hashed into ``num_features`` slots per block (or as many as a table
+    made by :func:`gram_widths` says), so no vocabulary is gathered. All stages
+    are plain transformers, so there is nothing to fit and the result can be saved.
     """
     helpers, grams, stages = [], [], []
     for column in columns:
@@ -38,7 +66,8 @@ def text_featurizer(columns=FEATURE_TEXTS, num_features: int = NUM_FEATURES,
         for kind, sql in gram_columns(column).items():
             tokens, counts, block = (f"_{column}_{kind}{part}" for part in ("", "_tf", "_unit"))
             grams.append(f"{sql} AS `{tokens}`")
-            stages.append(HashingTF(numFeatures=num_features, inputCol=tokens, outputCol=counts))
+            width = num_features[column, kind] if isinstance(num_features, dict) else num_features
+            stages.append(HashingTF(numFeatures=width, inputCol=tokens, outputCol=counts))
             stages.append(Normalizer(p=2.0, inputCol=counts, outputCol=block))
             helpers += [tokens, counts, block]
             blocks.append(block)

@@ -10,8 +10,6 @@ broadcasting them safe. Every other key is too small to overload a task.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import plain_unions
-
 KEY_UNIT = 64
 
 
@@ -21,25 +19,35 @@ def _is_hot(rows, key, total, slots):
     return F.coalesce(F.col(rows) * slots > total * size, F.lit(False))
 
 
+def _parts(rows, total, slots):
+    return F.ceil(F.col(rows) * slots / total).cast("int")
+
+
+def _copies(lookup: DataFrame, parts) -> DataFrame:
+    """A row per part, numbered by ``_salt``."""
+    last = F.coalesce(parts, F.lit(1)) - 1
+    return lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
+
+
+def _salt(spread_by: list[str], parts):
+    return F.pmod(F.xxhash64(*spread_by), F.coalesce(parts, F.lit(1))).cast("int")
+
+
 def join_weighted(facts: DataFrame, lookup: DataFrame, key: str, weight: str,
-                  slots: int = 20_000) -> DataFrame:
+                  spread_by: list[str], slots: int = 20_000) -> DataFrame:
     """Inner join of ``facts`` to ``lookup``, which holds the row count per key.
 
-    Rows of hot keys get their values from a broadcast and are not shuffled.
-    Only the others, each key of bounded size, go through a shuffled join. Both
-    branches read the same upstream exchange of ``facts``.
+    A hot key is cut into parts by a hash of ``spread_by``, in proportion to its
+    weight, and its lookup row is copied once per part: at most ``2 * slots``
+    copies. Only the list of hot keys is broadcast. One join serves all rows.
     """
-    plain_unions(facts.sparkSession)
     total = lookup.agg(F.sum(weight)).scalar()
-    marked = lookup.withColumn("_heavy", _is_hot(weight, key, total, slots))
-    values = [c for c in lookup.columns if c != key]
-    hot = marked.filter("_heavy")
-    cold = marked.filter("NOT _heavy").drop("_heavy")
-
-    flagged = facts.join(F.broadcast(hot), key, "left")
-    done = flagged.filter("_heavy").select(*facts.columns, *values)
-    rest = flagged.filter("_heavy IS NULL").select(*facts.columns).join(cold, key)
-    return done.unionByName(rest.select(*facts.columns, *values))
+    parts = F.when(_is_hot(weight, key, total, slots), _parts(weight, total, slots))
+    marked = lookup.withColumn("_parts", parts)
+    hot = F.broadcast(marked.filter("_parts IS NOT NULL").select(key, "_parts"))
+    spread = facts.join(hot, key, "left").withColumn("_salt", _salt(spread_by, F.col("_parts")))
+    copies = _copies(marked, F.col("_parts")).drop("_parts")
+    return spread.drop("_parts").join(copies, [key, "_salt"]).drop("_salt")
 
 
 def join_salted(facts: DataFrame, lookup: DataFrame, key: str, spread_by: list[str],
@@ -52,15 +60,10 @@ def join_salted(facts: DataFrame, lookup: DataFrame, key: str, spread_by: list[s
     """
     counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     total = facts.agg(F.count(F.lit(1))).scalar()
-    parts = F.ceil(F.col("_rows") * slots / total).cast("int")
     hot = F.broadcast(
-        counts.filter(_is_hot("_rows", key, total, slots)).select(key, parts.alias("_parts"))
-    )
-    salt = F.pmod(F.xxhash64(*spread_by), F.coalesce("_parts", F.lit(1))).cast("int")
-    spread = facts.join(hot, key, "left").withColumn("_salt", salt).drop("_parts")
-    copies = (
-        lookup.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
-        .drop("_parts")
+        counts.filter(_is_hot("_rows", key, total, slots))
+        .select(key, _parts("_rows", total, slots).alias("_parts"))
     )
-    return spread.join(copies, [key, "_salt"]).drop("_salt")
+    spread = facts.join(hot, key, "left").withColumn("_salt", _salt(spread_by, F.col("_parts")))
+    copies = _copies(lookup.join(hot, key, "left"), F.col("_parts")).drop("_parts")
+    return spread.drop("_parts").join(copies, [key, "_salt"]).drop("_salt")

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
-from ..session import plain_unions
+from .ranking import number_rows
 
 # Fixed value: phrases in the name of a category.
 TITLE_PHRASES = 10
@@ -14,48 +14,53 @@ def _unquoted(c) -> Column:
     return F.coalesce(F.replace(F.col(c), F.lit('"'), F.lit("")), F.lit(""))
 
 
-def word_phrases(c) -> Column:
-    """The words of a space separated list, as (pos, phrase)."""
-    parts = F.transform(
-        F.split(_unquoted(c), " "), lambda w, i: F.struct(i.alias("pos"), w.alias("phrase"))
-    )
-    return F.filter(parts, lambda p: ~is_blank(p["phrase"]))
+def _parts(c) -> Column:
+    return F.split(_unquoted(c), " ")
+
+
+def _word_places(words) -> Column:
+    """Places of the words that are not blank."""
+    places = F.transform(words, lambda w, i: F.when(~is_blank(w), i))
+    return F.filter(places, lambda i: i.isNotNull())
+
+
+def _prefix_places(parts) -> Column:
+    """Places at which a prefix ends: parts with a letter."""
+    places = F.transform(parts, lambda w, i: F.when(w.rlike("[a-zA-Z']"), i))
+    return F.filter(places, lambda i: i.isNotNull())
 
 
-def title_prefixes(c) -> Column:
-    """Every prefix of a title that ends in a part with a letter, as (pos, phrase).
+def _prefix(parts, pos) -> Column:
+    return F.array_join(F.slice(parts, F.lit(1), F.col(pos) + 1), " ")
 
-    Parts without a letter end no prefix but stay inside later ones.
+
+def title_prefixes(titles: DataFrame, title: str = "Title") -> DataFrame:
+    """(…, pos, phrase): every prefix of a title that ends in a part with a letter.
+
+    Parts without a letter end no prefix but stay inside later ones. The places
+    are exploded first and each row makes its own prefix, so no row holds all
+    prefixes of a long title.
     """
-    parts = F.split(_unquoted(c), " ")
-    ends = F.filter(
-        F.transform(parts, lambda w, i: F.struct(i.alias("pos"), w.alias("part"))),
-        lambda p: p["part"].rlike("[a-zA-Z']"),
-    )
-    return F.transform(
-        ends,
-        lambda p: F.struct(
-            p["pos"].alias("pos"),
-            F.array_join(F.slice(parts, F.lit(1), p["pos"] + 1), " ").alias("phrase"),
-        ),
-    )
+    keep = [c for c in titles.columns if c != title]
+    split = titles.select(*keep, _parts(title).alias("_parts"))
+    ends = split.select(*keep, "_parts", F.explode(_prefix_places(F.col("_parts"))).alias("pos"))
+    return ends.select(*keep, "pos", _prefix("_parts", "pos").alias("phrase"))
 
 
 def phrases(categorised: DataFrame, category: str = "PredictedLabel") -> DataFrame:
     """All phrases of the documents: top words (src 0), then the title (src 1)."""
 
-    def tagged(found, src):
-        return F.transform(
-            found,
-            lambda p: F.struct(
-                F.lit(src).alias("src"), p["pos"].alias("pos"), p["phrase"].alias("phrase")
-            ),
-        )
-
-    both = F.concat(tagged(word_phrases("Top20Words"), 0), tagged(title_prefixes("Title"), 1))
-    return categorised.select(
-        F.col(category).alias("category"), "File", F.inline(both)
+    def tagged(places, src):
+        return F.transform(places, lambda i: F.struct(F.lit(src).alias("src"), i.alias("pos")))
+
+    split = categorised.select(
+        F.col(category).alias("category"), "File",
+        _parts("Top20Words").alias("_words"), _parts("Title").alias("_parts"),
     )
+    words, ends = _word_places(F.col("_words")), _prefix_places(F.col("_parts"))
+    places = split.select("*", F.inline(F.concat(tagged(words, 0), tagged(ends, 1))))
+    phrase = F.when(F.col("src") == 0, F.get("_words", F.col("pos"))).otherwise(_prefix("_parts", "pos"))
+    return places.select("category", "File", "src", "pos", phrase.alias("phrase"))
 
 
 def phrase_counts(found: DataFrame) -> DataFrame:
@@ -81,15 +86,27 @@ def phrase_weight(phrase, count, weight="xor") -> Column:
     raise ValueError(f"unknown weight: {weight}")
 
 
+def _order() -> list[Column]:
+    return [F.desc("cnt"), F.desc("weight"), F.col("first_seen"), F.col("phrase")]
+
+
 def rank_phrases(counts: DataFrame, weight="xor") -> DataFrame:
-    """Number the phrases of a category by count, weight, first place."""
-    order = Window.partitionBy("category").orderBy(
-        F.desc("cnt"), F.desc("weight"), "first_seen", "phrase"
-    )
+    """Number the phrases of a category by count, weight, first place.
+
+    Meant for the first few: a limit on the number also works before the shuffle.
+    :func:`rank_all_phrases` numbers whole categories.
+    """
     weighted = counts.withColumn("weight", phrase_weight("phrase", "cnt", weight))
+    order = Window.partitionBy("category").orderBy(*_order())
     return weighted.withColumn("rn", F.row_number().over(order))
 
 
+def rank_all_phrases(counts: DataFrame, weight="xor") -> DataFrame:
+    """The same numbers for every phrase, with a large category spread over many tasks."""
+    weighted = counts.withColumn("weight", phrase_weight("phrase", "cnt", weight))
+    return number_rows(weighted, ["category"], _order())
+
+
 def category_titles(ranked: DataFrame, k: int = TITLE_PHRASES) -> DataFrame:
     """The first ``k`` phrases per category, longest first, joined by commas.
 
@@ -108,7 +125,6 @@ def summary_lines(categorised: DataFrame, category: str = "PredictedLabel", weig
 
     Unsorted; :func:`sort_summary` gives the reading order.
     """
-    plain_unions(categorised.sparkSession)
     ranked = rank_phrases(phrase_counts(phrases(categorised, category)), weight)
     heads = category_titles(ranked).select(
         "category",
@@ -122,7 +138,9 @@ def summary_lines(categorised: DataFrame, category: str = "PredictedLabel", weig
         F.concat(F.lit("\t"), "Title").alias("line"),
         "File",
     )
-    return heads.unionByName(titles)
+    # A row per category. In one partition it shares no partitioning with the
+    # titles, which the union could otherwise wrongly claim for its rows.
+    return heads.repartition(1).unionByName(titles)
 
 
 def sort_summary(lines: DataFrame, collation: str | None = None) -> DataFrame:
@@ -135,3 +153,8 @@ def sort_summary(lines: DataFrame, collation: str | None = None) -> DataFrame:
     line = F.col("line")
     keys = ["category", "ord", *([F.collate(line, collation)] if collation else []), "line", "File"]
     return lines.orderBy(*keys)
+
+
+def numbered_summary(lines: DataFrame) -> DataFrame:
+    """The lines with ``position``, their place in reading order."""
+    return number_rows(lines, [], ["category", "ord", "line", "File"], "position")

@@ -28,32 +28,35 @@ def words(docs: DataFrame) -> DataFrame:
     return docs.select("File", F.explode(_tokens_or_null()).alias("word"))
 
 
-def gather_documents(docs: DataFrame) -> DataFrame:
-    """Bring the rows of a document into one partition, if no document is hot.
-
-    Texts are smaller than the word rows made from them, so this is the cheapest
-    place to shuffle: counting per document then needs no shuffle, and ranking
-    sends no more than the top words of a document on. A key held by more rows than an even share of the partitions would
-    overload one of them. One job over the key column finds out, and then the rows
-    stay where they are and counting shuffles by document and word.
-    """
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    copies = docs.groupBy("File").agg(F.count(F.lit(1)).alias("n"))
-    most, total = copies.agg(F.max("n"), F.sum("n")).first()
-    if most is None or most * partitions > total:
-        return docs
-    return docs.select("File", "Words").repartition("File")
+def _runs(sorted_words: str) -> Column:
+    """(word, n) of each word of a sorted array."""
+    w = F.col(sorted_words)
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size(w) - 1), lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1))
+    )
+    return F.transform(starts, lambda i: F.struct(F.get(w, i).alias("word"), i.alias("start")))
 
 
 def term_frequency(docs: DataFrame) -> DataFrame:
     """Count of each lower-case word per document.
 
-    Rows are combined before the shuffle, which is keyed by document and word,
-    so neither a frequent word nor a large document ends up in one task. After
-    :func:`gather_documents` no shuffle is left.
+    A row counts its own words first, by sorting them, so that only distinct
+    words leave it. The counts of rows that share a key are then added up by
+    document and word, so neither a frequent word nor a large document ends up
+    in one task. Texts are not shuffled.
     """
     lowered = docs.select("File", F.lower("Words").alias("Words"))
-    return words(lowered).groupBy("File", "word").agg(F.count(F.lit(1)).alias("count"))
+    ordered = lowered.select("File", F.sort_array(_tokens_or_null()).alias("_words"))
+    placed = ordered.select("File", _runs("_words").alias("_runs"), F.size("_words").alias("_size"))
+    counts = F.transform(
+        "_runs",
+        lambda r, i: F.struct(
+            r["word"].alias("word"),
+            (F.coalesce(F.get("_runs", i + 1)["start"], F.col("_size")) - r["start"]).alias("n"),
+        ),
+    )
+    own = placed.select("File", F.explode(counts).alias("_term")).select("File", "_term.word", "_term.n")
+    return own.groupBy("File", "word").agg(F.sum("n").alias("count"))
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
@@ -99,7 +102,7 @@ def tf_idf(tf: DataFrame, docs: DataFrame, variant="outside",
     if listed is not None:
         marks = listed.select("word").distinct().withColumn("_listed", F.lit(True))
         idf = idf.join(marks, "word", "left")
-    joined = join_weighted(tf, idf, "word", "docFrequency")
+    joined = join_weighted(tf, idf, "word", "docFrequency", ["File"])
     if listed is not None:
         joined = joined.filter("_listed IS NULL")
     return joined.select(
@@ -112,19 +115,16 @@ def tf_idf(tf: DataFrame, docs: DataFrame, variant="outside",
     )
 
 
-def filtered_scores(docs: DataFrame, stop_words=STOP_WORDS, variant="outside",
-                    gathered: DataFrame | None = None) -> DataFrame:
+def filtered_scores(docs: DataFrame, stop_words=STOP_WORDS, variant="outside") -> DataFrame:
     """Scores without stop words.
 
     Stop words leave before counting: the document frequency of a word does not
     depend on other words, so the scores are the same with far fewer rows. A
     DataFrame with a ``word`` column is a list in addition to the default one.
-    ``gathered`` takes the documents as :func:`gather_documents` left them.
     """
-    gathered = gather_documents(docs) if gathered is None else gathered
     listed = stop_words if isinstance(stop_words, DataFrame) else None
     known = STOP_WORDS if listed is not None else stop_words
-    kept = drop_stop_words(term_frequency(gathered), known)
+    kept = drop_stop_words(term_frequency(docs), known)
     return tf_idf(kept, docs, variant, listed).select("File", "word", SCORE)
 
 

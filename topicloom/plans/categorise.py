@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from ..operators import clustering
-from ..operators.features import NUM_FEATURES, text_featurizer
+from ..operators.features import gram_widths, text_featurizer
 from ..schemas import ATTRIBUTES, CATEGORIZED
 from ..session import materialize
 
@@ -21,13 +21,16 @@ class Categorised:
 
 
 def text_features(rows: DataFrame, partitions: int | None = None,
-                  num_features: int = NUM_FEATURES):
+                  num_features: int | None = None):
     """Featuriser and the featurised rows, stored once for all fits.
 
+    Blocks are as wide as the distinct grams of the rows ask for, unless
+    ``num_features`` is given.
+
     The rows are laid out in ``partitions`` parts, the shuffle partitions of the
     session unless given, so that a run can be repeated.
     """
-    featurizer = text_featurizer(num_features=num_features)
+    featurizer = text_featurizer(num_features=num_features or gram_widths(rows))
     partitions = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid_out = clustering.spread_rows(rows, partitions, [*ATTRIBUTES, "Top20Words"])
     return featurizer, materialize(featurizer.transform(laid_out), "features")
@@ -35,7 +38,7 @@ def text_features(rows: DataFrame, partitions: int | None = None,
 
 def categorise(rows: DataFrame, ks=range(clustering.LOW_K, clustering.HIGH_K + 1),
                metric="distance", partitions: int | None = None,
-               num_features: int = NUM_FEATURES, max_iter: int = 20) -> Categorised:
+               num_features: int | None = None, max_iter: int = 20) -> Categorised:
     """Featurise once, sweep k, and label the rows with the best model."""
     featurizer, features = text_features(rows, partitions, num_features)
     found = clustering.sweep(features, ks, metric=metric, max_iter=max_iter)

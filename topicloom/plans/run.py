@@ -14,11 +14,12 @@ from .rank import model_input
 
 
 def extract_step(spark: SparkSession, root: str, layout: SessionLayout,
-                 include_hidden=False, key="File", fmt="parquet") -> None:
+                 skip_hidden_names=False, key="File", fmt="parquet") -> None:
     """Write *docs*. ``key="path"`` uses the full path where file keys collide."""
-    files = with_file_key(scan_markdown(spark, root, include_hidden=include_hidden), root)
-    if not include_hidden:
+    files = scan_markdown(spark, root, skip_hidden_names=skip_hidden_names)
+    if skip_hidden_names:
         files = spread_input(files)
+    files = with_file_key(files, root)
     if key == "path":
         files = files.withColumn("File", files["path"])
     tables.write_docs(extract_documents(files.select("File", "content")), layout.docs, fmt)
@@ -43,8 +44,12 @@ def categorise_step(spark: SparkSession, layout: SessionLayout, fmt="parquet",
 
 
 def run(spark: SparkSession, root: str, layout: SessionLayout, fmt="parquet",
-        ks=range(LOW_K, HIGH_K + 1), **options):
-    """All three steps over stored tables."""
-    extract_step(spark, root, layout, fmt=fmt)
-    rank_step(spark, layout, fmt=fmt)
-    return categorise_step(spark, layout, fmt=fmt, ks=ks, **options)
+        extract: dict | None = None, rank: dict | None = None, categorise: dict | None = None):
+    """All three steps over stored tables, each with its own options.
+
+    ``extract``: skip_hidden_names, key. ``rank``: k, stop_words, variant.
+    ``categorise``: ks, weight, metric, partitions, num_features, max_iter.
+    """
+    extract_step(spark, root, layout, fmt=fmt, **(extract or {}))
+    rank_step(spark, layout, fmt=fmt, **(rank or {}))
+    return categorise_step(spark, layout, fmt=fmt, **(categorise or {}))

@@ -37,11 +37,3 @@ CATEGORIZED = StructType(
         StructField("PredictedLabel", IntegerType()),
     ]
 )
-
-SUMMARY = StructType(
-    [
-        StructField("category", IntegerType()),
-        StructField("ord", IntegerType()),
-        StructField("line", StringType()),
-    ]
-)

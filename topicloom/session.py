@@ -26,17 +26,6 @@ def build_session(master=None, app="topicloom", **conf) -> SparkSession:
     return builder.getOrCreate()
 
 
-def plain_unions(spark: SparkSession) -> None:
-    """Keep unions from claiming the partitioning of their branches.
-
-    Spark 4.1 lets a union of equally partitioned branches count as partitioned.
-    When adaptive execution then coalesces the branches in different ways, rows of
-    one key end up in several partitions and a grouping above the union returns
-    the key more than once. Every function here that makes a union calls this.
-    """
-    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
-
-
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared checkpoint folder of the cluster.
 

@@ -2,12 +2,16 @@
 
 import os
 import re
+from itertools import islice
+from urllib.parse import quote
 
 import pandas as pd
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 SUFFIX = ".md"
 
 
@@ -41,14 +45,14 @@ def file_level(relative) -> Column:
 
 
 def scan_markdown(spark: SparkSession, root: str, suffix: str = SUFFIX,
-                  include_hidden: bool = False) -> DataFrame:
+                  skip_hidden_names: bool = False) -> DataFrame:
     """Recursively read the files ending in ``suffix`` as (path, content).
 
-    Folders starting with a dot are skipped. The native reader also skips names
-    starting with ``_`` and files starting with a dot; ``include_hidden`` reads
-    those as well, through tasks that list and open the files themselves.
+    Folders starting with a dot are skipped, all other names are read. With
+    ``skip_hidden_names`` Spark's own reader is used, which also passes over names
+    starting with ``_`` and files starting with a dot.
     """
-    if include_hidden:
+    if not skip_hidden_names:
         return _scan_all(spark, root_path(root), suffix)
     files = (
         spark.read.format("text")
@@ -79,6 +83,10 @@ def with_file_key(files: DataFrame, root: str) -> DataFrame:
     return files.withColumn("File", file_key(relative_path("path", root)))
 
 
+# Paths, and bytes of content, that a task hands on at once.
+_PATHS, _BYTES = 1000, 8 << 20
+
+
 def _reader(suffix):
     """Functions that list and read below an address.
 
@@ -87,51 +95,64 @@ def _reader(suffix):
     """
 
     def open_system(uri):
-        plain = uri if "://" in uri else uri.removeprefix("file:")
-        return fs.FileSystem.from_uri(plain)
+        if "://" in uri and not uri.startswith("file:"):
+            return fs.FileSystem.from_uri(quote(uri, safe=":/@"))
+        return fs.LocalFileSystem(), re.sub("^file:(//)?", "", uri)
 
-    def walk(uri, recursive):
-        """Files and folders below ``uri``, without folders starting with a dot."""
+    def entries(uri):
+        """Files and folders right in ``uri``, without folders starting with a dot."""
         system, base = open_system(uri)
-        for info in system.get_file_info(fs.FileSelector(base, recursive=recursive)):
-            below = info.path[len(base):].strip("/").split("/")
+        for info in system.get_file_info(fs.FileSelector(base)):
+            name = info.path.rstrip("/").rsplit("/", 1)[-1]
             is_dir = info.type == fs.FileType.Directory
-            folders = below if is_dir else below[:-1]
-            if any(name.startswith(".") for name in folders):
-                continue
-            if is_dir or below[-1].endswith(suffix):
-                yield "/".join([uri, *below]), is_dir
+            if not name.startswith(".") if is_dir else name.endswith(suffix):
+                yield f"{uri}/{name}", is_dir
 
     def read(uri):
         system, name = open_system(uri)
         with system.open_input_stream(name) as stream:
             return stream.read().decode("utf-8", errors="replace")
 
-    return walk, read
+    return entries, read
 
 
 def _scan_all(spark, root, suffix):
-    """List the folders of the first level in parallel, then read in parallel.
+    """List the tree level by level in tasks, then read in tasks.
 
-    Paths are shuffled between the two, so a folder with most of the files is
-    read by all tasks.
+    Each level is stored, so nothing is listed twice; the driver sees the root's
+    own name only. Paths are shuffled before reading, so a folder with most of
+    the files is read by all tasks.
     """
-    walk, read = _reader(suffix)
+    entries, read = _reader(suffix)
     slots = spark.sparkContext.defaultParallelism
-    top = list(walk(root, recursive=False))
-    start = spark.createDataFrame(top, "path string, is_dir boolean").repartition(slots)
+    parts = max(slots, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    def list_files(batches):
+    def list_folders(batches):
         for batch in batches:
-            for path, is_dir in zip(batch["path"], batch["is_dir"]):
-                found = walk(path, recursive=True) if is_dir else [(path, False)]
-                yield pd.DataFrame({"path": [p for p, folder in found if not folder]}, dtype=str)
+            for folder in batch["path"]:
+                found = entries(folder)
+                while chunk := list(islice(found, _PATHS)):
+                    yield pd.DataFrame(chunk, columns=["path", "is_dir"])
 
     def read_files(batches):
         for batch in batches:
+            paths, texts, size = [], [], 0
             for path in batch["path"]:
-                yield pd.DataFrame({"path": [path], "content": [read(path)]})
-
-    listed = start.mapInPandas(list_files, "path string")
-    parts = max(slots, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return listed.repartition(parts).mapInPandas(read_files, "path string, content string")
+                paths.append(path)
+                texts.append(read(path))
+                size += len(texts[-1])
+                if size >= _BYTES:
+                    yield pd.DataFrame({"path": paths, "content": texts})
+                    paths, texts, size = [], [], 0
+            yield pd.DataFrame({"path": paths, "content": texts}, dtype=str)
+
+    folders, files = spark.createDataFrame([(root,)], "path string"), None
+    while True:
+        level = materialize(folders.mapInPandas(list_folders, "path string, is_dir boolean"), "listing")
+        here = level.filter("NOT is_dir").select("path")
+        files = here if files is None else files.unionByName(here)
+        folders = level.filter("is_dir").select("path")
+        if folders.isEmpty():
+            break
+        folders = folders.repartition(slots)
+    return files.repartition(parts).mapInPandas(read_files, "path string, content string")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.summary import sort_summary
 from ..schemas import ATTRIBUTES, CATEGORIZED, DOCS, MODEL_INPUT
@@ -11,13 +12,29 @@ _CSV = {"header": True, "escape": '"'}
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Table with a header line; types come from ``schema``, never from the data."""
-    return spark.read.schema(schema).options(**_CSV).csv(path)
+    """Table with a header line; types come from ``schema``, never from the data.
+
+    Further columns of the header are read over. A line with other columns than
+    the header fails and makes no row.
+    """
+    header = spark.read.options(**_CSV).csv(path).columns
+    whole = StructType(schema.fields + [StructField(n, StringType()) for n in header[len(schema):]])
+    rows = spark.read.schema(whole).options(mode="FAILFAST", **_CSV).csv(path)
+    return rows.select(*schema.names)
+
+
+def one_line(c: str):
+    """A text value with its line breaks as spaces: a row stays one line of a file."""
+    return F.regexp_replace(F.col(c), "\r\n?|\n", " ")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Quoted values, a header line per part, CRLF line ends."""
-    df.write.mode("overwrite").options(quoteAll=True, lineSep="\r\n", **_CSV).csv(path)
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    df = df.withColumns({name: one_line(name) for name in texts})
+    df.write.mode("overwrite").options(
+        quoteAll=True, lineSep="\r\n", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **_CSV
+    ).csv(path)
 
 
 def _read(spark, path, schema, fmt):
@@ -51,14 +68,16 @@ def read_model_input(spark, path: str, fmt: str = "parquet") -> DataFrame:
 
 
 def unwrap_quotes(c: str):
-    """A value that already starts with a quote counts as quoted."""
-    return F.regexp_replace(F.col(c), r'(?s)\A"(.*?)"?\z', "$1")
+    """A value that stands in quotes already counts as quoted."""
+    return F.regexp_replace(F.col(c), r'(?s)\A"(.*)"\z', "$1")
 
 
 def write_categorized(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
-    texts = [*ATTRIBUTES, "ReadingTime", "Top20Words"]
-    plain = rows.withColumns({name: unwrap_quotes(name) for name in texts})
-    _write(plain.select(*CATEGORIZED.names), path, fmt)
+    """Text files quote all values, so values quoted already are unwrapped for them."""
+    if fmt == "csv":
+        texts = [*ATTRIBUTES, "ReadingTime", "Top20Words"]
+        rows = rows.withColumns({name: unwrap_quotes(name) for name in texts})
+    _write(rows.select(*CATEGORIZED.names), path, fmt)
 
 
 def read_categorized(spark, path: str, fmt: str = "parquet") -> DataFrame:
