@@ -56,7 +56,8 @@ def sweep(features: DataFrame, ks=range(LOW_K, HIGH_K + 1), seed: int = SEED,
     the fit reports at no extra cost; ``"silhouette"`` takes one more pass per k.
     The rows are cached for all fits, and a few fits run side by side so that
     the tail of one job does not leave the cluster idle. Only the best model so
-    far is kept on the driver.
+    far is kept on the driver. Rows are worked on one by one: the block solver fails
+    on tables with fewer distinct rows than k.
     """
     if metric not in ("distance", "silhouette"):
         raise ValueError(f"unknown metric: {metric}")
@@ -64,7 +65,7 @@ def sweep(features: DataFrame, ks=range(LOW_K, HIGH_K + 1), seed: int = SEED,
     evaluator = ClusteringEvaluator(featuresCol=FEATURES)
 
     def fit(k):
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=FEATURES).fit(rows)
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=FEATURES, solver="row").fit(rows)
         if metric == "silhouette":
             return k, -evaluator.evaluate(model.transform(rows)), model
         found = model.summary
