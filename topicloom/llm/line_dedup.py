@@ -28,7 +28,7 @@ SHIFT = 1 << 31
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, GAP + "+"), lambda x: x != "")
+    return F.array_remove(F.split(line, GAP + "+"), "")
 
 
 def _place(key: Column, position: Column) -> Column:
@@ -93,7 +93,7 @@ def _near(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     rows = lines.select("place", "words", F.explode(F.concat(cuts(n, 1), cuts(n + 1, 0))).alias("cut")).filter(F.col("cut.p") <= n - F.col("cut.skip"))
     ahead = F.xxhash64(F.slice("words", 1, F.col("cut.p")))
     behind = F.xxhash64(F.lit(1), F.expr("slice(words, cut.p + cut.skip + 1, size(words))"))
-    variants = rows.select("place", "cut.size", "cut.p", ahead.alias("ahead"), behind.alias("behind"))
+    variants = stored(rows.select("place", "cut.size", "cut.p", ahead.alias("ahead"), behind.alias("behind")), "variants")
     key_of = ["size", "p", "ahead", "behind"]
     first = variants.groupBy(*key_of).agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     pairs = variants.join(first, key_of).filter(F.col("place") > F.col("first"))
@@ -121,7 +121,7 @@ def kept_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
 
 
 def _blank(line: Column) -> Column:
-    return F.length(F.regexp_replace(line, GAP + "+", "")) == 0
+    return ~line.rlike(GAP.replace("[", "[^"))
 
 
 def _merged(text: Column, kept: Column) -> Column:
