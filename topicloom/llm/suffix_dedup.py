@@ -182,6 +182,7 @@ def _deal_anchors(shards: int):
 
     def deal(batches):
         for batch in batches:
+            batch = batch.filter(batch.column("copy").is_null())
             docs, found = [], []
             for rows, texts in _chunks(batch):
                 text, _, hashes = anchors(texts)
@@ -420,7 +421,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     firsts = names.groupBy("a", "b").agg(F.min("key").alias("first"))
     copies = names.join(firsts, ["a", "b"]).filter("key > first").select(*own).distinct().withColumn("copy", F.lit(True))
 
-    dealt = docs.join(copies, own, "left_anti").mapInArrow(_deal_anchors(shards), "shard int, blob binary")
+    known = docs.join(copies.hint("shuffle_hash"), own, "left").select(*own, "text", "copy")
+    dealt = known.mapInArrow(_deal_anchors(shards), "shard int, blob binary")
     shared = dealt.groupBy("shard").applyInPandas(_shared_anchors, "key long, mark int, fps binary")
     wanted = shared.groupBy(*own).agg(F.collect_list("fps").alias("fps"))
     around = docs.join(wanted.hint("shuffle_hash"), own).mapInArrow(_deal_contexts(shards), "shard int, blob binary")
