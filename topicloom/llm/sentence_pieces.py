@@ -12,7 +12,6 @@ Null and empty texts give no pieces. A row gives a row, whatever its id; only th
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -131,9 +130,14 @@ class PieceCodec:
         return self.processor.encode(texts, num_threads=1)
 
 
-@lru_cache(maxsize=2)
+_CODECS: dict[str, PieceCodec] = {}
+
+
 def codec(path: str) -> PieceCodec:
-    return PieceCodec(path)
+    """The codec of a model file, loaded once for each task."""
+    if path not in _CODECS:
+        _CODECS[path] = PieceCodec(path)
+    return _CODECS[path]
 
 
 def _chunks(batches):
