@@ -146,10 +146,14 @@ def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_wor
     m = m.withColumn("class_distance", F.when(judged, classes)).withColumn("word_distance", F.when(judged, words))
     both = (F.col("n_words") >= both_words) & (F.col("class_distance") > both_distances[0]) & (F.col("word_distance") > both_distances[1])
     far = F.coalesce((F.col("class_distance") > class_distance) | both, F.lit(False))
+    # Verdicts read a column that is not deterministic: a filter on them stays above the counts.
+    row = fresh(m, "_row")
+    known = F.col(row) >= 0
     return (
-        m.withColumn("base_failed", base_failed())
-        .withColumn("kept", ~F.col("base_failed") & ~far)
-        .drop("classes", "common", "ref_lang", "ref_classes", "ref_common", "ref_words")
+        m.withColumn(row, F.monotonically_increasing_id())
+        .withColumn("base_failed", base_failed() & known)
+        .withColumn("kept", known & ~base_failed() & ~far)
+        .drop(row, "classes", "common", "ref_lang", "ref_classes", "ref_common", "ref_words")
     )
 
 
