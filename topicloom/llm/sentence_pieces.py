@@ -62,6 +62,7 @@ class PieceCodec:
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
+        self.path = path
         self.processor = sentencepiece.SentencePieceProcessor(model_file=path)
         model = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as file:
@@ -73,6 +74,9 @@ class PieceCodec:
         self.unknown = next((i for i, p in enumerate(model.pieces) if p.type == kinds.UNKNOWN), -1)
         self.decimal = [str(i) for i in range(len(model.pieces))]
 
+    def __reduce__(self):
+        return PieceCodec, (self.path,)
+
     def normalise(self, text: str) -> tuple[int, np.ndarray]:
         """Bytes of the normalised text, and for each of them, and the end, the source byte."""
         data = text.encode("utf-8", "surrogatepass")

@@ -40,7 +40,7 @@ SPAN = LENGTH - KEY + 1
 #: Bytes around an anchor that strings with it can reach.
 AROUND = 2 * LENGTH - KEY
 #: Bytes of text for each shard, and least number of shards.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 SHARDS = 48
 #: Contexts in a batch of the index.
 BATCH = 8192
