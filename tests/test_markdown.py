@@ -159,6 +159,8 @@ HARD = {
     "rules": "-\n" * 200_000,
     "definitions": "[a]: b\n" * 100_000,
     "blank lines": "a\n" + " \n" * 200_000,
+    "header marks": "# a " + "#" * 1_000_000 + " b",
+    "header blanks": "# a" + " " * 1_000_000 + "b",
 }
 
 

@@ -1,7 +1,10 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from topicloom.functions import headings, scoring, text
+from topicloom.functions.headings import title_trim
 from topicloom.functions.stopwords import STOP_WORDS
 
 
@@ -85,3 +88,12 @@ def test_idf_variants(spark):
     assert row.smooth == pytest.approx(0.2876820725)
     with pytest.raises(ValueError):
         scoring.inverse_document_frequency(F.lit(1), F.lit(1), "other")
+
+
+@pytest.mark.parametrize("inner", [" ", "\t", "\u00a0"])
+def test_trim_is_linear_in_inner_blanks(value, inner):
+    long = "a" + inner * 1_000_000 + "b"
+    started = time.time()
+    assert value(text.trim_space, f" {long}  ") == long
+    assert value(title_trim, f"1. {long}{inner}") == long
+    assert time.time() - started < 10
