@@ -249,15 +249,16 @@ def page_docs(spark, sf_dir) -> DataFrame:
 
 define(
     "page_tags", (),
-    "SELECT 'page-' || page_id || '.md' AS \"File\", unnest(list_concat("
+    'SELECT "File", unnest(range(len(found))) AS i, unnest(found) AS h FROM ('
+    "SELECT 'page-' || page_id || '.md' AS \"File\", list_concat("
     f"list_zip(list_transform(regexp_extract_all(html, '{_TITLE}', 1), lambda x: 0), regexp_extract_all(html, '{_TITLE}', 2)), "
     f"list_zip(list_transform(regexp_extract_all(html, '{_HEADERS}', 1), lambda x: x::INTEGER), "
-    f"regexp_extract_all(html, '{_HEADERS}', 2)))) AS h FROM pages",
+    f"regexp_extract_all(html, '{_HEADERS}', 2))) AS found FROM pages)",
 )
 define(
     "page_heading_rows", ("page_tags",),
-    'SELECT "File", row_number() OVER (PARTITION BY "File") - 1 AS pos, level, "text" FROM ('
-    f"SELECT \"File\", h[1] AS level, {sql_title_trim('h[2]')} AS \"text\" FROM page_tags "
+    'SELECT "File", row_number() OVER (PARTITION BY "File" ORDER BY i) - 1 AS pos, level, "text" FROM ('
+    f"SELECT \"File\", i, h[1] AS level, {sql_title_trim('h[2]')} AS \"text\" FROM page_tags "
     f"WHERE NOT {sql_blank('h[2]')})",
 )
 define_headings("page_heading_rows", "page_")
