@@ -25,10 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import LAST_ID, fresh, id_or_last, stored
+from topicloom.llm.common import GAP, LAST_ID, fresh, id_or_last, stored
 from topicloom.llm.components import components
 
 WORDS = 5
+#: A character of a word.
+WORD = GAP.replace("[", "[^")
 THRESHOLD = 0.8
 RECALL = 0.999
 WIDTH = 64
@@ -335,11 +337,15 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` without those whose class has a smaller id, and one row of each id with words."""
+    """The rows of ``df`` without those whose class has a smaller id, and one row of each id with words.
+
+    Rows of null id cannot be told apart, so all of them stay, as all without words do.
+    """
     key, first = fresh(df, "_key"), fresh(df, "_first")
     found = near_duplicates(df, id_col, text_col, **options).groupBy(F.col("key").alias(key)).agg(F.min("class").alias(first))
     rows = df.withColumn(key, id_or_last(F.col(id_col))).join(found.hint("shuffle_hash"), key, "left")
-    stays = rows.filter(F.col(first).isNull() | (F.col(first) == F.col(key)))
+    alone = F.col(first).isNull() | (F.col(key) == LAST_ID) | ~F.coalesce(F.col(text_col).rlike(WORD), F.lit(False))
+    stays = rows.filter(alone | (F.col(first) == F.col(key)))
     # Rows with words of equal id are one document; the others differ by a number of their own.
-    own = F.when(F.col(first).isNull(), F.monotonically_increasing_id())
+    own = F.when(alone, F.monotonically_increasing_id())
     return stays.withColumn(first, own).dropDuplicates([key, first]).select(*df.columns)
