@@ -111,7 +111,8 @@ def test_whole_run(spark, tmp_path, fmt):
         path.write_text(f"# About {topic} {i}\n\n{words} {words}\n\n```\ncode{i}\n```\n")
     (tmp_path / "docs" / "untitled.md").write_text("no heading")
     layout = SessionLayout(str(tmp_path / "out"), 1)
-    found = run(spark, str(tmp_path / "docs"), layout, fmt=fmt, ks=range(2, 4), num_features=128)
+    found = run(spark, str(tmp_path / "docs"), layout, fmt=fmt,
+                categorise={"ks": range(2, 4), "num_features": 128})
     labelled = tables.read_categorized(spark, layout.categorized, fmt)
     assert labelled.count() == 12 and found.best_k in (2, 3)
     assert labelled.filter(F.col("PredictedLabel").isNull()).count() == 0
