@@ -47,3 +47,30 @@ def test_labelled_documents(spark):
     assert all(r.kept for r in rows if r.quality == 1)
     poor = [r for r in rows if r.quality == 0]
     assert sum(not r.kept for r in poor) >= 0.9 * len(poor)
+
+
+def test_word_distance_rejects_alone_and_rare_languages_are_judged(spark):
+    import random
+
+    rng = random.Random(4)
+    rest = [x + y for x in ("hou", "wat", "gre", "hil", "win", "let", "peo", "sum") for y in ("se", "er", "en", "ls", "ter", "ple")]
+    prose = lambda n, common: " ".join(rng.choice(quality.COMMON_WORDS["en"] if rng.random() < common else rest) for _ in range(n))
+    rows = [(i, prose(120, 0.4), "en") for i in range(60)]
+    plain = prose(320, 0.4)
+    rows += [(100, prose(70, 0.0), "en"), (101, prose(400, 0.0), "en")]
+    rows += [(102, plain.upper() + " !!", None), (103, plain.upper(), "xx"), (104, plain, None), (105, plain, "xx")]
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i].kept for i in [*range(60), 104, 105])
+    for i in (100, 101):
+        assert got[i].class_distance < 0.28 and got[i].word_distance > 0.296 and not got[i].base_failed, got[i]
+    assert not any(got[i].kept for i in (100, 101, 102, 103))
+    assert got[103].word_distance is None
+
+
+def test_all_labelled_documents_of_the_larger_scale(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(16)
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = quality.judge(docs.select("doc_id", "text", "lang")).join(labels, "doc_id").filter("NOT base_failed").select("quality", "kept").collect()
+    assert all(r.kept for r in rows if r.quality == 1)
+    poor = [r for r in rows if r.quality == 0]
+    assert sum(r.kept for r in poor) <= 0.02 * len(poor)

@@ -4,11 +4,14 @@ Each document gives two histograms: character classes (and the bytes by which it
 language's reference is the sum of these histograms over all of its documents that are long enough and hold few
 symbols. A document goes if the Jensen-Shannon distance of its classes to the reference (base 2, from 0 to 1) is above
 ``CLASS_DISTANCE``, or if both distances are above the lower pair ``BOTH_DISTANCES``. Small histograms scatter, so
-each rule has a guard: the least number of words. Languages without a list of common words are not judged this way.
-The base rules hold for all. On labelled documents the thresholds lie above all of good quality.
-
-Everything is a column expression over one row; the reference has one row for each language with a word list, so it is
-safe to broadcast. Rows keep their multiplicity and their ids, null or not. A null text counts as having no words. Clashing columns of the input are not read; ``judge`` needs only the id, text and language.
+each rule has a guard: the least number of words. ``BANDS`` adds rules by length, in which the word distance can reject
+alone, and classes are judged in every language: a null or rare one, with fewer than ``RARE`` documents in the reference
+or less than one in ``MOST_LANGUAGES``, is held against the whole corpus. Without ``bands`` languages without a list of
+common words are not judged this way; the SQL below has the rules without them. The base rules hold for all. The
+thresholds lie above all documents labelled good in sf0.01, sf0.1 and check_s.
+
+Everything is a column expression over one row; the reference has at most ``MOST_LANGUAGES`` rows, so it is safe to
+broadcast. Rows keep their multiplicity and their ids, null or not. A null text counts as having no words. Clashing columns of the input are not read; ``judge`` needs only the id, text and language.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import GAP, fresh, where_computed
+from topicloom.llm.common import GAP, fresh, stored, where_computed
 
 # Common words by language.
 COMMON_WORDS = {
@@ -33,6 +36,18 @@ CLASS_DISTANCE = 0.3
 #: Of classes and words together, for documents of at least so many words.
 BOTH_DISTANCES = (0.18, 0.24)
 BOTH_WORDS = 100
+#: From so many words on: most of the class distance, of the word distance, and of both together.
+BANDS = (
+    (50, 0.28, 0.296, (0.14, 0.275)),
+    (75, 0.24, 0.29, (0.2, 0.2)),
+    (100, 0.22, 0.27, (0.15, 0.235)),
+    (200, 0.215, 0.24, (0.15, 0.235)),
+    (300, 0.195, 0.21, (0.15, 0.2)),
+    (1000, 0.17, 0.12, (0.15, 0.1)),
+)
+#: Fewest documents of a language with a reference of its own, and most of such languages.
+RARE = 20
+MOST_LANGUAGES = 10_000
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -118,6 +133,28 @@ def references(df: DataFrame, text_col: str = "text", lang_col: str = "lang", mi
     )
 
 
+def all_references(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
+    """As :func:`references`, of every language that is not rare, and one row (whole_classes) of the whole corpus."""
+    m = measures(df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")), repeats=False)
+    m = where_computed(m, (F.col("n_words") >= min_words) & (10 * F.col("n_symbols") < F.col("n_words")))
+    total = lambda name, n: F.array(*(F.sum(F.get(name, F.lit(i))) for i in range(n)))
+    by_lang = m.groupBy(F.col("lang").alias("ref_lang")).agg(
+        total("classes", 7).alias("ref_classes"), total("common", 12).alias("ref_common"), F.sum("n_words").alias("ref_words"), F.count("*").alias("docs")
+    )
+    by_lang = stored(by_lang, "language-references")
+    whole = by_lang.agg(total("ref_classes", 7).alias("whole_classes"), F.sum("docs").alias("all_docs"))
+    own = by_lang.filter(F.col("ref_lang").isNotNull() & (F.col("docs") >= RARE)).crossJoin(F.broadcast(whole.select("all_docs")))
+    return own.filter(F.col("docs") * MOST_LANGUAGES >= F.col("all_docs")).drop("docs", "all_docs"), whole.drop("all_docs")
+
+
+def _of_band(bands: tuple, pick) -> Column:
+    """The threshold for the number of words of a row; null below the first band."""
+    found = F.when(F.lit(False), F.lit(0.0))
+    for band in sorted(bands, reverse=True):
+        found = found.when(F.col("n_words") >= band[0], F.lit(pick(band)))
+    return found
+
+
 def distance(own: Column, own_total: Column, ref: Column, ref_total: Column) -> Column:
     """Jensen-Shannon distance, base 2, of two histograms given as arrays of counts."""
 
@@ -134,18 +171,24 @@ def _sum(counts: Column) -> Column:
     return F.aggregate(counts, F.lit(0).cast("long"), lambda s, x: s + x)
 
 
-def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = MIN_WORDS, class_distance: float = CLASS_DISTANCE, both_distances: tuple[float, float] = BOTH_DISTANCES, both_words: int = BOTH_WORDS) -> DataFrame:
+def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = MIN_WORDS, class_distance: float = CLASS_DISTANCE, both_distances: tuple[float, float] = BOTH_DISTANCES, both_words: int = BOTH_WORDS, bands: tuple = BANDS) -> DataFrame:
     """``df`` with the base counts, the two distances (null where not judged), ``base_failed`` and ``kept``."""
-    ref = F.broadcast(references(df, text_col, lang_col, min_words))
+    ref, whole = all_references(df, text_col, lang_col, min_words) if bands else (references(df, text_col, lang_col, min_words), None)
     m = measures(df, text_col, lang_col)
-    m = m.join(ref, m[lang_col] == ref["ref_lang"], "left")
-    judged = F.col("ref_words").isNotNull() & (F.col("n_words") >= min_words)
+    m = m.join(F.broadcast(ref), m[lang_col] == ref["ref_lang"], "left")
+    if bands:
+        m = m.crossJoin(F.broadcast(whole)).withColumn("ref_classes", F.coalesce("ref_classes", "whole_classes")).drop("whole_classes")
+    judged = F.get("ref_classes", F.lit(0)).isNotNull() & (F.col("n_words") >= min_words)
     others = lambda counts, total: F.concat(counts, F.array(total - _sum(F.col(counts))))
     classes = distance(F.col("classes"), _sum(F.col("classes")), F.col("ref_classes"), _sum(F.col("ref_classes")))
     words = distance(others("common", F.col("n_words")), F.col("n_words"), others("ref_common", F.col("ref_words")), F.col("ref_words"))
-    m = m.withColumn("class_distance", F.when(judged, classes)).withColumn("word_distance", F.when(judged, words))
+    m = m.withColumn("class_distance", F.when(judged, classes)).withColumn("word_distance", F.when(judged & F.col("common").isNotNull() & F.col("ref_words").isNotNull(), words))
     both = (F.col("n_words") >= both_words) & (F.col("class_distance") > both_distances[0]) & (F.col("word_distance") > both_distances[1])
     far = F.coalesce((F.col("class_distance") > class_distance) | both, F.lit(False))
+    if bands:
+        above = lambda name, pick: F.coalesce(F.col(name) > _of_band(bands, pick), F.lit(False))
+        far = far | above("class_distance", lambda b: b[1]) | above("word_distance", lambda b: b[2])
+        far = far | (above("class_distance", lambda b: b[3][0]) & above("word_distance", lambda b: b[3][1]))
     # Verdicts read a column that is not deterministic: a filter on them stays above the counts.
     row = fresh(m, "_row")
     known = F.col(row) >= 0
