@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from topicloom.llm import suffix_dedup as sd
@@ -77,3 +78,40 @@ def test_levels_merge_geometrically():
             first[s] = min(first.get(s, k), k)
         assert index.insert(strings, keys).tolist() == [first[s] for s in strings.tolist()]
         assert len(index.levels) == bin(batch + 1).count("1")
+
+
+def test_strings_of_hot_anchors_are_dealt_out(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    passage = word(130)
+    docs = [(i, word(rng.randrange(60)) + passage + word(rng.randrange(60))) for i in range(1, 120)]
+    docs += [(i, docs[i % 7][1][5:90] + passage[40:110]) for i in range(200, 230)] + [(None, passage), (None, passage + "z"), (5, passage), (300, "x" * 300), (301, "x" * 100)]
+    df = spark.createDataFrame([(i, t, 3) for i, t in docs], "doc_id long, text string, n_spans int")
+    for hot in (1, 20):
+        got = sd.remove_repeats(df, sample=1, hot=hot).collect()
+        assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got), key=str) == brute(docs)
+
+
+def test_contexts_of_a_hot_anchor_do_not_meet_in_one_shard(spark):
+    rng = np.random.default_rng(5)
+    word = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes().decode()
+    passage = word(60)
+    rows = spark.createDataFrame([(i, word(40) + passage + word(40), i) for i in range(400)], "key long, text string, mark int")
+    hot = sd.hot_anchors(rows, 0, sample=1, hot=300)
+    assert len(hot)
+    batch = rows.toArrow().combine_chunks().to_batches()[0]
+    _, _, fp = sd.anchors([t.encode() for t in batch.column("text").to_pylist()])
+    shards = 16
+    found, count = np.unique(fp, return_counts=True)
+    assert hot.tolist() == found[count >= 300].tolist()
+    wanted = np.array([int(x % np.uint64(shards)) << 32 | int(x >> np.uint64(32)) for x in hot], np.int64).tobytes()
+    batch = batch.append_column("fps", pa.array([[wanted]] * batch.num_rows, pa.list_(pa.binary())))
+
+    class Held:
+        value = hot
+
+    sizes = lambda held: [len(b) for part in sd._deal_contexts(shards, held)([batch]) for b in part.column("blob").to_pylist()]
+    dealt = sizes(Held)
+    Held.value = hot[:0]
+    whole = sizes(Held)
+    assert max(whole) > 5 * np.median(whole) and max(dealt) < 2 * np.median(dealt)

@@ -9,12 +9,14 @@ have equal anchors in equal places, and about one suffix in sixteen is looked at
    the order of their ids. A batch gets its suffix array: its strings of ``LENGTH`` bytes, in sorted order, each with the
    first document that has it. The array is merge-scanned against the levels of the index, which hold all smaller ids;
    then it becomes a level itself, and levels of equal size are merged, so there are logarithmically many.
-3. The matches return to their documents, and what they cover is cut.
+3. An anchor that very many texts hold, as a sample of them tells, is not dealt out whole: each of its strings of
+   ``LENGTH`` bytes goes to the shard of the string, from each batch of rows with the first document that has it.
+4. The matches return to their documents, and what they cover is cut.
 
 Strings are sorted and compared by 64-bit fingerprints within a shard; the number of shards grows with the text, so
 that a shard stays small. Documents with the same text as an earlier one are known from a hash of it and need no
-anchors. A string that very many documents share is sent to its shard only once by each batch of rows, with the first
-document that has it; the others of the batch are settled there.
+anchors. Equal contexts of an anchor, and equal strings of a hot one, are sent only once by each batch of rows, with the
+first document that has them; the others of the batch are settled there.
 
 Documents of null id come last, and do not count as earlier than each other; neither do rows with equal ids. A null
 text is empty. Only the id and text columns are read. Ids are whole numbers.
@@ -44,6 +46,10 @@ SHARD_BYTES = 8 << 20
 SHARDS = 48
 #: Contexts in a batch of the index.
 BATCH = 8192
+#: One text in so many is sampled, or fewer for a sample of so many bytes; anchors with so many places in it are hot.
+SAMPLE = 64
+SAMPLE_BYTES = 480 << 20
+HOT = 32
 PIECE = 1 << 20
 CHUNK_BYTES = 1 << 19
 
@@ -253,13 +259,50 @@ def _shared_anchors(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": keys[starts], "mark": marks[starts], "fps": [fps[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]})
 
 
-def _deal_contexts(shards: int):
-    """For each batch of rows and shard: the bytes around shared anchors, and the places settled within the batch."""
+def _count_anchors(batches):
+    for batch in batches:
+        for _, texts in _chunks(batch):
+            fp, n = np.unique(anchors(texts)[2], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(n.astype(np.int64))], ["fp", "n"])
+
+
+def hot_anchors(rows: DataFrame, size: int, sample: int | None = None, hot: int | None = None) -> np.ndarray:
+    """Anchor hashes of very many texts. Which they are changes no result, only where their strings are compared."""
+    sample = sample or max(SAMPLE, -(-size // SAMPLE_BYTES))
+    some = rows.filter(F.pmod(F.xxhash64(F.lit(2), "text"), F.lit(sample)) == 0).select("text")
+    counts = some.mapInArrow(_count_anchors, "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n"))
+    found = counts.filter(F.col("n") >= (hot or HOT)).select("fp").collect()
+    return np.sort(np.array([r[0] for r in found], np.int64).view(np.uint64))
+
+
+def _hot_strings(body: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(context, offset, string) to compare of contexts of hot anchors, and the bits of each context settled here."""
+    parts = []
+    for start in range(0, len(body), BATCH):
+        part = body[start : start + BATCH]
+        span = np.arange(SPAN)
+        of, at = np.nonzero((span >= part[:, -2:-1]) & (span <= part[:, -1:]))
+        parts.append((of + start, at, _strings(part)[of, at]))
+    of, at, string = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((key[of], string))
+    of, at, string = of[order], at[order], string[order]
+    head = np.maximum.accumulate(np.where(_runs((string,)), np.arange(len(of)), 0))
+    later = key[of] > key[of[head]]
+    bits = np.zeros(len(body), np.int64)
+    np.bitwise_or.at(bits, of[later], np.int64(1) << at[later])
+    return of[~later], at[~later], string[~later], bits
+
+
+def _deal_contexts(shards: int, hot):
+    """For each batch of rows and shard: the bytes around shared anchors, and the places settled within the batch.
+
+    Of anchors that the broadcast array ``hot`` lists the strings are dealt out instead.
+    """
 
     def deal(batches):
         for batch in batches:
             keys, marks = batch.column("key").to_numpy(), batch.column("mark").to_numpy()
-            rows_of, places, around, homes = [], [], [], []
+            rows_of, places, around, homes, many = [], [], [], [], []
             for rows, texts in _chunks(batch):
                 text, place, fp = anchors(texts)
                 wanted = np.zeros(len(fp), bool)
@@ -269,7 +312,7 @@ def _deal_contexts(shards: int):
                     lists = batch.column("fps")[int(row)].as_py()
                     a, b = bounds[i], bounds[i + 1]
                     wanted[a:b] = np.isin(name[a:b], np.frombuffer(b"".join(lists), np.int64))
-                text, place, name = text[wanted], place[wanted], name[wanted]
+                text, place, name, fp = text[wanted], place[wanted], name[wanted], fp[wanted]
                 if not len(text):
                     continue
                 left = LENGTH - KEY
@@ -284,28 +327,54 @@ def _deal_contexts(shards: int):
                 places.append(place)
                 around.append(np.concatenate([views, low[:, None].astype(np.uint8), high[:, None].astype(np.uint8)], 1))
                 homes.append(name >> 32)
+                many.append(np.isin(fp, hot.value))
             if not rows_of:
                 continue
             row, place, body, home = (np.concatenate(x) for x in (rows_of, places, around, homes))
             body = np.ascontiguousarray(body)
+            hot_row, hot_place, bits = row[:0], place[:0], np.zeros(0, np.int64)
+            of = at_of = np.zeros(0, np.int64)
+            string = np.zeros(0, np.uint64)
+            if len(at := np.flatnonzero(np.concatenate(many))):
+                hot_row, hot_place = row[at], place[at]
+                of, at_of, string, bits = _hot_strings(body[at], keys[hot_row])
+                rest = ~np.concatenate(many)
+                row, place, body, home = row[rest], place[rest], body[rest], home[rest]
+            string_to = (string % np.uint64(shards)).astype(np.int64)
+            by_shard = np.argsort(string_to, kind="stable")
+            string_bounds = np.searchsorted(string_to[by_shard], np.arange(shards + 1))
+            settled = np.flatnonzero(bits)
+            settled_to = (keys[hot_row[settled]] + hot_place[settled]) % shards
+            settled = settled[np.argsort(settled_to, kind="stable")]
+            settled_bounds = np.searchsorted(np.sort(settled_to), np.arange(shards + 1))
             # Equal contexts: the first document is compared; in later ones every string of it is an earlier one's.
             whole = body.view(np.dtype((np.void, body.shape[1]))).ravel()
             _, code = np.unique(whole, return_inverse=True)
             key = keys[row]
             order = np.lexsort((key, code))
             first = _runs((code[order],))
-            head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
+            head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))] if len(order) else order
             later = np.zeros(len(order), bool)
             later[order] = key[order] > key[head]
             to = np.where(later, (key + place) % shards, home)
             order = np.lexsort((key, later, to))
             bounds = np.searchsorted(to[order], np.arange(shards + 1))
             out = []
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
                 at = order[a:b]
+                done = settled[settled_bounds[k] : settled_bounds[k + 1]]
+                sent = by_shard[string_bounds[k] : string_bounds[k + 1]]
+                own = hot_row[of[sent]]
                 one, two = at[~later[at]], at[later[at]]
                 every = (np.int64(2) << body[two, -1].astype(np.int64)) - (np.int64(1) << body[two, -2].astype(np.int64))
-                out.append(_packed(key[one], marks[row[one]].astype(np.int32), place[one].astype(np.int64), body[one], key[two], marks[row[two]].astype(np.int32), place[two].astype(np.int64), every))
+                later_rows, later_places = np.concatenate([row[two], hot_row[done]]), np.concatenate([place[two], hot_place[done]])
+                out.append(
+                    _packed(
+                        key[one], marks[row[one]].astype(np.int32), place[one].astype(np.int64), body[one],
+                        keys[later_rows], marks[later_rows].astype(np.int32), later_places.astype(np.int64), np.concatenate([every, bits[done]]),
+                        keys[own], marks[own].astype(np.int32), hot_place[of[sent]].astype(np.int64), at_of[sent].astype(np.uint8), string[sent],
+                    )
+                )
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(shards, dtype=np.int32)), pa.array(out, pa.binary())], ["shard", "blob"])
 
     return deal
@@ -347,9 +416,18 @@ def _strings(body: np.ndarray) -> np.ndarray:
     return _mix((sums[:, LENGTH:] - sums[:, :-LENGTH]) * down[:SPAN])
 
 
+def _first_of_strings(key: np.ndarray, mark: np.ndarray, place: np.ndarray, at: np.ndarray, string: np.ndarray) -> tuple:
+    """(key, mark, place, bits) of the strings that a smaller key has too."""
+    order = np.lexsort((key, string))
+    key, mark, place, at, string = (c[order] for c in (key, mark, place, at, string))
+    head = np.maximum.accumulate(np.where(_runs((string,)), np.arange(len(key)), 0)) if len(key) else order
+    hit = key > key[head]
+    return key[hit], mark[hit], place[hit], np.int64(1) << at[hit].astype(np.int64)
+
+
 def _matches(group: pd.DataFrame) -> pd.DataFrame:
     """(key, mark, hits) of the documents of a shard; hits: places and bit sets of matching strings there."""
-    kinds = (np.int64, np.int32, np.int64, np.uint8) + (np.int64, np.int32, np.int64, np.int64)
+    kinds = (np.int64, np.int32, np.int64, np.uint8) + (np.int64, np.int32, np.int64, np.int64) + (np.int64, np.int32, np.int64, np.uint8, np.uint64)
     parts = [_unpacked(blob, *kinds) for blob in group["blob"]]
     key, mark, place = (np.concatenate([p[i] for p in parts]) for i in range(3))
     body = np.concatenate([p[3].reshape(-1, AROUND + 2) for p in parts])
@@ -368,7 +446,8 @@ def _matches(group: pd.DataFrame) -> pd.DataFrame:
         np.bitwise_or.at(bits, start + row[earlier], np.int64(1) << at[earlier])
         start = end
     hit = bits != 0
-    found = [(key[hit], mark[hit], place[hit], bits[hit]), *(tuple(p[4:]) for p in parts)]
+    found = [(key[hit], mark[hit], place[hit], bits[hit]), *(tuple(p[4:8]) for p in parts)]
+    found.append(_first_of_strings(*(np.concatenate([p[i] for p in parts]) for i in range(8, 13))))
     key, mark, place, bits = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.lexsort((place, mark, key))
     key, mark = key[order], mark[order]
@@ -407,11 +486,12 @@ def _cut(batches):
         yield pa.RecordBatch.from_arrays([batch.column("key"), *columns, pa.array(kept, pa.binary())], ["key", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int | None = None, hot: int | None = None) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept) of each row; ``kept`` is what remains, as bytes."""
     rows = df.select(id_or_last(F.col(id_col)).alias("key"), text_or_empty(F.col(text_col)).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(SHARDS, -(-size // SHARD_BYTES))
+    hot = rows.sparkSession.sparkContext.broadcast(hot_anchors(rows, size, sample, hot))
     rows = rows.withColumn("mark", F.hash("text"))
     own = ["key", "mark"]
     # All texts are dealt out by document once; anchors, contexts and cuts read the same exchange.
@@ -425,7 +505,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     dealt = known.mapInArrow(_deal_anchors(shards), "shard int, blob binary")
     shared = dealt.groupBy("shard").applyInPandas(_shared_anchors, "key long, mark int, fps binary")
     wanted = shared.groupBy(*own).agg(F.collect_list("fps").alias("fps"))
-    around = docs.join(wanted.hint("shuffle_hash"), own).mapInArrow(_deal_contexts(shards), "shard int, blob binary")
+    around = docs.join(wanted.hint("shuffle_hash"), own).mapInArrow(_deal_contexts(shards, hot), "shard int, blob binary")
     hits = around.groupBy("shard").applyInPandas(_matches, "key long, mark int, hits binary").groupBy(*own).agg(F.collect_list("hits").alias("hits"))
     joined = docs.join(hits.hint("shuffle_hash"), own, "left").join(copies.hint("shuffle_hash"), own, "left")
     cut = joined.select("key", "text", "hits", "copy").mapInArrow(_cut, "key long, n_bytes long, n_removed long, n_spans long, kept binary")
