@@ -4,9 +4,12 @@ Clusters have an SQL form where the groups are known. The documents here carry t
 words of their language as texts, so rows of one language have equal features: the
 best fit has a cluster per language, of no cost, and rows of other languages are
 all equally far. Clusters are named by their smallest file. Fits over real texts
-and vectors are checked against a second way to compute their numbers.
+and vectors are checked against a second way to compute their numbers: the queries
+that start with ``page_`` or ``document_`` run over the whole model input.
 """
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Window
@@ -185,6 +188,126 @@ def embedding_clusters(spark, sf_dir):
     )
 
 
+def _document_rows(spark, sf_dir):
+    """Model input of the documents, stored as the ranking step would."""
+    return _stored(model_input(c.stored_docs(spark, sf_dir)))
+
+
+def _checked(labelled, model):
+    """Rows with Score, and whether a second sum over the slots gives the same distances and the label is the nearest."""
+    scored = clustering.with_distances(labelled, model)
+    shared = labelled.sparkSession.sparkContext.broadcast(np.asarray(model.clusterCenters()))
+
+    @F.pandas_udf("array<double>")
+    def again(slots: pd.Series, values: pd.Series) -> pd.Series:
+        centers = shared.value
+        whole = (centers**2).sum(axis=1)
+        out = []
+        for at, value in zip(slots, values):
+            own = centers[:, np.asarray(at, np.int64)]
+            square = whole - (own**2).sum(axis=1) + ((own - np.asarray(value)) ** 2).sum(axis=1)
+            out.append(np.sqrt(np.maximum(square, 0.0)))
+        return pd.Series(out)
+
+    raw = F.unwrap_udt("features")
+    slots = F.coalesce(raw["indices"], F.when(F.size(raw["values"]) > 0, F.sequence(F.lit(0), F.size(raw["values"]) - 1)), F.array().cast("array<int>"))
+    found = scored.withColumn("_again", again(slots, raw["values"]))
+    gaps = F.zip_with("Score", "_again", lambda a, b: F.abs(a - b))
+    return found.select(
+        "File", "PredictedLabel", (F.array_max(gaps) < 1e-3).alias("agrees"),
+        (F.element_at("_again", F.col("PredictedLabel")) < F.array_min("_again") + 1e-4).alias("nearest"),
+    )
+
+
+def real_categorized(rows_of):
+    """Each row with its texts, and whether its label is that of the saved form of the model, is the nearest centre's,
+    and all distances agree."""
+
+    def run(spark, sf_dir):
+        rows = rows_of(spark, sf_dir)
+        result = categorise(rows)
+        scored = _checked(clustering.with_label(result.model.transform(rows)), result.sweep.model)
+        again = scored.withColumnRenamed("PredictedLabel", "other")
+        found = result.rows.join(again, "File")
+        sound = F.col("agrees") & F.col("nearest") & (F.col("PredictedLabel") == F.col("other"))
+        return found.select("File", *c.HEADINGS, "WordCount", "ReadingTime", "Top20Words", sound.alias("sound"))
+
+    return run
+
+
+def real_distances(rows_of):
+    def run(spark, sf_dir):
+        _, features = text_features(rows_of(spark, sf_dir))
+        found = clustering.sweep(features)
+        return _checked(clustering.with_label(found.model.transform(features)), found.model).drop("PredictedLabel")
+
+    return run
+
+
+def real_summary(rows_of):
+    """Lines of the clusters' files with their number, and whether one heading stands before all of each cluster."""
+
+    def run(spark, sf_dir):
+        labelled = materialize(categorise(rows_of(spark, sf_dir)).rows, "labelled")
+        lines = materialize(numbered_summary(summary_lines(_named(labelled), "category")), "summary")
+        heads = lines.filter("ord = 0").groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("head"))
+        body = lines.filter("ord = 1").join(heads, "category", "left")
+        sound = F.coalesce((F.col("n") == 1) & (F.col("head") < F.col("position")), F.lit(False))
+        return body.groupBy("line").agg(F.count(F.lit(1)).alias("files"), F.bool_and(sound).alias("headed"))
+
+    return run
+
+
+def real_saved_model(rows_of):
+    """Train on all rows, save, load and label all rows; whether each label is the same as before."""
+
+    def run(spark, sf_dir):
+        rows = rows_of(spark, sf_dir)
+        result = categorise(rows)
+        path = work_dir(spark, "trained")
+        clustering.save_model(result.model, path)
+        again = apply_model(clustering.load_model(path), rows).select("File", F.col("PredictedLabel").alias("other"))
+        return result.rows.join(again, "File").select("File", (F.col("PredictedLabel") == F.col("other")).alias("same"))
+
+    return run
+
+
+def real_silhouette(rows_of):
+    """Each k, and whether no silhouette is above the best one, which a sum over the rows gives as well."""
+
+    def run(spark, sf_dir):
+        _, features = text_features(rows_of(spark, sf_dir))
+        found = clustering.sweep(features, metric="silhouette")
+        table = found.table(spark)
+        best = _silhouette(found.model.transform(features))
+        sound = (F.col("cost") >= found.costs[found.best_k]) & F.col("cost").between(-1.0, 1.0)
+        sound = sound & ((F.col("k") != found.best_k) | (F.abs(F.col("cost") + best) < 1e-6))
+        return table.select(F.col("k").cast("bigint").alias("k"), sound.alias("sound"))
+
+    return run
+
+
+def _silhouette(labelled):
+    """Mean silhouette of squared distances, from the sums of each cluster."""
+    raw = F.unwrap_udt("features")
+    dense = F.sequence(F.lit(0), F.size(raw["values"]) - 1)
+    rows = materialize(labelled.select(
+        F.monotonically_increasing_id().alias("row"), F.col("prediction").alias("own"),
+        F.arrays_zip(F.coalesce(raw["indices"], dense).alias("slot"), raw["values"].alias("value")).alias("held"),
+    ).withColumn("square", F.aggregate("held", F.lit(0.0), lambda s, x: s + x["value"] * x["value"])), "silhouette")
+    clusters = F.broadcast(rows.groupBy(F.col("own").alias("other")).agg(F.count(F.lit(1)).alias("n"), F.sum("square").alias("squares")))
+    held = rows.select("row", "own", F.inline("held"))
+    sums = held.groupBy("slot", F.col("own").alias("other")).agg(F.sum("value").alias("total"))
+    dots = held.drop("own").join(sums, "slot").groupBy("row", "other").agg(F.sum(F.col("value") * F.col("total")).alias("dot"))
+    pairs = rows.select("row", "own", "square").crossJoin(clusters).join(dots, ["row", "other"], "left")
+    far = F.col("square") + (F.col("squares") - 2 * F.coalesce("dot", F.lit(0.0))) / F.col("n")
+    same = F.col("own") == F.col("other")
+    a = F.max(F.when(same & (F.col("n") > 1), F.try_divide(far * F.col("n"), F.col("n") - 1)))
+    ab = pairs.groupBy("row").agg(a.alias("a"), F.min(F.when(~same, far)).alias("b"), F.max(F.when(same, F.col("n"))).alias("n"))
+    score = F.when(F.col("n") == 1, 0.0).otherwise(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")))
+    return ab.agg(F.avg(F.coalesce(score, F.lit(0.0)))).first()[0]
+
+
 def training_rows(spark, sf_dir):
     """Rows of the stored training table."""
     from ..operators.terms import corpus_size
@@ -205,6 +328,10 @@ QUERIES = {
     "embedding_clusters": embedding_clusters,
     "training_rows": training_rows,
 }
+_REAL = {"categorize": real_categorized, "centroid_distances": real_distances, "cluster_summary": real_summary,
+         "apply_saved_model": real_saved_model, "silhouette_sweep": real_silhouette}
+for _prefix, _source in (("page", _rows), ("document", _document_rows)):
+    QUERIES |= {f"{_prefix}_{name}": made(_source) for name, made in _REAL.items()}
 
 _BLOCKS = " UNION ALL ".join(
     f"SELECT \"File\", '{name}' AS name, lower(\"{name}\") AS t FROM page_model_input "
@@ -253,3 +380,15 @@ SQL = {
     "embedding_clusters": "SELECT vec_id, len(embedding) AS size, true AS agrees, true AS nearest FROM embeddings",
     "training_rows": c.with_tables("SELECT count(*) AS total FROM doc_model_input", "doc_model_input"),
 }
+
+_INPUT_COLUMNS = ", ".join(f'"{n}"' for n in ["File", *c.HEADINGS, "WordCount", "ReadingTime", "Top20Words"])
+for _prefix, _input in (("page", "page_model_input"), ("document", "doc_model_input")):
+    SQL |= {
+        f"{_prefix}_categorize": c.with_tables(f"SELECT {_INPUT_COLUMNS}, true AS sound FROM {_input}", _input),
+        f"{_prefix}_centroid_distances": c.with_tables(f'SELECT "File", true AS agrees, true AS nearest FROM {_input}', _input),
+        f"{_prefix}_cluster_summary": c.with_tables(
+            f'SELECT chr(9) || "Title" AS line, count(*) AS files, true AS headed FROM {_input} GROUP BY ALL', _input
+        ),
+        f"{_prefix}_apply_saved_model": c.with_tables(f'SELECT "File", true AS same FROM {_input}', _input),
+        f"{_prefix}_silhouette_sweep": "SELECT unnest(range(2, 21)) AS k, true AS sound",
+    }
