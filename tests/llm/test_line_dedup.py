@@ -58,3 +58,12 @@ def test_repeated_rows_and_very_long_lines(spark):
     text = {r.doc_id: (r.text, r.n_lines, r.n_kept) for r in got}
     assert len(got) == 5 and text[1] == (long, 1, 1) and text[2] == ("", 1, 0)
     assert text[3] == ("", 3000, 0) and text[-4] == ("plain words", 1, 1)
+
+
+def test_lines_of_null_ids_are_judged_by_row(spark):
+    copy, near = " ".join(f"w{i}" for i in range(12)), " ".join(f"w{i}" for i in range(11)) + " other"
+    rows = [(1, copy), (None, near + "\nfirst own line"), (None, "second own line\nthird own line"), (2, "a line"), (2, "b line\na line")]
+    got = {(r.doc_id, r.n_lines, r.n_kept, r.text) for r in ld.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    fixed = {(1, 1, 1, copy), (None, 2, 1, "first own line"), (None, 2, 2, "second own line\nthird own line")}
+    rest = got - fixed
+    assert fixed <= got and sum(r[2] for r in rest) == 2 and len(rest) == 2

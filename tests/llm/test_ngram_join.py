@@ -116,3 +116,13 @@ def test_components(spark):
 def test_few_rows(spark, n):
     df = spark.createDataFrame([(1, "a b c d e f")][:n], "doc_id long, text string")
     assert [tuple(r) for r in nj.near_classes(df).collect()] == [(1, 1, 1, 0)][:n]
+
+
+def test_rows_of_null_id_are_documents_of_their_own(spark):
+    text = lambda tag, last: " ".join(f"{tag}{i}" for i in range(60)) + last
+    rows = [(1, text("a", "")), (None, text("a", " x")), (None, text("b", "")), (4, text("b", " x")), (None, text("c", "")), (None, text("c", ""))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in nj.near_classes(df).collect()), key=str)
+    want = [(1, 1, 1, 1), (None, 1, None, 1), (None, 4, None, 1), (4, 4, 4, 1), (None, None, None, 0), (None, None, None, 0)]
+    assert got == sorted(want, key=str)
+    assert sorted((r.text for r in nj.one_of_each(df).collect())) == sorted([rows[0][1], rows[3][1], rows[4][1]])

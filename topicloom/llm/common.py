@@ -41,6 +41,18 @@ def text_or_empty(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))
 
 
+def row_keys(df: DataFrame, id_col: str, text_col: str, key: str) -> tuple[DataFrame, bool]:
+    """``df`` with a number of its own for each row, in the order of the ids, and whether that is another one than the id.
+
+    Where no id is null or repeated it is the id. Else rows are numbered by id, then hash of the text, and stored once.
+    """
+    ids = df.select(F.col(id_col).cast("long").alias("id")).groupBy("id").count()
+    if not ids.filter("count > 1 OR id IS NULL").limit(1).count():
+        return df.withColumn(key, F.col(id_col).cast("long")), False
+    ordered = df.orderBy(id_or_last(F.col(id_col)), F.xxhash64(text_col))
+    return stored(ordered.withColumn(key, F.monotonically_increasing_id()), "numbered-rows"), True
+
+
 def unit_interval(*columns: Column) -> Column:
     """A number in [0, 1) that depends on nothing but the values: reruns agree."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))

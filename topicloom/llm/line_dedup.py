@@ -11,7 +11,8 @@ and itself, cut at every position. Lines with a key in common differ at that one
 compared. As one edit leaves three quarters of a line untouched, only lines that share three quarters with another
 need to emit variants, and only at the positions of the fourth.
 
-Documents of null id come last and count as one, as rows with equal ids do. Null and empty texts have no lines to lose.
+Documents of null id come last. Each row is a document of its own; of equal or null ids the order is that of their texts'
+hashes. Null and empty texts have no lines to lose.
 Only the id and text columns are read. Ids are whole numbers.
 """
 
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import GAP, LAST_ID, fresh, id_or_last, stored, text_or_empty
+from topicloom.llm.common import GAP, LAST_ID, fresh, id_or_last, row_keys, stored, text_or_empty
 
 #: Fewest words of lines that may differ in one.
 MIN_NEAR = 10
@@ -140,9 +141,9 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
     A null text stays null. Columns of these two names are replaced.
     """
-    kept = kept_lines(df, id_col, text_col, min_near)
     key, own, merged, rest = (fresh(df, n) for n in ("_key", "_kept", "_merged", "_rest"))
-    rows = df.withColumn(key, id_or_last(F.col(id_col)))
+    rows, _ = row_keys(df, id_col, text_col, key)
+    kept = kept_lines(rows, key, text_col, min_near)
     rows = rows.join(kept.select(F.col("key").alias(key), F.col("kept").alias(own)).hint("shuffle_hash"), key, "left")
     rows = rows.withColumn(merged, _merged(text_or_empty(F.col(text_col)), F.col(own)))
     rows = rows.withColumn(rest, F.filter(merged, lambda e, j: _stays(F.col(merged), e, j)))

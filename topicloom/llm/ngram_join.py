@@ -12,8 +12,8 @@ A comparison of signatures links candidates; each bucket gives a spanning forest
 check follows: within each component of candidates the shingle sets are compared, again by blocks, and links at the
 threshold or above are counted and joined to components: the classes of near duplicates.
 
-A text of fewer than five words has one shingle of all its words. Null and texts without words are never linked. Rows
-with equal ids count as one document; null ids come last and count as one. Only the id and text columns are read.
+A text of fewer than five words has one shingle of all its words. Null and texts without words are never linked. Each
+row is a document of its own, in the order of the ids, null ids last. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import GAP, LAST_ID, fresh, id_or_last, stored
+from topicloom.llm.common import GAP, fresh, id_or_last, row_keys, stored
 from topicloom.llm.components import components
 
 WORDS = 5
@@ -330,22 +330,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """A row for each row of ``df``: its id, class_id, same_id and n_links; without words it is its own class."""
-    found = near_duplicates(df, id_col, text_col, **options).groupBy("key").agg(F.min("class").alias("class"), F.min("same").alias("same"), F.max("links").alias("links"))
-    rows = df.select(F.col(id_col), id_or_last(F.col(id_col)).alias("key")).join(found, "key", "left")
-    known = lambda c: F.when(F.coalesce(c, F.col("key")) != LAST_ID, F.coalesce(c, F.col("key")))
-    return rows.select(id_col, known(F.col("class")).alias("class_id"), known(F.col("same")).alias("same_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
+    docs, numbered = row_keys(df.select(F.col(id_col).alias("own"), F.col(text_col).alias("text")), "own", "text", "key")
+    found = near_duplicates(docs, "key", "text", **options)
+    rows = docs.select("own", "key").join(found, "key", "left")
+    rows = rows.withColumn("class", F.coalesce("class", "key")).withColumn("same", F.coalesce("same", "key"))
+    if numbered:
+        ids = docs.select("key", F.col("own").cast("long").alias("id"))
+        for name in ("class", "same"):
+            rows = rows.join(ids.withColumnRenamed("key", name), name).drop(name).withColumnRenamed("id", name)
+    return rows.select(F.col("own").alias(id_col), F.col("class").alias("class_id"), F.col("same").alias("same_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` without those whose class has a smaller id, and one row of each id with words.
-
-    Rows of null id cannot be told apart, so all of them stay, as all without words do.
-    """
+    """The rows of ``df`` without those whose class has an earlier row; all without words stay."""
     key, first = fresh(df, "_key"), fresh(df, "_first")
-    found = near_duplicates(df, id_col, text_col, **options).groupBy(F.col("key").alias(key)).agg(F.min("class").alias(first))
-    rows = df.withColumn(key, id_or_last(F.col(id_col))).join(found.hint("shuffle_hash"), key, "left")
-    alone = F.col(first).isNull() | (F.col(key) == LAST_ID) | ~F.coalesce(F.col(text_col).rlike(WORD), F.lit(False))
-    stays = rows.filter(alone | (F.col(first) == F.col(key)))
-    # Rows with words of equal id are one document; the others differ by a number of their own.
-    own = F.when(alone, F.monotonically_increasing_id())
-    return stays.withColumn(first, own).dropDuplicates([key, first]).select(*df.columns)
+    docs, _ = row_keys(df, id_col, text_col, key)
+    found = near_duplicates(docs, key, text_col, **options).select(F.col("key").alias(key), F.col("class").alias(first))
+    rows = docs.join(found.hint("shuffle_hash"), key, "left")
+    return rows.filter(F.col(first).isNull() | (F.col(first) == F.col(key))).select(*df.columns)
