@@ -158,7 +158,8 @@ def manifest_proofs(rows: DataFrame) -> DataFrame:
     A tree for each source, null first; the leaves of a source ascend by ``order``, then by digest.
     """
     rest = [c for c in rows.columns if c not in ("source", "order", "digest")]
-    keyed = rows.withColumn("tree", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
+    # Stored, so that the texts are read and hashed once, and not again to find the ranges of the sort.
+    keyed = stored(rows.withColumn("tree", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))), "merkle-digests")
     ranked = number_rows(keyed, ["tree"], [F.col("order").asc_nulls_first(), "digest"], "rank").withColumn("rank", F.col("rank") - 1)
     leaves = stored(ranked, "merkle-leaves")
     sources = build(leaves)
