@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import chat_tools, license_scan, line_dedup, merkle, mixing, ngram_join, quality, secret_scan, sentence_pieces, suffix_dedup, url_filter, vector_file
+from topicloom.llm import chat_tools, conversation_repair, license_scan, line_dedup, merkle, mixing, ngram_join, quality, secret_scan, sentence_pieces, suffix_dedup, url_filter, vector_file
 from topicloom.llm.common import read_table
 
 
@@ -70,6 +70,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_digest(read_table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_documents(read_table(spark, sf_dir, "documents"))
 
@@ -78,7 +82,7 @@ def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(license_scan.scan(read_table(spark, sf_dir, "documents")))
 
 
-QUERIES = (op1_line_dedup, op2_ngram_join, op3_sentence_pieces, op4_source_mix, op5_secret_scan, op6_chat_tools, op7_url_filter, op8_exact_top_k, op9_quality_rules, op10_suffix_dedup, op12_merkle_manifest, op13_license_scan)
+QUERIES = (op1_line_dedup, op2_ngram_join, op3_sentence_pieces, op4_source_mix, op5_secret_scan, op6_chat_tools, op7_url_filter, op8_exact_top_k, op9_quality_rules, op10_suffix_dedup, op11_conversation_repair, op12_merkle_manifest, op13_license_scan)
 
 
 def queries() -> dict:
@@ -86,4 +90,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.SQL, "op6_chat_tools": chat_tools.SQL, "op8_exact_top_k": vector_file.SQL, "op9_quality_rules": quality.SQL, "op10_suffix_dedup": suffix_dedup.SQL, "op12_merkle_manifest": merkle.SQL, "op13_license_scan": license_scan.SQL}
+    return {"op1_line_dedup": line_dedup.SQL, "op6_chat_tools": chat_tools.SQL, "op8_exact_top_k": vector_file.SQL, "op9_quality_rules": quality.SQL, "op10_suffix_dedup": suffix_dedup.SQL, "op11_conversation_repair": conversation_repair.SQL, "op12_merkle_manifest": merkle.SQL, "op13_license_scan": license_scan.SQL}
