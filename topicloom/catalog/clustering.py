@@ -8,17 +8,13 @@ and vectors are checked against a second way to compute their numbers: the queri
 that start with ``page_`` or ``document_`` run over the whole model input.
 """
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import clustering
-from ..operators.features import gram_rows, gram_widths, text_featurizer
+from ..operators.features import gram_rows, text_key
 from ..operators.summary import numbered_summary, summary_lines
-from ..plans.categorise import apply_model, categorise, text_features
+from ..plans.categorise import apply_model, categorise, text_features, with_labels
 from ..plans.rank import model_input
 from ..session import materialize, spread_input, work_dir
 from . import corpus as c
@@ -53,11 +49,14 @@ def _named(labelled, by="File"):
 
 
 def _language_vectors(spark, sf_dir):
-    """Documents with one place of a vector for each language."""
+    """Documents with one place of a vector for each language; row is the number of the document."""
     at = F.array(*[(F.col("lang") == name).cast("double") for name in LANGUAGES])
-    docs = c.texts(spark, sf_dir).select("File", array_to_vector(at).alias("features"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return materialize(clustering.spread_rows(docs, parts, ["File"]), "language-vectors")
+    docs = c.table(spark, sf_dir, "documents", "doc_id", "lang")
+    return materialize(docs.select(F.col("doc_id").alias("row"), F.lit(1).cast("bigint").alias("weight"), _places(len(LANGUAGES)), at.alias("values")), "language-vectors")
+
+
+def _places(size):
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(size - 1).cast("bigint")).alias("slots")
 
 
 def feature_terms(spark, sf_dir):
@@ -69,50 +68,54 @@ def feature_terms(spark, sf_dir):
     return counted.withColumn("weight", F.round(weight, 9))
 
 
+def _entries(held):
+    return held.select("row", F.inline(F.arrays_zip(F.col("slots").alias("slot"), F.col("values").alias("value"))))
+
+
 def text_feature_weights(spark, sf_dir):
-    """Number of distinct grams of each block, and whether its vector holds their weights.
+    """Number of distinct grams of each block, and whether its vector holds just their weights.
 
-    The slots come from hashing single grams, the weights from the counts.
+    Each gram is compared by itself, as each has a slot of its own.
     """
     rows = _rows(spark, sf_dir)
-    widths = gram_widths(rows)
-    vectors = text_featurizer(num_features=widths).transform(rows)
+    terms, held = text_features(rows)
     counted = gram_rows(rows).groupBy("File", "name", "kind", "gram").agg(F.count(F.lit(1)).alias("n"))
-    start, placed = 0, None
-    for (name, kind), width in widths.items():
-        own = counted.filter((F.col("name") == name) & (F.col("kind") == kind)).select("gram").distinct()
-        hashed = HashingTF(numFeatures=width, inputCol="one", outputCol="hash").transform(
-            own.withColumn("one", F.array("gram"))
-        )
-        slot = F.element_at(F.unwrap_udt("hash")["indices"], 1) + start
-        found = hashed.select(F.lit(name).alias("name"), F.lit(kind).alias("kind"), "gram", slot.alias("slot"))
-        placed = found if placed is None else placed.unionByName(found)
-        start += width
-    slots = counted.join(materialize(placed, "slots"), ["name", "kind", "gram"])
-    own = slots.groupBy("File", "name", "kind", "slot").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("grams"))
     block = Window.partitionBy("File", "name", "kind")
-    own = own.withColumn("weight", F.col("n") / F.sqrt(F.sum(F.col("n") * F.col("n")).over(block)))
-    raw = F.unwrap_udt("features")
-    dense = F.sequence(F.lit(0), F.size(raw["values"]) - 1)
-    held = vectors.select("File", F.inline(F.arrays_zip(
-        F.coalesce(raw["indices"], dense).alias("slot"), raw["values"].alias("value"))))
-    both = own.join(held.filter("value <> 0"), ["File", "slot"], "full")
+    own = counted.select(
+        "File", "name", "kind", F.concat_ws(":", "name", "kind", "gram").alias("term"),
+        (F.col("n") / F.sqrt(F.sum(F.col("n") * F.col("n")).over(block))).alias("weight"),
+    )
+    named = rows.select("File", text_key().alias("key")).join(held, "key")
+    placed = named.select("File", F.inline(F.arrays_zip(F.col("slots").alias("slot"), F.col("values").alias("value"))))
+    both = own.join(placed.join(terms, "slot").select("File", "term", "value"), ["File", "term"], "full")
     same = F.coalesce(F.abs(F.col("weight") - F.col("value")) < 1e-9, F.lit(False))
     return both.groupBy("File", "name", "kind").agg(
-        F.sum("grams").alias("grams"), F.bool_and(same).alias("agrees")
+        F.count(F.lit(1)).alias("grams"), F.bool_and(same).alias("agrees")
     )
 
 
+def _distances(held, model):
+    """(row, cluster, distance) by a join of single entries: a second way to the distances of a model."""
+    centres = materialize(model.centres, "second-centres")
+    whole = centres.groupBy("cluster").agg(F.sum(F.col("value") * F.col("value")).alias("whole"))
+    clusters = F.broadcast(model.clusters.select("cluster").join(whole, "cluster", "left").na.fill(0.0))
+    dots = _entries(held).join(centres.withColumnRenamed("value", "mean"), "slot").groupBy("row", "cluster").agg(F.sum(F.col("value") * F.col("mean")).alias("dot"))
+    square = F.aggregate("values", F.lit(0.0), lambda s, x: s + x * x)
+    # At most twenty clusters.
+    pairs = held.select("row", square.alias("square")).crossJoin(clusters).join(dots, ["row", "cluster"], "left")
+    gap = F.col("square") + F.col("whole") - 2 * F.coalesce("dot", F.lit(0.0))
+    return pairs.select("row", "cluster", F.sqrt(F.greatest(gap, F.lit(0.0))).alias("distance"))
+
+
 def kmeans_sweep(spark, sf_dir):
     """Each k with its cost, and whether the cost of the best one equals the mean squared distance."""
-    _, features = text_features(_rows(spark, sf_dir))
-    found = clustering.sweep(features)
-    scored = clustering.with_distances(found.model.transform(features), found.model)
-    least = F.array_min("Score")
-    mean = scored.agg(F.avg(least * least)).first()[0]
+    _, held = text_features(_rows(spark, sf_dir))
+    found = clustering.sweep(held)
+    least = held.select("row", "weight").join(_distances(held, found.model).groupBy("row").agg(F.min("distance").alias("least")), "row")
+    mean = least.agg(F.sum(F.col("least") * F.col("least") * F.col("weight")) / F.sum("weight")).first()[0]
     table = found.table(spark)
     best = F.col("k") == found.best_k
-    sound = (F.col("cost") >= found.costs[found.best_k]) & (~best | (F.abs(F.col("cost") - mean) < 1e-4))
+    sound = (F.col("cost") >= found.costs[found.best_k]) & (~best | (F.abs(F.col("cost") - mean) < 1e-6))
     return table.select(F.col("k").cast("bigint").alias("k"), sound.alias("sound"))
 
 
@@ -125,9 +128,9 @@ def language_sweep(spark, sf_dir):
 
 def silhouette_sweep(spark, sf_dir):
     """The best silhouette over vectors of languages, and its clusters."""
-    features = _language_vectors(spark, sf_dir)
-    found = clustering.sweep(features, metric="silhouette")
-    labelled = clustering.with_label(found.model.transform(features))
+    held = _language_vectors(spark, sf_dir)
+    found = clustering.sweep(held, metric="silhouette")
+    labelled = clustering.scored(held, found.model)
     return labelled.agg(F.countDistinct("PredictedLabel").alias("clusters")).withColumn(
         "silhouette", F.round(F.lit(-found.costs[found.best_k]), 6)
     )
@@ -145,14 +148,12 @@ def cluster_summary(spark, sf_dir):
 
 def centroid_distances(spark, sf_dir):
     """Distances to all centres in rising order; the nearest centre is the label."""
-    features = _language_vectors(spark, sf_dir)
-    found = clustering.sweep(features)
-    scored = clustering.with_distances(
-        clustering.with_label(found.model.transform(features)), found.model
-    )
-    rounded = F.transform(F.array_sort("Score"), lambda x: F.round(x.cast("double"), 4) + 0.0)
+    held = _language_vectors(spark, sf_dir)
+    scored = clustering.scored(held, clustering.sweep(held).model)
+    rounded = F.transform(F.array_sort("Score"), lambda x: F.round(x, 4) + 0.0)
     return scored.select(
-        "File", F.array_join(rounded.cast("array<string>"), " ").alias("distances"),
+        F.concat(F.lit("doc-"), "row", F.lit(".md")).alias("File"),
+        F.array_join(rounded.cast("array<string>"), " ").alias("distances"),
         (F.array_position("Score", F.array_min("Score")) == F.col("PredictedLabel")).alias("nearest"),
     )
 
@@ -163,27 +164,24 @@ def apply_saved_model(spark, sf_dir):
     result = categorise(rows.filter("length(File) % 2 = 0 OR hash(File) % 2 = 0"))
     path = work_dir(spark, "trained")
     clustering.save_model(result.model, path)
-    return _named(apply_model(clustering.load_model(path), rows)).select("File", "category")
+    return _named(apply_model(clustering.load_model(spark, path), rows)).select("File", "category")
 
 
 def embedding_clusters(spark, sf_dir):
     """The same sweep over ready-made vectors; distances are computed a second time."""
     rows = c.table(spark, sf_dir, "embeddings", "vec_id", "embedding")
-    vectors = rows.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    features = materialize(clustering.spread_rows(vectors, parts, ["vec_id"]), "embeddings")
-    found = clustering.sweep(features)
-    labelled = clustering.with_label(found.model.transform(features))
-    scored = clustering.with_distances(labelled, found.model)
-    own = vector_to_array("features")
-    gaps = []
-    for i, center in enumerate(found.model.clusterCenters()):
-        squares = F.zip_with(own, F.array(*map(F.lit, center.tolist())), lambda a, b: (a - b) * (a - b))
-        distance = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x))
-        gaps.append(F.abs(F.get("Score", F.lit(i)) - distance))
+    held = materialize(rows.select(
+        F.col("vec_id").alias("row"), F.lit(1).cast("bigint").alias("weight"),
+        F.sequence(F.lit(0).cast("bigint"), (F.size("embedding") - 1).cast("bigint")).alias("slots"),
+        F.col("embedding").cast("array<double>").alias("values"),
+    ), "embeddings")
+    found = clustering.sweep(held)
+    again = _distances(held, found.model).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("cluster", "distance"))).alias("again"))
+    scored = clustering.scored(held, found.model).join(again, "row").join(held.select("row", F.size("values").alias("size")), "row")
+    gaps = F.zip_with("Score", "again", lambda a, b: F.abs(a - b["distance"]))
     return scored.select(
-        "vec_id", F.size(own).cast("bigint").alias("size"),
-        (F.greatest(*gaps) < 1e-3).alias("agrees"),
+        F.col("row").alias("vec_id"), F.col("size").cast("bigint").alias("size"),
+        (F.array_max(gaps) < 1e-6).alias("agrees"),
         (F.array_position("Score", F.array_min("Score")) == F.col("PredictedLabel")).alias("nearest"),
     )
 
@@ -193,41 +191,29 @@ def _document_rows(spark, sf_dir):
     return _stored(model_input(c.stored_docs(spark, sf_dir)))
 
 
-def _checked(labelled, model):
-    """Rows with Score, and whether a second sum over the slots gives the same distances and the label is the nearest."""
-    scored = clustering.with_distances(labelled, model)
-    shared = labelled.sparkSession.sparkContext.broadcast(np.asarray(model.clusterCenters()))
-
-    @F.pandas_udf("array<double>")
-    def again(slots: pd.Series, values: pd.Series) -> pd.Series:
-        centers = shared.value
-        whole = (centers**2).sum(axis=1)
-        out = []
-        for at, value in zip(slots, values):
-            own = centers[:, np.asarray(at, np.int64)]
-            square = whole - (own**2).sum(axis=1) + ((own - np.asarray(value)) ** 2).sum(axis=1)
-            out.append(np.sqrt(np.maximum(square, 0.0)))
-        return pd.Series(out)
-
-    raw = F.unwrap_udt("features")
-    slots = F.coalesce(raw["indices"], F.when(F.size(raw["values"]) > 0, F.sequence(F.lit(0), F.size(raw["values"]) - 1)), F.array().cast("array<int>"))
-    found = scored.withColumn("_again", again(slots, raw["values"]))
-    gaps = F.zip_with("Score", "_again", lambda a, b: F.abs(a - b))
+def _checked(rows, held, model):
+    """Rows with Score, and whether a join of single entries gives the same distances and the label is the nearest."""
+    again = _distances(held, model).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("cluster", "distance"))).alias("again"))
+    again = held.select("row", "key").join(again, "row").drop("row")
+    found = with_labels(rows, held, model).withColumn("key", text_key()).join(again, "key")
+    gaps = F.zip_with("Score", "again", lambda a, b: F.abs(a - b["distance"]))
+    own = F.filter("again", lambda x: x["cluster"] + 1 == F.col("PredictedLabel"))
+    least = F.array_min(F.transform("again", lambda x: x["distance"]))
     return found.select(
-        "File", "PredictedLabel", (F.array_max(gaps) < 1e-3).alias("agrees"),
-        (F.element_at("_again", F.col("PredictedLabel")) < F.array_min("_again") + 1e-4).alias("nearest"),
+        "File", "PredictedLabel", (F.array_max(gaps) < 1e-6).alias("agrees"),
+        (F.get(own, F.lit(0))["distance"] < least + 1e-6).alias("nearest"),
     )
 
 
 def real_categorized(rows_of):
-    """Each row with its texts, and whether its label is that of the saved form of the model, is the nearest centre's,
+    """Each row with its texts, and whether its label is that of the model's tables, is the nearest centre's,
     and all distances agree."""
 
     def run(spark, sf_dir):
         rows = rows_of(spark, sf_dir)
         result = categorise(rows)
-        scored = _checked(clustering.with_label(result.model.transform(rows)), result.sweep.model)
-        again = scored.withColumnRenamed("PredictedLabel", "other")
+        _, held = text_features(rows, result.model.vocabulary)
+        again = _checked(rows, held, result.model).withColumnRenamed("PredictedLabel", "other")
         found = result.rows.join(again, "File")
         sound = F.col("agrees") & F.col("nearest") & (F.col("PredictedLabel") == F.col("other"))
         return found.select("File", *c.HEADINGS, "WordCount", "ReadingTime", "Top20Words", sound.alias("sound"))
@@ -237,9 +223,44 @@ def real_categorized(rows_of):
 
 def real_distances(rows_of):
     def run(spark, sf_dir):
-        _, features = text_features(rows_of(spark, sf_dir))
-        found = clustering.sweep(features)
-        return _checked(clustering.with_label(found.model.transform(features)), found.model).drop("PredictedLabel")
+        rows = rows_of(spark, sf_dir)
+        _, held = text_features(rows)
+        return _checked(rows, held, clustering.sweep(held).model).drop("PredictedLabel")
+
+    return run
+
+
+#: Passes of the fits from given seeds, and the k whose labels are shown.
+PASSES, SHOWN = 3, 8
+
+
+def _seeded(rows, ks):
+    """Vectors and the fits that start from the texts of the first files."""
+    _, held = text_features(rows)
+    first = rows.groupBy(text_key().alias("key")).agg(F.min("File").alias("File")).orderBy("File").limit(max(ks))
+    seeds = [r["row"] for r in first.join(held, "key").orderBy("File").collect()]
+    return held, clustering.sweep(held, ks, seeds=seeds, max_iter=PASSES - 1, tolerance=-1.0)
+
+
+def seeded_costs(rows_of):
+    """The cost of each k after a few passes from given seeds."""
+
+    def run(spark, sf_dir):
+        _, found = _seeded(rows_of(spark, sf_dir), range(clustering.LOW_K, clustering.HIGH_K + 1))
+        return found.table(spark).select(F.col("k").cast("bigint").alias("k"), F.round("cost", 6).alias("cost"))
+
+    return run
+
+
+def seeded_labels(rows_of):
+    """Label of each file and its distances to all centres after a few passes from given seeds."""
+
+    def run(spark, sf_dir):
+        rows = rows_of(spark, sf_dir)
+        held, found = _seeded(rows, [SHOWN])
+        rounded = F.transform("Score", lambda x: F.round(x, 4))
+        labelled = with_labels(rows, held, found.model)
+        return labelled.select("File", F.col("PredictedLabel").cast("bigint").alias("label"), *(F.get(rounded, F.lit(i)).alias(f"d{i + 1}") for i in range(SHOWN)))
 
     return run
 
@@ -266,7 +287,7 @@ def real_saved_model(rows_of):
         result = categorise(rows)
         path = work_dir(spark, "trained")
         clustering.save_model(result.model, path)
-        again = apply_model(clustering.load_model(path), rows).select("File", F.col("PredictedLabel").alias("other"))
+        again = apply_model(clustering.load_model(spark, path), rows).select("File", F.col("PredictedLabel").alias("other"))
         return result.rows.join(again, "File").select("File", (F.col("PredictedLabel") == F.col("other")).alias("same"))
 
     return run
@@ -276,10 +297,10 @@ def real_silhouette(rows_of):
     """Each k, and whether no silhouette is above the best one, which a sum over the rows gives as well."""
 
     def run(spark, sf_dir):
-        _, features = text_features(rows_of(spark, sf_dir))
-        found = clustering.sweep(features, metric="silhouette")
+        _, held = text_features(rows_of(spark, sf_dir))
+        found = clustering.sweep(held, metric="silhouette")
         table = found.table(spark)
-        best = _silhouette(found.model.transform(features))
+        best = _silhouette(held, clustering.scored(held, found.model))
         sound = (F.col("cost") >= found.costs[found.best_k]) & F.col("cost").between(-1.0, 1.0)
         sound = sound & ((F.col("k") != found.best_k) | (F.abs(F.col("cost") + best) < 1e-6))
         return table.select(F.col("k").cast("bigint").alias("k"), sound.alias("sound"))
@@ -287,25 +308,24 @@ def real_silhouette(rows_of):
     return run
 
 
-def _silhouette(labelled):
-    """Mean silhouette of squared distances, from the sums of each cluster."""
-    raw = F.unwrap_udt("features")
-    dense = F.sequence(F.lit(0), F.size(raw["values"]) - 1)
-    rows = materialize(labelled.select(
-        F.monotonically_increasing_id().alias("row"), F.col("prediction").alias("own"),
-        F.arrays_zip(F.coalesce(raw["indices"], dense).alias("slot"), raw["values"].alias("value")).alias("held"),
-    ).withColumn("square", F.aggregate("held", F.lit(0.0), lambda s, x: s + x["value"] * x["value"])), "silhouette")
-    clusters = F.broadcast(rows.groupBy(F.col("own").alias("other")).agg(F.count(F.lit(1)).alias("n"), F.sum("square").alias("squares")))
-    held = rows.select("row", "own", F.inline("held"))
-    sums = held.groupBy("slot", F.col("own").alias("other")).agg(F.sum("value").alias("total"))
-    dots = held.drop("own").join(sums, "slot").groupBy("row", "other").agg(F.sum(F.col("value") * F.col("total")).alias("dot"))
-    pairs = rows.select("row", "own", "square").crossJoin(clusters).join(dots, ["row", "other"], "left")
+def _silhouette(held, labels):
+    """Mean silhouette of squared distances, from the sums of the entries of each cluster."""
+    rows = materialize(held.join(labels, "row").select(
+        "row", "weight", F.col("PredictedLabel").alias("own"), F.arrays_zip(F.col("slots").alias("slot"), F.col("values").alias("value")).alias("held"),
+        F.aggregate("values", F.lit(0.0), lambda s, x: s + x * x).alias("square"),
+    ), "silhouette")
+    clusters = F.broadcast(rows.groupBy(F.col("own").alias("other")).agg(F.sum("weight").alias("n"), F.sum(F.col("square") * F.col("weight")).alias("squares")))
+    entries = rows.select("row", "weight", "own", F.inline("held"))
+    sums = entries.groupBy("slot", F.col("own").alias("other")).agg(F.sum(F.col("value") * F.col("weight")).alias("total"))
+    dots = entries.drop("own").join(sums, "slot").groupBy("row", "other").agg(F.sum(F.col("value") * F.col("total")).alias("dot"))
+    # At most twenty clusters.
+    pairs = rows.select("row", "weight", "own", "square").crossJoin(clusters).join(dots, ["row", "other"], "left")
     far = F.col("square") + (F.col("squares") - 2 * F.coalesce("dot", F.lit(0.0))) / F.col("n")
     same = F.col("own") == F.col("other")
     a = F.max(F.when(same & (F.col("n") > 1), F.try_divide(far * F.col("n"), F.col("n") - 1)))
-    ab = pairs.groupBy("row").agg(a.alias("a"), F.min(F.when(~same, far)).alias("b"), F.max(F.when(same, F.col("n"))).alias("n"))
+    ab = pairs.groupBy("row", "weight").agg(a.alias("a"), F.min(F.when(~same, far)).alias("b"), F.max(F.when(same, F.col("n"))).alias("n"))
     score = F.when(F.col("n") == 1, 0.0).otherwise(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")))
-    return ab.agg(F.avg(F.coalesce(score, F.lit(0.0)))).first()[0]
+    return ab.agg(F.sum(F.coalesce(score, F.lit(0.0)) * F.col("weight")) / F.sum("weight")).first()[0]
 
 
 def training_rows(spark, sf_dir):
@@ -329,7 +349,8 @@ QUERIES = {
     "training_rows": training_rows,
 }
 _REAL = {"categorize": real_categorized, "centroid_distances": real_distances, "cluster_summary": real_summary,
-         "apply_saved_model": real_saved_model, "silhouette_sweep": real_silhouette}
+         "apply_saved_model": real_saved_model, "silhouette_sweep": real_silhouette, "seeded_costs": seeded_costs,
+         "seeded_labels": seeded_labels}
 for _prefix, _source in (("page", _rows), ("document", _document_rows)):
     QUERIES |= {f"{_prefix}_{name}": made(_source) for name, made in _REAL.items()}
 
@@ -381,9 +402,60 @@ SQL = {
     "training_rows": c.with_tables("SELECT count(*) AS total FROM doc_model_input", "doc_model_input"),
 }
 
+
+
+def _define_seeded(prefix, table):
+    """Vectors of ``table`` and three passes of k-means from the texts of the first files, for all k and for one."""
+    texts = [*c.HEADINGS, "Top20Words"]
+    columns = ", ".join(f"coalesce(\"{n}\", '') AS \"{n}\"" for n in texts)
+    names = ", ".join(f'"{n}"' for n in texts)
+    c.define(f"{prefix}_texts", (table,), f'SELECT min("File") AS first, count(*) AS weight, {names} FROM (SELECT "File", {columns} FROM {table}) GROUP BY {names}')
+    c.define(f"{prefix}_rows", (f"{prefix}_texts",), f"SELECT *, row_number() OVER (ORDER BY first) AS row FROM {prefix}_texts")
+    blocks = " UNION ALL ".join(f"SELECT row, '{n}' AS name, lower(\"{n}\") AS t FROM {prefix}_rows" for n in texts)
+    c.define(
+        f"{prefix}_grams", (f"{prefix}_rows",),
+        f"SELECT row, name || ':' || kind || ':' || gram AS term, n / sqrt(sum(n * n) OVER (PARTITION BY row, name, kind)) AS value FROM ("
+        f"SELECT row, name, kind, gram, count(*) AS n FROM (SELECT row, name, 'words' AS kind, unnest(string_split(t, ' ')) AS gram FROM ({blocks}) "
+        f"UNION ALL SELECT row, name, 'trigrams', t[i:i + 2] FROM (SELECT *, unnest(range(1, length(t) - 1)) AS i FROM ({blocks}))) WHERE gram <> '' GROUP BY ALL)",
+    )
+    c.define(f"{prefix}_entries", (f"{prefix}_grams",), f"SELECT row, value, dense_rank() OVER (ORDER BY term) AS slot FROM {prefix}_grams")
+    c.define(f"{prefix}_squares", (f"{prefix}_rows", f"{prefix}_entries"), f"SELECT r.row, r.weight, coalesce(sum(e.value * e.value), 0) AS square FROM {prefix}_rows r LEFT JOIN {prefix}_entries e USING (row) GROUP BY ALL")
+    for name, ks in (("all", f"unnest(range({clustering.LOW_K}, {clustering.HIGH_K + 1}))"), ("one", f"{SHOWN}")):
+        p = f"{prefix}_{name}"
+        c.define(f"{p}_ids", (), f"SELECT k, unnest(range(1, k + 1)) AS cluster FROM (SELECT {ks} AS k)")
+        c.define(f"{p}_centres_0", (f"{p}_ids", f"{prefix}_entries"), f"SELECT i.k, i.cluster, e.slot, e.value FROM {p}_ids i JOIN {prefix}_entries e ON e.row = i.cluster")
+        for turn in range(PASSES):
+            known = f"{p}_ids i" if not turn else f"(SELECT DISTINCT k, cluster FROM {p}_nearest_{turn - 1}) i"
+            needs = (f"{p}_centres_{turn}", f"{p}_ids", f"{prefix}_squares") + ((f"{p}_nearest_{turn - 1}",) if turn else ())
+            c.define(
+                f"{p}_far_{turn}", needs,
+                f"SELECT r.row, r.weight, i.k, i.cluster, greatest(r.square + coalesce(n.square, 0) - 2 * coalesce(d.dot, 0), 0) AS far FROM {prefix}_squares r CROSS JOIN {known} "
+                f"LEFT JOIN (SELECT k, cluster, sum(value * value) AS square FROM {p}_centres_{turn} GROUP BY ALL) n ON n.k = i.k AND n.cluster = i.cluster "
+                f"LEFT JOIN (SELECT e.row, m.k, m.cluster, sum(e.value * m.value) AS dot FROM {prefix}_entries e JOIN {p}_centres_{turn} m USING (slot) GROUP BY ALL) d "
+                "ON d.row = r.row AND d.k = i.k AND d.cluster = i.cluster",
+            )
+            c.define(f"{p}_nearest_{turn}", (f"{p}_far_{turn}",), f"SELECT row, weight, k, arg_min(cluster, (far, cluster)) AS cluster, min(far) AS far FROM {p}_far_{turn} GROUP BY ALL")
+            c.define(
+                f"{p}_centres_{turn + 1}", (f"{p}_nearest_{turn}", f"{prefix}_entries"),
+                f"SELECT n.k, n.cluster, e.slot, sum(e.value * n.weight) / any_value(s.whole) AS value FROM {p}_nearest_{turn} n JOIN {prefix}_entries e USING (row) "
+                f"JOIN (SELECT k, cluster, sum(weight) AS whole FROM {p}_nearest_{turn} GROUP BY ALL) s ON s.k = n.k AND s.cluster = n.cluster GROUP BY n.k, n.cluster, e.slot",
+            )
+
+
 _INPUT_COLUMNS = ", ".join(f'"{n}"' for n in ["File", *c.HEADINGS, "WordCount", "ReadingTime", "Top20Words"])
 for _prefix, _input in (("page", "page_model_input"), ("document", "doc_model_input")):
+    _define_seeded(_prefix, _input)
+    _last, _same = PASSES - 1, " AND ".join(f"r.\"{n}\" = coalesce(m.\"{n}\", '')" for n in [*c.HEADINGS, "Top20Words"])
+    _each = ", ".join(f"round(sqrt(max(f.far) FILTER (f.cluster = {i + 1})), 4) AS d{i + 1}" for i in range(SHOWN))
     SQL |= {
+        f"{_prefix}_seeded_costs": c.with_tables(
+            f"SELECT k, round(sum(far * weight) / sum(weight), 6) AS cost FROM {_prefix}_all_nearest_{_last} GROUP BY k", f"{_prefix}_all_nearest_{_last}"
+        ),
+        f"{_prefix}_seeded_labels": c.with_tables(
+            f'SELECT m."File", any_value(n.cluster) AS label, {_each} FROM {_input} m JOIN {_prefix}_rows r ON {_same} '
+            f'JOIN {_prefix}_one_nearest_{_last} n ON n.row = r.row JOIN {_prefix}_one_far_{_last} f ON f.row = r.row GROUP BY m."File"',
+            f"{_prefix}_one_nearest_{_last}",
+        ),
         f"{_prefix}_categorize": c.with_tables(f"SELECT {_INPUT_COLUMNS}, true AS sound FROM {_input}", _input),
         f"{_prefix}_centroid_distances": c.with_tables(f'SELECT "File", true AS agrees, true AS nearest FROM {_input}', _input),
         f"{_prefix}_cluster_summary": c.with_tables(

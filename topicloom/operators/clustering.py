@@ -1,25 +1,59 @@
-"""K-means over a range of k, choice of the best one, labels and distances."""
+"""K-means for a range of k at once over sparse rows, the best k, labels, distances and saved models.
 
-from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
+Rows are (row, weight, slots, values). All k share each pass: rows are dealt into
+groups of a bounded number of entries, a group receives the entries of all centres
+in the slots it holds, assigns its rows for every k, and sends on the sums of the
+new centres. Centres are tables by slot with the sums of each centre;
+nothing that grows with the rows or the slots is broadcast or reaches the driver.
+
+Sums are kept in whole numbers of a fixed fraction, and seeds are drawn by hashes of
+the rows, so results do not depend on the partitions or on the order of additions.
+"""
+
+import math
+import sys
+from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
-from pyspark import inheritable_thread_target
-from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType, StructField, StructType, DoubleType, IntegerType
-from pyspark.storagelevel import StorageLevel
 
-from .features import FEATURES
+from ..session import materialize
+
+# The functions of the groups travel to the tasks by value, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The range of k and the seed.
 LOW_K, HIGH_K, SEED = 2, 20, 0
 
-COSTS = StructType([StructField("k", IntegerType()), StructField("cost", DoubleType())])
+# Entries of a group of rows, the least number of groups, and products worked on at once.
+ENTRIES, LEAST_GROUPS, PAIRS = 1_000_000, 16, 2_000_000
+# Groups whose sums meet in a task, and sums a task should hold.
+MET, SUMS = 256, 4_000_000
+# A slot in more than this share of all groups is sent in parts.
+SHARES = 2_000
+# Rows drawn a round for seeding (expected), and rounds.
+DRAWN, ROUNDS = 2 * HIGH_K, 2
+# A k is finished when a pass lowers its cost by less than this share.
+TOLERANCE = 1e-4
+
+_COUNT, _COST, _SQUARE = -1, -2, -3
+
+
+@dataclass
+class Model:
+    """Tables of a fitted model.
+
+    ``centres``: (cluster, slot, value). ``clusters``: (cluster, rows, square), the
+    rows of each and the square of its centre's length. ``vocabulary``: (term, rows,
+    slot), or None where the rows were vectors already.
+    """
+
+    centres: DataFrame
+    clusters: DataFrame
+    vocabulary: DataFrame | None = None
 
 
 @dataclass
@@ -28,10 +62,11 @@ class Sweep:
 
     costs: dict[int, float]
     best_k: int
-    model: KMeansModel
+    model: Model
+    iterations: dict[int, int] = field(default_factory=dict)
 
     def table(self, spark) -> DataFrame:
-        return spark.createDataFrame(sorted(self.costs.items()), COSTS)
+        return spark.createDataFrame(sorted(self.costs.items()), "k int, cost double")
 
 
 def best_k(costs: dict[int, float]) -> int:
@@ -39,98 +74,507 @@ def best_k(costs: dict[int, float]) -> int:
     return min(costs, key=lambda k: (costs[k], k))
 
 
-def spread_rows(features: DataFrame, partitions: int, by: list[str]) -> DataFrame:
-    """A layout that depends on the rows and ``partitions`` only.
+# --- rows in groups -----------------------------------------------------------
+
 
-    K-means draws its first centres per partition; with this layout the same
-    rows give the same draw however they were laid out before.
+@dataclass
+class _Groups:
+    """Rows dealt into groups, and the slots each group needs."""
+
+    rows: DataFrame
+    needs: DataFrame
+    hot: DataFrame
+    groups: int
+    entries: int
+    total: int
+    scale: float
+    cost_scale: float
+
+    def drop_in(self, centres: DataFrame) -> DataFrame:
+        """``centres`` (slot, centres, totals) once for each group that holds the slot."""
+        copies = centres.join(F.broadcast(self.hot), "slot", "left")
+        copies = copies.withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)))
+        return self.needs.join(copies.drop("copies"), ["slot", "copy"]).select("group", "slot", "centres", "totals")
+
+
+def _group(vectors: DataFrame) -> _Groups:
+    """Deal rows into groups by a hash of what they hold.
+
+    A slot that most groups hold would be a hot key of the join to the centres; it
+    is dealt out in parts. Slots with more than one part are at most ``SHARES``.
     """
-    return features.repartition(partitions, *by).sortWithinPartitions(*by)
+    size = vectors.agg(
+        F.sum(F.size("slots")), F.sum("weight"),
+        F.max(F.coalesce(F.array_max(F.transform("values", F.abs)), F.lit(0.0))),
+        F.max(F.aggregate("values", F.lit(0.0), lambda s, x: s + x * x)),
+    ).first()
+    groups = max(LEAST_GROUPS, math.ceil((size[0] or 0) / ENTRIES))
+    held = vectors.withColumn("mark", F.xxhash64("slots", "values"))
+    held = held.withColumn("group", F.pmod("mark", F.lit(groups)).cast("int"))
+    rows = materialize(held.select("group", "mark", "row", "weight", "slots", "values"), "grouped-rows")
+    needs = rows.select("group", F.explode("slots").alias("slot")).distinct()
+    spread = needs.groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
+    whole = spread.agg(F.sum("n")).scalar()
+    copies = F.ceil(F.col("n") * SHARES / whole).cast("int")
+    hot = materialize(spread.filter(F.col("n") * SHARES > whole).select("slot", copies.alias("copies")), "hot-slots")
+    part = F.pmod(F.xxhash64("group"), F.coalesce("copies", F.lit(1))).cast("int")
+    needs = needs.join(F.broadcast(hot), "slot", "left").select("group", "slot", part.alias("copy"))
+    # Whole numbers up to 2^52 add up exactly in floating point too.
+    weight = max(1.0, float(size[1] or 0))
+    scale = 2.0 ** min(40, math.floor(52 - math.log2(weight * max(size[2] or 0.0, 2.0**-20))))
+    cost_scale = 2.0 ** min(40, math.floor(60 - math.log2(weight * 4 * max(size[3] or 0.0, 2.0**-20))))
+    return _Groups(rows, materialize(needs, "needed-slots"), hot, groups, size[0] or 0, size[1] or 0, scale, cost_scale)
+
+
+def _flat(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.asarray(chunk.flatten(), kind) for chunk in table.column(name).chunks)])
+
+
+def _centre_entries(table: pa.Table, local: np.ndarray):
+    """(slots, first, count, centre, total): of each slot, in order, its entries of centres by their place in ``local``."""
+    slots = table.column("slot").to_numpy()
+    lengths = np.concatenate([np.zeros(0, np.int64), *(np.asarray(c.value_lengths(), np.int64) for c in table.column("centres").chunks)])
+    order = np.argsort(slots, kind="stable")
+    place = np.empty(len(slots), np.int64)
+    place[order] = np.arange(len(slots))
+    at = np.repeat(place, lengths)
+    # The table may hold centres of k that are finished.
+    number = _flat(table, "centres", np.int64)
+    centre = np.where(number < len(local), local[np.minimum(number, len(local) - 1)], -1)
+    wanted = np.flatnonzero(centre >= 0)
+    wanted = wanted[np.argsort(at[wanted], kind="stable")]
+    count = np.bincount(at[wanted], minlength=len(slots))
+    return slots[order], np.cumsum(count) - count, count, centre[wanted], _flat(table, "totals", np.float64)[wanted]
+
+
+def _row_entries(table: pa.Table):
+    """(lengths, slots, values) of the rows of a group."""
+    lengths = np.concatenate([np.zeros(0, np.int64), *(np.asarray(c.value_lengths(), np.int64) for c in table.column("slots").chunks)])
+    return lengths, _flat(table, "slots", np.int64), _flat(table, "values", np.float64)
+
+
+def _squares(rows, entries, counts, norms, scale):
+    """Squared distances of all rows of a group to all centres: only slots that both hold are multiplied.
+
+    Rows are worked on in runs of about ``PAIRS`` products.
+    """
+    lengths, slots, values = rows
+    known, first, count, centre, total = entries
+    n, m = len(lengths), len(counts)
+    mean = total / (counts[centre] * scale)
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    of = np.repeat(np.arange(n), lengths)
+    out = np.bincount(of, weights=values * values, minlength=n)[:, None] + norms
+    if not len(known):
+        return np.maximum(out, 0.0)
+    place = np.minimum(np.searchsorted(known, slots), len(known) - 1)
+    times = np.where(known[place] == slots, count[place], 0)
+    work = np.concatenate([[0], np.cumsum(times)])[ends]
+    low = 0
+    while low < n:
+        high = max(low + 1, int(np.searchsorted(work, work[low] + PAIRS, side="right")) - 1)
+        some = slice(ends[low], ends[high])
+        times_here = times[some]
+        pairs = np.repeat(first[place[some]] - (np.cumsum(times_here) - times_here), times_here) + np.arange(times_here.sum())
+        key = np.repeat((of[some] - low) * m, times_here) + centre[pairs]
+        dots = np.bincount(key, weights=np.repeat(values[some], times_here) * mean[pairs], minlength=(high - low) * m)
+        out[low:high] -= 2.0 * dots.reshape(high - low, m)
+        low = high
+    return np.maximum(out, 0.0)
+
+
+@dataclass
+class _Centres:
+    """A set of centres: their table, and by id the rows behind each and the square of its length."""
+
+    table: DataFrame
+    counts: dict[int, int]
+    norms: dict[int, float]
+
+    def shared(self, ids):
+        """Arrays over ``ids`` in order; a centre without rows is infinitely far."""
+        local = np.full(max(ids) + 1, -1, np.int64)
+        local[ids] = np.arange(len(ids))
+        counts = np.array([float(self.counts.get(i, 1)) for i in ids])
+        norms = np.array([self.norms.get(i, 0.0) if self.counts.get(i) else np.inf for i in ids])
+        return local, counts, norms
 
 
-def sweep(features: DataFrame, ks=range(LOW_K, HIGH_K + 1), seed: int = SEED,
-          metric: str = "distance", max_iter: int = 20, parallelism: int = 4) -> Sweep:
-    """Fit k-means for each k on the same rows and keep the best model.
+def _measured(groups: _Groups, centres: _Centres, ids: list[int], work, schema: str) -> DataFrame:
+    """What ``work(table of rows, entries of rows, squared distances)`` makes of each group; ``ids`` must be those of the table."""
+    local, counts, norms = centres.shared(ids)
+    scale = groups.scale
 
-    ``metric="distance"`` is the mean squared distance to the own centre, which
-    the fit reports at no extra cost; ``"silhouette"`` takes one more pass per k.
-    The rows are cached for all fits, and a few fits run side by side so that
-    the tail of one job does not leave the cluster idle. Only the best model so
-    far is kept on the driver. Rows are worked on one by one: the block solver fails
-    on tables with fewer distinct rows than k.
+    def each(rows: pa.Table, parts: pa.Table) -> pa.Table:
+        entries = _row_entries(rows)
+        return work(rows, entries, _squares(entries, _centre_entries(parts, local), counts, norms, scale))
+
+    left, right = groups.rows.groupBy("group"), groups.drop_in(centres.table).groupBy("group")
+    return left.cogroup(right).applyInArrow(each, schema)
+
+
+_SUMS = "bucket int, part bigint, slots array<bigint>, centres array<int>, totals array<bigint>"
+_PARTS = "slot bigint, centres array<int>, totals array<bigint>"
+
+
+def _opened(sums: DataFrame) -> DataFrame:
+    """(slot, centre, total) of packed sums."""
+    return sums.select("slot", F.inline(F.arrays_zip(F.col("centres").alias("centre"), F.col("totals").alias("total"))))
+
+
+def _packed(sums: DataFrame) -> DataFrame:
+    """(slot, centre, total), each slot and centre once, by slot."""
+    held = F.collect_list(F.struct("centre", "total"))
+    return sums.groupBy("slot").agg(held.alias("held")).select("slot", F.col("held.centre").alias("centres"), F.col("held.total").alias("totals"))
+
+
+def _lists(bucket, part, slots, centres, totals) -> pa.Table:
+    """A row for each bucket with its sums; ``bucket`` ascends."""
+    known, starts = np.unique(bucket, return_index=True)
+    offsets = np.concatenate([starts, [len(bucket)]]).astype(np.int32)
+    held = [pa.ListArray.from_arrays(offsets, pa.array(x, kind)) for x, kind in ((slots, pa.int64()), (centres, pa.int32()), (totals, pa.int64()))]
+    return pa.table([pa.array(known, pa.int32()), pa.array(np.full(len(known), part), pa.int64()), *held], names=["bucket", "part", "slots", "centres", "totals"])
+
+
+def _added(table: pa.Table):
+    """(slots, centres, totals) of the lists of a bucket, each slot and centre once, in order."""
+    slots, centres, totals = _flat(table, "slots", np.int64), _flat(table, "centres", np.int32), _flat(table, "totals", np.int64)
+    width = int(centres.max(initial=0)) + 1
+    key = (slots - _SQUARE) * width + centres
+    order = np.argsort(key, kind="stable")
+    starts = np.flatnonzero(np.diff(key[order], prepend=-1))
+    firsts = order[starts]
+    return slots[firsts], centres[firsts], np.add.reduceat(totals[order], starts) if len(starts) else totals
+
+
+def _merged(sums: DataFrame, groups: int, name: str) -> DataFrame:
+    """Add up the sums of all groups, in a tree, and pack them by slot; stored.
+
+    A task holds one bucket of slots of up to ``MET`` groups, so a slot that every
+    group holds is added up in steps. Beside the sums stand, for each bucket, the
+    sums of their squares by centre.
+    """
+    def meet(table: pa.Table) -> pa.Table:
+        slots, centres, totals = _added(table)
+        return _lists(np.full(len(slots), table.column("bucket")[0].as_py()), table.column("part")[0].as_py() // MET, slots, centres, totals)
+
+    def pack(table: pa.Table) -> pa.Table:
+        slots, centres, totals = _added(table)
+        own = slots >= 0
+        squares = np.bincount(centres[own], weights=totals[own].astype(np.float64) ** 2)
+        full = np.flatnonzero(squares)
+        slots = np.concatenate([np.full(len(full), _SQUARE), slots])
+        centres = np.concatenate([full.astype(np.int32), centres])
+        totals = np.concatenate([squares[full].view(np.int64), totals])
+        known, starts = np.unique(slots, return_index=True)
+        offsets = np.concatenate([starts, [len(slots)]]).astype(np.int32)
+        held = [pa.ListArray.from_arrays(offsets, pa.array(x, kind)) for x, kind in ((centres, pa.int32()), (totals, pa.int64()))]
+        return pa.table([pa.array(known, pa.int64()), *held], names=["slot", "centres", "totals"])
+
+    while groups > MET:
+        sums, groups = sums.groupBy("bucket", "part").applyInArrow(meet, _SUMS), math.ceil(groups / MET)
+    return materialize(sums.groupBy("bucket").applyInArrow(pack, _PARTS), name)
+
+
+def _weighed(sums: DataFrame, scale: float) -> tuple[_Centres, dict[int, int]]:
+    """Stored sums as centres, and the costs beside them: a few numbers a bucket and centre reach the driver."""
+    control = _opened(sums.filter("slot < 0")).collect()
+    counts = {r["centre"]: r["total"] for r in control if r["slot"] == _COUNT}
+    costs = {r["centre"]: r["total"] for r in control if r["slot"] == _COST}
+    squares: dict[int, list[float]] = {i: [] for i in counts}
+    for r in control:
+        if r["slot"] == _SQUARE:
+            squares[r["centre"]].append(float(np.int64(r["total"]).view(np.float64)))
+    # math.fsum does not depend on the order either.
+    norms = {i: math.fsum(found) / (max(1, counts[i]) * scale) ** 2 for i, found in squares.items()}
+    return _Centres(sums.filter("slot >= 0"), counts, norms), costs
+
+
+# --- seeds --------------------------------------------------------------------
+
+
+def _uniform(*parts):
+    return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(1 << 53))
+
+
+def _nearest(groups: _Groups, centres: _Centres, ids: list[int]) -> DataFrame:
+    """(row, mark, weight, nearest, square) of each row."""
+
+    def work(rows, entries, squares):
+        least = np.argmin(squares, axis=1)
+        return pa.table({
+            "row": rows.column("row"), "mark": rows.column("mark"), "weight": rows.column("weight"),
+            "nearest": pa.array(np.array(ids)[least], pa.int32()), "square": squares[np.arange(len(least)), least],
+        })
+
+    return materialize(_measured(groups, centres, ids, work, "row bigint, mark bigint, weight bigint, nearest int, square double"), "nearest")
+
+
+def _from_rows(groups: _Groups, numbers: DataFrame, name: str) -> _Centres:
+    """The centres that ``numbers`` (row, centre, share) makes of rows; the rows are few."""
+    held = groups.rows.select("row", "slots", "values").join(F.broadcast(numbers), "row")
+    totals = F.transform("values", lambda x: F.round(x * groups.scale).cast("bigint") * F.col("share"))
+    count = F.lit(_COUNT).cast("bigint")
+    listed = held.select(
+        F.lit(0).alias("bucket"), F.lit(0).cast("bigint").alias("part"), F.concat(F.array(count), "slots").alias("slots"),
+        F.array_repeat("centre", F.size("slots") + 1).alias("centres"), F.concat(F.array("share"), totals).alias("totals"),
+    )
+    return _weighed(_merged(listed, 1, name), groups.scale)[0]
+
+
+def _local_means(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Labels of a few weighted points: k-means++ with fixed draws, then up to thirty steps."""
+    draw = np.random.default_rng([seed, k])
+    squares = (points**2).sum(axis=1)
+    chosen = [int(np.searchsorted(np.cumsum(weights), draw.random() * weights.sum()))]
+    least = np.full(len(points), np.inf)
+    while len(chosen) < k:
+        least = np.minimum(least, np.maximum(squares + squares[chosen[-1]] - 2 * points @ points[chosen[-1]], 0.0))
+        mass = np.cumsum(weights * least)
+        if mass[-1] <= 0:
+            break
+        chosen.append(min(int(np.searchsorted(mass, draw.random() * mass[-1], side="right")), len(points) - 1))
+    centres, label = points[chosen], None
+    for _ in range(30):
+        found = np.argmin((centres**2).sum(axis=1) - 2 * points @ centres.T, axis=1)
+        if label is not None and (found == label).all():
+            break
+        label = found
+        centres = np.array([np.average(points[label == i], axis=0, weights=weights[label == i]) if (label == i).any() else centres[i] for i in range(len(centres))])
+    return np.unique(label, return_inverse=True)[1]
+
+
+def _drawn(spark, groups: _Groups, ks, first: dict[int, int], seed: int) -> _Centres | None:
+    """Seeds of all k: rows drawn in proportion to their squared distance, by hashes, then weighted means of these.
+
+    About ``DRAWN`` rows a round are drawn whatever the size of the table; only
+    they reach the driver.
+    """
+    start = groups.rows.select(F.min(F.struct(F.xxhash64(F.lit(seed), "mark").alias("draw"), "mark", "row")).alias("least")).first()["least"]
+    if start is None:
+        return None
+    found = [start["row"]]
+    for turn in range(ROUNDS + 1):
+        numbers = spark.createDataFrame([(r, i, 1) for i, r in enumerate(found)], "row bigint, centre int, share bigint")
+        near = _nearest(groups, _from_rows(groups, numbers, f"seeds-{turn}"), list(range(len(found))))
+        if turn == ROUNDS:
+            break
+        # Whole numbers again, so that the sum does not depend on its order.
+        whole = near.agg(F.sum((F.col("square") * 2.0**20).cast("decimal(38,0)") * F.col("weight"))).first()[0]
+        if not whole:
+            break
+        # Rows that hold the same are drawn as one.
+        alike = near.groupBy("mark").agg(F.min("row").alias("row"), F.sum("weight").alias("weight"), F.max("square").alias("square"))
+        chance = F.col("square") * F.col("weight") * (DRAWN * 2.0**20 / float(whole))
+        more = alike.filter(_uniform(F.lit(seed), F.lit(turn), "mark") < chance).select("row", "mark").collect()
+        found += [r["row"] for r in sorted(more, key=lambda r: r["mark"]) if r["row"] not in found]
+    shares = {r["nearest"]: r["n"] for r in near.groupBy("nearest").agg(F.sum("weight").alias("n")).collect()}
+    numbers = spark.createDataFrame([(r, i) for i, r in enumerate(found)], "row bigint, i int")
+    held = groups.rows.join(F.broadcast(numbers), "row").select("i", "slots", "values").orderBy("i").collect()
+    slots = np.unique(np.concatenate([np.asarray(r["slots"], np.int64) for r in held]))
+    points = np.zeros((len(found), len(slots)))
+    for r in held:
+        points[r["i"], np.searchsorted(slots, np.asarray(r["slots"], np.int64))] = r["values"]
+    weights = np.array([float(shares.get(i, 0)) for i in range(len(found))])
+    chosen = []
+    for k in ks:
+        labels = _local_means(points, np.maximum(weights, 1e-9), k, seed)
+        chosen += [(found[i], first[k] + int(label), int(max(weights[i], 1))) for i, label in enumerate(labels)]
+    return _from_rows(groups, spark.createDataFrame(chosen, "row bigint, centre int, share bigint"), "seeds")
+
+
+# --- the sweep ----------------------------------------------------------------
+
+
+def _step(groups: _Groups, centres: _Centres, ks, first, name: str) -> DataFrame:
+    """Assign all rows for every k; the stored sums of the new centres, their counts and the costs under the old ones."""
+    ids = [first[k] + i for k in ks for i in range(k)]
+    begins = np.cumsum([0, *ks])
+    scale, cost_scale = groups.scale, groups.cost_scale
+
+    buckets = max(LEAST_GROUPS, math.ceil(min(groups.groups, MET) / groups.groups * groups.entries * len(ks) / SUMS))
+
+    def work(rows, entries, squares):
+        lengths, slots, values = entries
+        weight = np.asarray(rows.column("weight"), np.int64)
+        known, at = np.unique(slots, return_inverse=True)
+        of = np.repeat(np.arange(len(lengths)), lengths)
+        whole = np.rint(values * scale) * weight[of]
+        out = []
+        for j, k in enumerate(ks):
+            own = squares[:, begins[j]:begins[j + 1]]
+            label = np.argmin(own, axis=1)
+            cost = np.rint(own[np.arange(len(label)), label] * cost_scale).astype(np.int64) * weight
+            sums = np.bincount(at * k + label[of], weights=whole, minlength=len(known) * k)
+            full = np.flatnonzero(sums)
+            out.append((known[full // k], first[k] + full % k, sums[full].astype(np.int64)))
+            for mark, numbers in ((_COUNT, weight), (_COST, cost)):
+                added = np.zeros(k, np.int64)
+                np.add.at(added, label, numbers)
+                out.append((np.full(k, mark), first[k] + np.arange(k), added))
+        slot, centre, total = (np.concatenate([o[i] for o in out]) for i in range(3))
+        bucket = np.where(slot < 0, 0, slot % buckets)
+        order = np.argsort(bucket, kind="stable")
+        return _lists(bucket[order], rows.column("group")[0].as_py() // MET, slot[order], centre[order], total[order])
+
+    return _merged(_measured(groups, centres, ids, work, _SUMS), groups.groups, name)
+
+
+def _of_k(table: DataFrame, low: int, k: int) -> DataFrame:
+    """(cluster, slot, total) of one k."""
+    mine = _opened(table.filter("slot >= 0")).filter(F.col("centre").between(low, low + k - 1))
+    return mine.select((F.col("centre") - low).alias("cluster"), "slot", "total")
+
+
+def sweep(vectors: DataFrame, ks=range(LOW_K, HIGH_K + 1), seed: int = SEED, metric: str = "distance",
+          max_iter: int = 20, seeds: list[int] | None = None, tolerance: float = TOLERANCE) -> Sweep:
+    """Fit k-means for every k in shared passes over the rows, and keep the best model.
+
+    ``vectors``: (row, weight, slots, values), slots ascending; ``row`` is unique.
+    ``metric="distance"`` is the mean squared distance to the own centre,
+    ``"silhouette"`` the mean silhouette of squared distances, times minus one.
+    Seeds are drawn by hashes of the rows unless ``seeds`` lists rows: then k starts
+    from the first k of these. With fewer different rows than k some clusters have
+    no rows. A table without rows has cost 0 for every k and a model without clusters.
     """
     if metric not in ("distance", "silhouette"):
         raise ValueError(f"unknown metric: {metric}")
-    rows = features.select(FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
-    evaluator = ClusteringEvaluator(featuresCol=FEATURES)
-
-    def fit(k):
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=FEATURES, solver="row").fit(rows)
-        if metric == "silhouette":
-            return k, -evaluator.evaluate(model.transform(rows)), model
-        found = model.summary
-        return k, found.trainingCost / sum(found.clusterSizes), model
-
-    costs, best = {}, None
-    pool = ThreadPool(parallelism)
-    try:
-        target = inheritable_thread_target(features.sparkSession)(fit)
-        for k, cost, model in pool.imap_unordered(target, ks):
-            costs[k] = cost
-            if best_k(costs) == k:
-                best = model
-    finally:
-        # Fits that still run use the rows, also if another one has failed.
-        pool.close()
-        pool.join()
-        rows.unpersist()
-    return Sweep(costs, best_k(costs), best)
-
-
-def with_label(scored: DataFrame) -> DataFrame:
-    """Number categories from one."""
-    return scored.withColumn("PredictedLabel", (F.col("prediction") + 1).cast("int"))
-
-
-def with_distances(df: DataFrame, model: KMeansModel, features: str = FEATURES) -> DataFrame:
-    """Add Score, the distance of a row to every centre.
-
-    The centres travel as one broadcast of k times the feature count, which does
-    not grow with the data. A batch of sparse rows is worked on at once.
+    spark, ks = vectors.sparkSession, list(ks)
+    first = {k: sum(j for j in ks if j < k) for k in ks}
+    groups = _group(vectors)
+    if seeds is None:
+        centres = _drawn(spark, groups, ks, first, seed)
+    else:
+        rows = [(r, first[k] + i, 1) for k in ks for i, r in enumerate(seeds[:k])]
+        centres = _from_rows(groups, spark.createDataFrame(rows, "row bigint, centre int, share bigint"), "seeds")
+    if centres is None:
+        empty = spark.createDataFrame([], "cluster int, slot bigint, value double")
+        return Sweep(dict.fromkeys(ks, 0.0), min(ks), Model(empty, spark.createDataFrame([], "cluster int, rows bigint, square double")))
+    used, after, costs, done, open_ks = {}, {}, {}, {}, list(ks)
+    for turn in range(max_iter + 1):
+        sums = _step(groups, centres, open_ks, first, "centres")
+        moved, paid = _weighed(sums, groups.scale)
+        left = []
+        for k in open_ks:
+            cost = sum(paid.get(first[k] + i, 0) for i in range(k)) / groups.cost_scale / max(1, groups.total)
+            before = costs.get(k)
+            costs[k], used[k], after[k], done[k] = cost, centres, moved, turn
+            if before is None or before - cost > tolerance * before:
+                left.append(k)
+        open_ks, centres = left, moved
+        if not open_ks:
+            break
+    if metric == "silhouette":
+        costs = {k: -s for k, s in _silhouettes(groups, used, after, first).items()}
+    k = best_k(costs)
+    return Sweep(costs, k, _model(spark, used[k], after[k], first[k], k, groups.scale), done)
+
+
+def _model(spark, centres: _Centres, after: _Centres, low: int, k: int, scale: float) -> Model:
+    ids = [i for i in range(k) if centres.counts.get(low + i)]
+    rows = [(i, int(after.counts.get(low + i, 0)), float(centres.norms[low + i])) for i in ids]
+    whole = F.get(F.array(*(F.lit(float(centres.counts.get(low + i) or 1)) for i in range(k))), F.col("cluster"))
+    values = _of_k(centres.table, low, k).select("cluster", "slot", (F.col("total") / (whole * scale)).alias("value"))
+    clusters = spark.createDataFrame(rows, "cluster int, rows bigint, square double")
+    return Model(materialize(values, "model-centres"), materialize(clusters, "model-clusters"))
+
+
+def _silhouettes(groups: _Groups, used, after, first) -> dict[int, float]:
+    """Mean silhouette of each k: distances to a cluster's rows follow from the sums of the cluster.
+
+    The mean squared distance of a row to the rows of a cluster is its squared
+    distance to their mean, plus the mean of their squared distances to it. Two
+    passes serve all k.
+    """
+    ks, many = list(used), sum(used)
+    # The centres that decide the labels, then the means of the clusters they make.
+    tables, counts, norms, begins = None, {}, {}, {}
+    for k in ks:
+        begins[k] = sum(j for j in ks if j < k)
+        for found, shift in ((used[k], 0), (after[k], many)):
+            own = _of_k(found.table, first[k], k).select("slot", (F.col("cluster") + begins[k] + shift).alias("centre"), "total")
+            tables = own if tables is None else tables.unionByName(own)
+            counts |= {begins[k] + i + shift: found.counts.get(first[k] + i, 0) for i in range(k)}
+            norms |= {begins[k] + i + shift: found.norms.get(first[k] + i, 0.0) for i in range(k)}
+    both = _Centres(materialize(_packed(materialize(tables, "labels-and-means")), "packed-means"), counts, norms)
+    ids = list(range(2 * many))
+
+    def spread(rows, entries, squares):
+        weight, out = np.asarray(rows.column("weight")), np.zeros(many)
+        for k in ks:
+            label = np.argmin(squares[:, begins[k]:begins[k] + k], axis=1)
+            far = squares[np.arange(len(label)), many + begins[k] + label]
+            out[begins[k]:begins[k] + k] = np.bincount(label, weights=far * weight, minlength=k)
+        return pa.table({"centre": pa.array(np.arange(many), pa.int32()), "total": out})
+
+    inner = _measured(groups, both, ids, spread, "centre int, total double")
+    inside = np.zeros(many)
+    for r in inner.groupBy("centre").agg(F.sum("total").alias("total")).collect():
+        inside[r["centre"]] = r["total"]
+    sizes = np.array([float(counts[many + i]) for i in range(many)])
+
+    def score(rows, entries, squares):
+        weight, out = np.asarray(rows.column("weight")), []
+        for k in ks:
+            low, high = begins[k], begins[k] + k
+            label = np.argmin(squares[:, low:high], axis=1)
+            each, n = np.arange(len(label)), sizes[low:high][label]
+            far = np.where(sizes[low:high] > 0, squares[:, many + low:many + high] + inside[low:high] / np.maximum(sizes[low:high], 1), np.inf)
+            a = far[each, label] * n / np.maximum(n - 1, 1)
+            far[each, label] = np.inf
+            b = far.min(axis=1)
+            top = np.maximum(a, b)
+            good = (n > 1) & np.isfinite(b) & (top > 0)
+            out.append(float((np.where(good, np.where(good, b, 0) - a, 0.0) / np.where(good, top, 1.0) * weight).sum()))
+        return pa.table({"k": pa.array(ks, pa.int32()), "total": out})
+
+    found = _measured(groups, both, ids, score, "k int, total double").groupBy("k").agg(F.sum("total").alias("total")).collect()
+    return {r["k"]: r["total"] / max(1, groups.total) for r in found}
+
+
+# --- labels and distances -------------------------------------------------------
+
+
+def scored(vectors: DataFrame, model: Model) -> DataFrame:
+    """(row, PredictedLabel, Score): the number of the nearest centre, from one, and the distances to all of them.
+
+    Distances come from the slots that rows and centres share; centres go to the
+    groups of rows that hold their slots. A cluster without rows counts as no centre.
     """
-    centers = np.asarray(model.clusterCenters())
-    shared = df.sparkSession.sparkContext.broadcast((centers, (centers**2).sum(axis=1)))
-
-    @F.pandas_udf(ArrayType(FloatType()))
-    def distances(indices: pd.Series, values: pd.Series) -> pd.Series:
-        means, norms = shared.value
-        lengths = np.fromiter((len(v) for v in values), dtype=np.int64, count=len(values))
-        row = np.repeat(np.arange(len(values)), lengths)
-        out = np.tile(norms, (len(values), 1))
-        if lengths.sum():
-            at = np.concatenate(indices.to_list()).astype(np.int64)
-            val = np.concatenate(values.to_list())
-            squares = np.bincount(row, weights=val * val, minlength=len(values))
-            for j, mean in enumerate(means):
-                dots = np.bincount(row, weights=val * mean[at], minlength=len(values))
-                out[:, j] += squares - 2.0 * dots
-        return pd.Series(list(np.sqrt(np.maximum(out, 0.0)).astype(np.float32)))
-
-    raw = F.unwrap_udt(features)
-    dense_at = F.sequence(F.lit(0), F.size(raw["values"]) - 1)
-    filled = F.when(F.size(raw["values"]) > 0, F.coalesce(raw["indices"], dense_at))
-    at = F.coalesce(filled, F.array().cast("array<int>"))
-    return df.withColumn("Score", distances(at, raw["values"]))
-
-
-def with_kmeans(featurizer: PipelineModel, model: KMeansModel) -> PipelineModel:
-    """Featuriser and clustering as one model that can be saved."""
-    return PipelineModel([*featurizer.stages, model])
-
-
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    spark = vectors.sparkSession
+    clusters = model.clusters.orderBy("cluster").collect()
+    if not clusters:
+        return spark.createDataFrame([], "row bigint, PredictedLabel int, Score array<double>")
+    groups = _group(vectors)
+    numbers = [r["cluster"] for r in clusters]
+    total = F.round(F.col("value") * 2.0**40).cast("bigint")
+    parts = model.centres.select("slot", F.col("cluster").alias("centre"), total.alias("total"))
+    centres = _Centres(_packed(parts), dict.fromkeys(numbers, 2.0**40 / groups.scale), {r["cluster"]: r["square"] for r in clusters})
+
+    def work(rows, entries, squares):
+        label = np.array(numbers)[np.argmin(squares, axis=1)] + 1
+        far = np.sqrt(squares)
+        flat = pa.ListArray.from_arrays(np.arange(0, far.size + 1, far.shape[1], dtype=np.int32), pa.array(far.reshape(-1)))
+        return pa.table({"row": rows.column("row"), "PredictedLabel": pa.array(label, pa.int32()), "Score": flat})
+
+    return _measured(groups, centres, numbers, work, "row bigint, PredictedLabel int, Score array<double>")
+
+
+# --- saved models ---------------------------------------------------------------
+
+
+def save_model(model: Model, path: str) -> None:
+    """Three tables below ``path``: centres, clusters and, if there is one, the vocabulary."""
+    for name in ("centres", "clusters", "vocabulary"):
+        table = getattr(model, name)
+        if table is not None:
+            table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def load_model(spark: SparkSession, path: str) -> Model:
+    read = lambda name, schema: spark.read.schema(schema).parquet(f"{path}/{name}")
+    return Model(
+        read("centres", "cluster int, slot bigint, value double"),
+        read("clusters", "cluster int, rows bigint, square double"),
+        read("vocabulary", "term string, rows bigint, slot bigint"),
+    )

@@ -1,21 +1,14 @@
-"""Text features with Spark ML."""
+"""Text features: grams of the texts of a row as a sparse vector over an exact vocabulary."""
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import HashingTF, Normalizer, SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FEATURE_TEXTS
+from ..session import materialize
+from .ranking import number_rows
+from .skew import join_weighted
 
-FEATURES = "features"
-
-# Slots of a block for each distinct gram it holds, and the bounds of a block: the
-# centres of a model are dense, so the upper one limits what a fit holds in memory.
-SPARE, LEAST, MOST = 2, 16, 1 << 18
-
-
-def featurized(column: str) -> str:
-    return f"{column}Featurized"
+KINDS = ("words", "trigrams")
 
 
 def gram_columns(column: str) -> dict[str, str]:
@@ -40,41 +33,63 @@ def gram_rows(rows: DataFrame, columns=FEATURE_TEXTS, key: str = "File") -> Data
     return found.select(key, "name", "kind", F.explode("grams").alias("gram"))
 
 
-def gram_widths(rows: DataFrame, columns=FEATURE_TEXTS) -> dict[tuple[str, str], int]:
-    """Slots of each block: a power of two with room for the distinct grams of ``rows``.
+def text_key(columns=FEATURE_TEXTS) -> Column:
+    """128 bits that stand for the texts of a row; null and empty are the same."""
+    text = [F.coalesce(F.col(c), F.lit("")) for c in columns]
+    return F.md5(F.concat_ws("\n", *(F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in text)))
+
+
+def distinct_texts(rows: DataFrame, columns=FEATURE_TEXTS) -> DataFrame:
+    """(row, key, weight, texts): rows of equal texts once, with their number, stored.
+
+    Copies are counted before the shuffle, so a text that most rows share is no
+    hot key here, and it is one row in all that follows.
+    """
+    plain = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns]
+    counted = rows.select(*plain).groupBy(*columns).agg(F.count(F.lit(1)).alias("weight"))
+    return materialize(
+        counted.select(F.monotonically_increasing_id().alias("row"), text_key(columns).alias("key"), "weight", *columns),
+        "distinct-texts",
+    )
+
+
+def _term() -> Column:
+    return F.concat_ws(":", "name", "kind", "gram").alias("term")
+
+
+def counted_grams(texts: DataFrame, columns=FEATURE_TEXTS) -> DataFrame:
+    """(row, name, kind, term, n): how often each gram stands in a row's column."""
+    found = gram_rows(texts, columns, "row")
+    counted = found.groupBy("row", "name", "kind", "gram").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("row", "name", "kind", _term(), "n")
 
-    One pass; a sketch for each block reaches the driver as one number.
+
+def vocabulary(counted: DataFrame) -> DataFrame:
+    """(term, rows, slot): every distinct gram of each column with a slot of its own.
+
+    Slots come from one sort by ranges and the row counts of its partitions: no
+    gram reaches the driver, none shares a slot, and their number has no bound.
     """
-    grams = gram_rows(rows.withColumn("_row", F.lit(0)), columns, "_row")
-    counts = grams.groupBy("name", "kind").agg(F.approx_count_distinct("gram", 0.02).alias("n"))
-    found = {(r["name"], r["kind"]): r["n"] for r in counts.collect()}
-    width = lambda n: min(MOST, max(LEAST, 1 << (SPARE * n - 1).bit_length()))
-    return {(c, kind): width(found.get((c, kind), 1)) for c in columns for kind in gram_columns(c)}
+    terms = counted.groupBy("term").agg(F.count(F.lit(1)).alias("rows"))
+    numbered = number_rows(terms, [], ["term"], "slot")
+    return materialize(numbered.withColumn("slot", F.col("slot") - 1), "vocabulary")
 
 
-def text_featurizer(columns=FEATURE_TEXTS, num_features: int | dict = MOST,
-                    features: str = FEATURES) -> PipelineModel:
-    """Word and trigram counts per column, each scaled to length one, in one vector.
+def vectors(texts: DataFrame, counted: DataFrame, terms: DataFrame) -> DataFrame:
+    """(row, key, weight, slots, values) of each row of ``texts``, stored.
 
-    Grams are hashed into ``num_features`` slots per block (or as many as a table
-    made by :func:`gram_widths` says), so no vocabulary is gathered. All stages
-    are plain transformers, so there is nothing to fit and the result can be saved.
+    Counts of a column's grams of one kind are scaled to length one; the blocks
+    stand side by side, as each has its own slots. Grams outside of ``terms`` are
+    left out first. Slots ascend.
     """
-    helpers, grams, stages = [], [], []
-    for column in columns:
-        blocks = []
-        for kind, sql in gram_columns(column).items():
-            tokens, counts, block = (f"_{column}_{kind}{part}" for part in ("", "_tf", "_unit"))
-            grams.append(f"{sql} AS `{tokens}`")
-            width = num_features[column, kind] if isinstance(num_features, dict) else num_features
-            stages.append(HashingTF(numFeatures=width, inputCol=tokens, outputCol=counts))
-            stages.append(Normalizer(p=2.0, inputCol=counts, outputCol=block))
-            helpers += [tokens, counts, block]
-            blocks.append(block)
-        stages.append(VectorAssembler(inputCols=blocks, outputCol=featurized(column)))
-        helpers.append(featurized(column))
-    tokenizer = SQLTransformer(statement=f"SELECT *, {', '.join(grams)} FROM __THIS__")
-    joined = VectorAssembler(inputCols=[featurized(c) for c in columns], outputCol=features)
-    hidden = ", ".join(f"`{name}`" for name in helpers)
-    final = SQLTransformer(statement=f"SELECT * EXCEPT ({hidden}) FROM __THIS__")
-    return PipelineModel([tokenizer, *stages, joined, final])
+    placed = join_weighted(counted, terms, "term", "rows", ["row"])
+    blocks = placed.groupBy("row", "name", "kind").agg(
+        F.collect_list(F.struct("slot", "n")).alias("held"), F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("length")
+    )
+    scaled = F.transform("held", lambda x: F.struct(x["slot"].alias("slot"), (x["n"] / F.col("length")).alias("value")))
+    whole = blocks.groupBy("row").agg(F.sort_array(F.flatten(F.collect_list(scaled))).alias("held"))
+    joined = texts.select("row", "key", "weight").join(whole, "row", "left")
+    held = F.coalesce("held", F.array().cast("array<struct<slot:bigint,value:double>>"))
+    return materialize(
+        joined.select("row", "key", "weight", held["slot"].alias("slots"), held["value"].alias("values")), "vectors"
+    )

@@ -1,55 +1,54 @@
 """Step three: model input to labelled documents."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from ..operators import clustering
-from ..operators.features import gram_widths, text_featurizer
-from ..schemas import ATTRIBUTES, CATEGORIZED
+from ..operators.features import counted_grams, distinct_texts, text_key, vectors, vocabulary
+from ..operators.skew import join_salted
+from ..schemas import CATEGORIZED
 from ..session import materialize
 
 
 @dataclass
 class Categorised:
-    """Labelled rows, the saved form of the model, and the sweep behind it."""
+    """Labelled rows, the model, and the sweep behind it."""
 
     rows: DataFrame
-    model: PipelineModel
+    model: clustering.Model
     sweep: clustering.Sweep
 
 
-def text_features(rows: DataFrame, partitions: int | None = None,
-                  num_features: int | None = None):
-    """Featuriser and the featurised rows, stored once for all fits.
+def text_features(rows: DataFrame, terms: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Vocabulary and vectors of the different texts of ``rows``, both stored.
 
-    Blocks are as wide as the distinct grams of the rows ask for, unless
-    ``num_features`` is given.
-
-    The rows are laid out in ``partitions`` parts, the shuffle partitions of the
-    session unless given, so that a run can be repeated.
+    Grams outside of ``terms`` have no slot, if it is given.
     """
-    featurizer = text_featurizer(num_features=num_features or gram_widths(rows))
-    partitions = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid_out = clustering.spread_rows(rows, partitions, [*ATTRIBUTES, "Top20Words"])
-    return featurizer, materialize(featurizer.transform(laid_out), "features")
+    texts = distinct_texts(rows)
+    counted = materialize(counted_grams(texts), "grams")
+    terms = vocabulary(counted) if terms is None else terms
+    return terms, vectors(texts, counted, terms)
+
+
+def with_labels(rows: DataFrame, held: DataFrame, model: clustering.Model) -> DataFrame:
+    """``rows`` with PredictedLabel and Score, found once for all rows of equal texts."""
+    labels = held.select("row", "key").join(clustering.scored(held, model), "row").drop("row")
+    keyed = rows.withColumn("key", text_key())
+    return join_salted(keyed, materialize(labels, "labels"), "key", ["File"]).drop("key")
 
 
 def categorise(rows: DataFrame, ks=range(clustering.LOW_K, clustering.HIGH_K + 1),
-               metric="distance", partitions: int | None = None,
-               num_features: int | None = None, max_iter: int = 20) -> Categorised:
+               metric="distance", max_iter: int = 20) -> Categorised:
     """Featurise once, sweep k, and label the rows with the best model."""
-    featurizer, features = text_features(rows, partitions, num_features)
-    found = clustering.sweep(features, ks, metric=metric, max_iter=max_iter)
-    labelled = clustering.with_label(found.model.transform(features))
-    return Categorised(
-        labelled.select(*CATEGORIZED.names),
-        clustering.with_kmeans(featurizer, found.model),
-        found,
-    )
-
-
-def apply_model(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Label new rows with a trained or loaded model."""
-    return clustering.with_label(model.transform(rows)).select(*CATEGORIZED.names)
+    terms, held = text_features(rows)
+    found = clustering.sweep(held, ks, metric=metric, max_iter=max_iter)
+    model = replace(found.model, vocabulary=terms)
+    labelled = with_labels(rows, held, model).select(*CATEGORIZED.names)
+    return Categorised(labelled, model, found)
+
+
+def apply_model(model: clustering.Model, rows: DataFrame) -> DataFrame:
+    """Label new rows with a trained or loaded model; grams it does not know are left out."""
+    _, held = text_features(rows, model.vocabulary)
+    return with_labels(rows, held, model).select(*CATEGORIZED.names)

@@ -2,13 +2,13 @@
 
 from pyspark.sql import SparkSession
 
-from ..operators.clustering import HIGH_K, LOW_K, save_model
+from ..operators.clustering import HIGH_K, LOW_K, load_model, save_model
 from ..operators.summary import summary_lines
 from ..session import spread_input
 from ..sources import tables
 from ..sources.layout import SessionLayout
 from ..sources.markdown_files import scan_markdown, with_file_key
-from .categorise import categorise
+from .categorise import apply_model, categorise
 from .extract import extract_documents
 from .rank import model_input
 
@@ -37,10 +37,27 @@ def categorise_step(spark: SparkSession, layout: SessionLayout, fmt="parquet",
     rows = tables.read_model_input(spark, layout.model_input, fmt)
     result = categorise(rows, ks, **options)
     save_model(result.model, layout.model)
-    tables.write_categorized(result.rows, layout.categorized, fmt)
+    _write_labelled(spark, result.rows, layout, fmt, weight)
+    return result.sweep
+
+
+def _write_labelled(spark, rows, layout, fmt, weight):
+    tables.write_categorized(rows, layout.categorized, fmt)
     labelled = tables.read_categorized(spark, layout.categorized, fmt)
     tables.write_summary(summary_lines(labelled, weight=weight), layout.summary)
-    return result.sweep
+
+
+def apply_step(spark: SparkSession, root: str, layout: SessionLayout, model: str, fmt="parquet",
+               weight="xor", extract: dict | None = None, rank: dict | None = None) -> None:
+    """Label the documents of a new folder with the model stored at ``model``.
+
+    All tables of the run are written to ``layout``; the model stays as it is.
+    Terms are weighed within the new documents.
+    """
+    extract_step(spark, root, layout, fmt=fmt, **(extract or {}))
+    rank_step(spark, layout, fmt=fmt, **(rank or {}))
+    rows = tables.read_model_input(spark, layout.model_input, fmt)
+    _write_labelled(spark, apply_model(load_model(spark, model), rows), layout, fmt, weight)
 
 
 def run(spark: SparkSession, root: str, layout: SessionLayout, fmt="parquet",
@@ -48,7 +65,7 @@ def run(spark: SparkSession, root: str, layout: SessionLayout, fmt="parquet",
     """All three steps over stored tables, each with its own options.
 
     ``extract``: skip_hidden_names, key. ``rank``: k, stop_words, variant.
-    ``categorise``: ks, weight, metric, partitions, num_features, max_iter.
+    ``categorise``: ks, weight, metric, max_iter.
     """
     extract_step(spark, root, layout, fmt=fmt, **(extract or {}))
     rank_step(spark, layout, fmt=fmt, **(rank or {}))
