@@ -434,7 +434,7 @@ def _define_seeded(prefix, table):
                 f"LEFT JOIN (SELECT e.row, m.k, m.cluster, sum(e.value * m.value) AS dot FROM {prefix}_entries e JOIN {p}_centres_{turn} m USING (slot) GROUP BY ALL) d "
                 "ON d.row = r.row AND d.k = i.k AND d.cluster = i.cluster",
             )
-            c.define(f"{p}_nearest_{turn}", (f"{p}_far_{turn}",), f"SELECT row, weight, k, arg_min(cluster, (far, cluster)) AS cluster, min(far) AS far FROM {p}_far_{turn} GROUP BY ALL")
+            c.define(f"{p}_nearest_{turn}", (f"{p}_far_{turn}",), f"SELECT row, weight, k, arg_min(cluster, (round(far, 9), cluster)) AS cluster, arg_min(far, (round(far, 9), cluster)) AS far FROM {p}_far_{turn} GROUP BY ALL")
             c.define(
                 f"{p}_centres_{turn + 1}", (f"{p}_nearest_{turn}", f"{prefix}_entries"),
                 f"SELECT n.k, n.cluster, e.slot, sum(e.value * n.weight) / any_value(s.whole) AS value FROM {p}_nearest_{turn} n JOIN {prefix}_entries e USING (row) "

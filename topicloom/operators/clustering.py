@@ -183,6 +183,11 @@ def _squares(rows, entries, counts, norms, scale):
     return np.maximum(out, 0.0)
 
 
+def _least(squares: np.ndarray) -> np.ndarray:
+    """The nearest centre of each row; distances that agree to nine decimals are ties, which the first one wins."""
+    return np.argmin(np.round(squares, 9), axis=1)
+
+
 @dataclass
 class _Centres:
     """A set of centres: their table, and by id the rows behind each and the square of its length."""
@@ -301,7 +306,7 @@ def _nearest(groups: _Groups, centres: _Centres, ids: list[int]) -> DataFrame:
     """(row, mark, weight, nearest, square) of each row."""
 
     def work(rows, entries, squares):
-        least = np.argmin(squares, axis=1)
+        least = _least(squares)
         return pa.table({
             "row": rows.column("row"), "mark": rows.column("mark"), "weight": rows.column("weight"),
             "nearest": pa.array(np.array(ids)[least], pa.int32()), "square": squares[np.arange(len(least)), least],
@@ -403,7 +408,7 @@ def _step(groups: _Groups, centres: _Centres, ks, first, name: str) -> DataFrame
         out = []
         for j, k in enumerate(ks):
             own = squares[:, begins[j]:begins[j + 1]]
-            label = np.argmin(own, axis=1)
+            label = _least(own)
             cost = np.rint(own[np.arange(len(label)), label] * cost_scale).astype(np.int64) * weight
             sums = np.bincount(at * k + label[of], weights=whole, minlength=len(known) * k)
             full = np.flatnonzero(sums)
@@ -502,7 +507,7 @@ def _silhouettes(groups: _Groups, used, after, first) -> dict[int, float]:
     def spread(rows, entries, squares):
         weight, out = np.asarray(rows.column("weight")), np.zeros(many)
         for k in ks:
-            label = np.argmin(squares[:, begins[k]:begins[k] + k], axis=1)
+            label = _least(squares[:, begins[k]:begins[k] + k])
             far = squares[np.arange(len(label)), many + begins[k] + label]
             out[begins[k]:begins[k] + k] = np.bincount(label, weights=far * weight, minlength=k)
         return pa.table({"centre": pa.array(np.arange(many), pa.int32()), "total": out})
@@ -517,7 +522,7 @@ def _silhouettes(groups: _Groups, used, after, first) -> dict[int, float]:
         weight, out = np.asarray(rows.column("weight")), []
         for k in ks:
             low, high = begins[k], begins[k] + k
-            label = np.argmin(squares[:, low:high], axis=1)
+            label = _least(squares[:, low:high])
             each, n = np.arange(len(label)), sizes[low:high][label]
             far = np.where(sizes[low:high] > 0, squares[:, many + low:many + high] + inside[low:high] / np.maximum(sizes[low:high], 1), np.inf)
             a = far[each, label] * n / np.maximum(n - 1, 1)
@@ -552,7 +557,7 @@ def scored(vectors: DataFrame, model: Model) -> DataFrame:
     centres = _Centres(_packed(parts), dict.fromkeys(numbers, 2.0**40 / groups.scale), {r["cluster"]: r["square"] for r in clusters})
 
     def work(rows, entries, squares):
-        label = np.array(numbers)[np.argmin(squares, axis=1)] + 1
+        label = np.array(numbers)[_least(squares)] + 1
         far = np.sqrt(squares)
         flat = pa.ListArray.from_arrays(np.arange(0, far.size + 1, far.shape[1], dtype=np.int32), pa.array(far.reshape(-1)))
         return pa.table({"row": rows.column("row"), "PredictedLabel": pa.array(label, pa.int32()), "Score": flat})
