@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from topicloom.llm import suffix_dedup as sd
 
@@ -54,6 +55,16 @@ def test_equal_ids_with_other_texts(spark):
     assert run(spark, docs) == brute(docs)
 
 
+@pytest.mark.parametrize("number", [None, 7])
+def test_rows_of_one_id_whose_short_hashes_are_equal(spark, number):
+    passage = "a passage of document one that is well over fifty bytes long, as planned"
+    many = spark.range(150_000).select(F.concat(F.lit(passage + " own "), "id").alias("text"), "id")
+    other = spark.range(150_000).select(F.concat(F.lit("another text without the passage, but longer than fifty bytes too "), "id").alias("text"), "id")
+    pair = many.join(other, F.hash(many["text"]) == F.hash(other["text"])).select(many["text"], other["text"]).first()
+    docs = [(1, passage), (number, pair[0]), (number, pair[1])]
+    assert run(spark, docs) == brute(docs)
+
+
 @pytest.mark.parametrize("piece", [64, 1000])
 def test_anchors_do_not_depend_on_the_cut_of_long_texts(monkeypatch, piece):
     rng = np.random.default_rng(1)
@@ -96,7 +107,7 @@ def test_contexts_of_a_hot_anchor_do_not_meet_in_one_shard(spark):
     rng = np.random.default_rng(5)
     word = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes().decode()
     passage = word(60)
-    rows = spark.createDataFrame([(i, word(40) + passage + word(40), i) for i in range(400)], "key long, text string, mark int")
+    rows = spark.createDataFrame([(i, word(40) + passage + word(40), i) for i in range(400)], "key long, text string, mark long")
     hot = sd.hot_anchors(rows, 0, sample=1, hot=300)
     assert len(hot)
     batch = rows.toArrow().combine_chunks().to_batches()[0]

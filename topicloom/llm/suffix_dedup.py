@@ -18,8 +18,9 @@ that a shard stays small. Documents with the same text as an earlier one are kno
 anchors. Equal contexts of an anchor, and equal strings of a hot one, are sent only once by each batch of rows, with the
 first document that has them; the others of the batch are settled there.
 
-Documents of null id come last, and do not count as earlier than each other; neither do rows with equal ids. A null
-text is empty. Only the id and text columns are read. Ids are whole numbers.
+Documents of null id come last, and do not count as earlier than each other; neither do rows with equal ids, which are
+told apart by a 64-bit hash of their text. Repeated rows give a row each. A null or empty text has no bytes, a very long
+one is looked at piece by piece, and an empty table gives no rows. Only the id and text columns are read. Ids are whole numbers.
 """
 
 from __future__ import annotations
@@ -224,7 +225,7 @@ def _deal_anchors(shards: int):
             for one, two in zip(*parts, strict=True):
                 own, local = np.unique(np.concatenate([doc[one], doc[two]]), return_inverse=True)
                 local = local.astype(np.uint32 if len(own) > 1 << 16 else np.uint16)
-                out.append(_packed(_squeezed(keys[own]), marks[own].astype(np.int32), local[: len(one)], short[one], local[len(one) :], short[two], shard[two].astype(np.uint32)))
+                out.append(_packed(_squeezed(keys[own]), marks[own], local[: len(one)], short[one], local[len(one) :], short[two], shard[two].astype(np.uint32)))
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(shards, dtype=np.int32)), pa.array(out, pa.binary())], ["shard", "blob"])
 
     return deal
@@ -235,7 +236,7 @@ def _shared_anchors(group: pd.DataFrame) -> pd.DataFrame:
     shard = int(group["shard"].iloc[0])
     keys, marks, shorts, done = [], [], [], []
     for blob in group["blob"]:
-        squeezed, own_marks, one, short, two, short_two, home = _unpacked(blob, np.uint8, np.int32, np.uint8, np.uint32, np.uint8, np.uint32, np.uint32)
+        squeezed, own_marks, one, short, two, short_two, home = _unpacked(blob, np.uint8, np.int64, np.uint8, np.uint32, np.uint8, np.uint32, np.uint32)
         own = _stretched(squeezed)
         local_kind = np.uint32 if len(own) > 1 << 16 else np.uint16
         one, two = one.view(local_kind), two.view(local_kind)
@@ -370,9 +371,9 @@ def _deal_contexts(shards: int, hot):
                 later_rows, later_places = np.concatenate([row[two], hot_row[done]]), np.concatenate([place[two], hot_place[done]])
                 out.append(
                     _packed(
-                        key[one], marks[row[one]].astype(np.int32), place[one].astype(np.int64), body[one],
-                        keys[later_rows], marks[later_rows].astype(np.int32), later_places.astype(np.int64), np.concatenate([every, bits[done]]),
-                        keys[own], marks[own].astype(np.int32), hot_place[of[sent]].astype(np.int64), at_of[sent].astype(np.uint8), string[sent],
+                        key[one], marks[row[one]], place[one].astype(np.int64), body[one],
+                        keys[later_rows], marks[later_rows], later_places.astype(np.int64), np.concatenate([every, bits[done]]),
+                        keys[own], marks[own], hot_place[of[sent]].astype(np.int64), at_of[sent].astype(np.uint8), string[sent],
                     )
                 )
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(shards, dtype=np.int32)), pa.array(out, pa.binary())], ["shard", "blob"])
@@ -427,7 +428,7 @@ def _first_of_strings(key: np.ndarray, mark: np.ndarray, place: np.ndarray, at:
 
 def _matches(group: pd.DataFrame) -> pd.DataFrame:
     """(key, mark, hits) of the documents of a shard; hits: places and bit sets of matching strings there."""
-    kinds = (np.int64, np.int32, np.int64, np.uint8) + (np.int64, np.int32, np.int64, np.int64) + (np.int64, np.int32, np.int64, np.uint8, np.uint64)
+    kinds = (np.int64, np.int64, np.int64, np.uint8) + (np.int64, np.int64, np.int64, np.int64) + (np.int64, np.int64, np.int64, np.uint8, np.uint64)
     parts = [_unpacked(blob, *kinds) for blob in group["blob"]]
     key, mark, place = (np.concatenate([p[i] for p in parts]) for i in range(3))
     body = np.concatenate([p[3].reshape(-1, AROUND + 2) for p in parts])
@@ -492,7 +493,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(SHARDS, -(-size // SHARD_BYTES))
     hot = rows.sparkSession.sparkContext.broadcast(hot_anchors(rows, size, sample, hot))
-    rows = rows.withColumn("mark", F.hash("text"))
+    # Rows of one id are told apart by 64 bits of their text.
+    rows = rows.withColumn("mark", F.xxhash64(F.lit(3), "text"))
     own = ["key", "mark"]
     # All texts are dealt out by document once; anchors, contexts and cuts read the same exchange.
     docs = rows.repartition(*own)
@@ -503,10 +505,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     known = docs.join(copies.hint("shuffle_hash"), own, "left").select(*own, "text", "copy")
     dealt = known.mapInArrow(_deal_anchors(shards), "shard int, blob binary")
-    shared = dealt.groupBy("shard").applyInPandas(_shared_anchors, "key long, mark int, fps binary")
+    shared = dealt.groupBy("shard").applyInPandas(_shared_anchors, "key long, mark long, fps binary")
     wanted = shared.groupBy(*own).agg(F.collect_list("fps").alias("fps"))
     around = docs.join(wanted.hint("shuffle_hash"), own).mapInArrow(_deal_contexts(shards, hot), "shard int, blob binary")
-    hits = around.groupBy("shard").applyInPandas(_matches, "key long, mark int, hits binary").groupBy(*own).agg(F.collect_list("hits").alias("hits"))
+    hits = around.groupBy("shard").applyInPandas(_matches, "key long, mark long, hits binary").groupBy(*own).agg(F.collect_list("hits").alias("hits"))
     joined = docs.join(hits.hint("shuffle_hash"), own, "left").join(copies.hint("shuffle_hash"), own, "left")
     cut = joined.select("key", "text", "hits", "copy").mapInArrow(_cut, "key long, n_bytes long, n_removed long, n_spans long, kept binary")
     return cut.select(F.when(F.col("key") != LAST_ID, F.col("key")).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")
