@@ -133,6 +133,12 @@ def test_headings(spark, line, want):
         ("\tcode first\n\nb", "b"),
         ("[wrapped\ntext](u) x", "wrapped text x"),
         ("~~~\nx\n```\ny\n~~~\nz", "z"),
+        ("````\na\n```\nb\n````\nc", "c"),
+        ("- ```\n  a\n  ```\n- b", "b"),
+        ("> ```\n> a\n> ```\n> b", "b"),
+        ("1. ~~~~\n   a\n   ~~~\n   ~~~~~\n\nb", "b"),
+        ("```\na\n``` no end\nb", ""),
+        ("x ```y``` z", "x z"),
         ("a | b\n- c\n> d\n* * *\n_e_ f", "a b c d e f"),
     ],
 )
@@ -147,6 +153,8 @@ def test_plain_text(value, text, want):
 HARD = {
     "long": MORE * 3000,
     "open fence": "x\n" + "```\n" + "code line\n" * 200_000,
+    "long fence": "`````\n" + "````\n" * 1_000_000,
+    "fences in items": "- ```\n  code\n  ```\n" * 200_000,
     "brackets": "[" * 300_000,
     "links": "[a](b " * 60_000,
     "open tip": '[a](b "' + "x y-z " * 100_000,

@@ -18,13 +18,17 @@ from .text import _column, is_blank
 
 FRONT_MATTER = r"(?dm)\A---[ \t]*\n((?s:.*?))^---[ \t]*(?:\n|\z)"
 
+LIST_MARK = r"(?:[-*+]|[0-9]{1,9}[.)])"
+
+_CONTAINER = rf"[ \t]*+(?:(?:>|{LIST_MARK}[ \t])[ \t]*+)*+"
+
+# A fence may stand in quotes and list items, is of three marks or more, and is
+# closed by a line of as many or more and nothing else.
 FENCED_CODE = (
-    r"(?dm)^[ \t>]*(?:```[^`\n]*\n(?s:.*?)(?:^[ \t>]*```[^\n]*$|\z)"
-    r"|~~~[^\n]*\n(?s:.*?)(?:^[ \t>]*~~~[^\n]*$|\z))"
+    rf"(?dm)^{_CONTAINER}(?:(`{{3,}}+)[^`\n]*+\n(?s:.*?)(?:^[ \t>]*+\1`*+[ \t]*+$|\z)"
+    rf"|(~{{3,}}+)[^\n]*+\n(?s:.*?)(?:^[ \t>]*+\2~*+[ \t]*+$|\z))"
 )
 
-LIST_MARK = r"(?:[-*+]|[0-9]{1,9}[.)])"
-
 # An indented line is code after a blank line, unless a list item goes on there.
 INDENTED_CODE = (
     rf"(?dm)(\A|^(?!{LIST_MARK}[ \t])[^ \t\n][^\n]*\n)"
@@ -32,8 +36,6 @@ INDENTED_CODE = (
     r"(?:(?:[ ]{4}|\t)[^\n]*(?:\n|\z)|[ \t]*\n)++"
 )
 
-_CONTAINER = rf"[ \t]*+(?:(?:>|{LIST_MARK}[ \t])[ \t]*+)*+"
-
 HEADER = (
     rf"(?dm)^{_CONTAINER}#[^\n]*$"
     rf"|^(?![ \t]*(?:$|[#>|]|{LIST_MARK}[ \t]))[^\n]+\n(?:=+|-+)[ \t]*$"
