@@ -92,3 +92,21 @@ def test_linguistic_order(spark):
     data = [("a", "beta", "x", 1), ("b", "Alpha", "x", 1), ("c", "Ähnlich", "x", 1)]
     lines = summary.sort_summary(summary.summary_lines(rows(spark, data)), "UNICODE")
     assert [r.line for r in lines.collect()][1:] == ["\tÄhnlich", "\tAlpha", "\tbeta"]
+
+
+def test_marks_count_the_same_phrases_as_texts(spark):
+    titles = ["a - b - c", "a b c", "a b", "7 a  b", "a", "", None, "é a b c d e", 'say "a b" now', "a - b - c"]
+    data = [(i % 2 + 1, f"f{i // 2}.md", t, w) for i, (t, w) in enumerate(zip(titles * 3, ["a b", "c  a", "", None, "now", "b"] * 5))]
+    df = spark.createDataFrame(data, "PredictedLabel int, File string, Title string, Top20Words string").repartition(3)
+    want = {(r.category, r.phrase, r.cnt, r.first_seen) for r in summary.phrase_counts(summary.phrases(df)).collect()}
+    found = summary.with_phrases(summary.marked_counts(summary.marked_phrases(df)), df).collect()
+    assert {(r.category, r.phrase, r.cnt, r.first_seen) for r in found} == want and len(found) == len(want)
+
+
+def test_a_long_title_costs_a_row_of_fixed_size_a_part(spark):
+    n = 50_000
+    df = spark.createDataFrame([(1, "f", " ".join(f"word{i}" for i in range(n)), "x y")], "PredictedLabel int, File string, Title string, Top20Words string")
+    found = summary.marked_counts(summary.marked_phrases(df))
+    assert found.count() == n + 2
+    best = summary.best_phrases(df, k=3).collect()
+    assert len(best) == 3 and all(len(r.phrase) < 40 * r.rn * n for r in best)

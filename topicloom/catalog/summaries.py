@@ -21,7 +21,13 @@ def title_prefixes(spark, sf_dir):
 
 
 def _counts(spark, sf_dir):
-    return summary.phrase_counts(summary.phrases(categorised_pages(spark, sf_dir), "lang"))
+    return _named_counts(categorised_pages(spark, sf_dir))
+
+
+def _named_counts(rows):
+    """Every phrase counted by its mark, with its text."""
+    rows = materialize(rows, "categorised")
+    return summary.with_phrases(summary.marked_counts(summary.marked_phrases(rows, "lang")), rows, "lang").drop("size", "a", "b")
 
 
 def _flat(df):
@@ -50,11 +56,11 @@ def phrase_weight_squared(spark, sf_dir):
 
 
 def category_title(spark, sf_dir):
-    return summary.category_titles(summary.rank_phrases(_counts(spark, sf_dir)))
+    return summary.category_titles(summary.best_phrases(materialize(categorised_pages(spark, sf_dir), "categorised"), "lang"))
 
 
 def category_summary(spark, sf_dir):
-    lines = summary.summary_lines(categorised_pages(spark, sf_dir), "lang")
+    lines = summary.summary_lines(materialize(categorised_pages(spark, sf_dir), "categorised"), "lang")
     return summary.numbered_summary(lines).select(
         "category", F.col("ord").cast("bigint").alias("ord"), "line", "position"
     )
@@ -67,7 +73,7 @@ def _documents(spark, sf_dir):
 
 
 def _document_counts(spark, sf_dir):
-    return summary.phrase_counts(summary.phrases(_documents(spark, sf_dir), "lang"))
+    return _named_counts(_documents(spark, sf_dir))
 
 
 def document_phrase_counts(spark, sf_dir):
@@ -84,7 +90,7 @@ def document_title_prefixes(spark, sf_dir):
 
 
 def document_category_summary(spark, sf_dir):
-    lines = summary.summary_lines(_documents(spark, sf_dir), "lang")
+    lines = summary.summary_lines(materialize(_documents(spark, sf_dir), "categorised"), "lang")
     return summary.numbered_summary(lines).select(
         "category", F.col("ord").cast("bigint").alias("ord"), "line", "position"
     )

@@ -63,6 +63,62 @@ def phrases(categorised: DataFrame, category: str = "PredictedLabel") -> DataFra
     return places.select("category", "File", "src", "pos", phrase.alias("phrase"))
 
 
+# A mark has two halves of 40 bits a part: those of 2^23 parts add up within 64 bits.
+_SHIFT = 24
+
+
+def _marks(part: Column, place: Column) -> list[Column]:
+    """What a part adds to the two halves of the mark of a phrase."""
+    return [F.shiftrightunsigned(F.xxhash64(F.lit(i), place.cast("int"), part), _SHIFT) for i in (1, 2)]
+
+
+def marked_phrases(categorised: DataFrame, category: str = "PredictedLabel") -> DataFrame:
+    """(category, File, src, pos, size, a, b): the phrases of :func:`phrases` by their marks, without their texts.
+
+    The mark of a prefix is the sum of the marks of its parts by place, so all
+    prefixes of a title come from one running sum: a title of n parts is n rows of
+    fixed size, where their texts would be n * n / 2 words.
+    """
+    split = categorised.select(
+        F.col(category).alias("category"), "File", F.monotonically_increasing_id().alias("_row"),
+        _parts("Top20Words").alias("_words"), _parts("Title").alias("_parts"),
+    )
+    listed = split.select("category", "File", F.posexplode("_words").alias("pos", "part")).filter(~is_blank("part"))
+    a, b = _marks(F.col("part"), F.lit(0))
+    words = listed.select("category", "File", F.lit(0).alias("src"), "pos", F.lit(1).alias("size"), a.alias("a"), b.alias("b"))
+    parts = split.select("category", "File", "_row", F.posexplode("_parts").alias("pos", "part"))
+    a, b = _marks(F.col("part"), F.col("pos"))
+    parts = parts.select("category", "File", "_row", "pos", F.col("part").rlike("[a-zA-Z']").alias("_ends"), a.alias("a"), b.alias("b"))
+    so_far = Window.partitionBy("_row").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = parts.withColumns({"a": F.sum("a").over(so_far), "b": F.sum("b").over(so_far)}).filter("_ends")
+    titles = running.select("category", "File", F.lit(1).alias("src"), "pos", (F.col("pos") + 1).alias("size"), "a", "b")
+    # The titles are partitioned by row, the words by nothing, so the union claims no partitioning.
+    return words.unionByName(titles)
+
+
+def marked_counts(found: DataFrame) -> DataFrame:
+    """Count per category and mark, with the first place it was seen; rows of fixed size."""
+    return found.groupBy("category", "size", "a", "b").agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.min(F.struct("File", "src", "pos")).alias("first_seen"),
+    )
+
+
+def with_phrases(counts: DataFrame, categorised: DataFrame, category: str = "PredictedLabel") -> DataFrame:
+    """Marked counts with the text of each phrase, taken from where it was first seen."""
+    texts = categorised.select(
+        F.col(category).alias("category"), F.col("File").alias("_file"),
+        _parts("Top20Words").alias("_words"), _parts("Title").alias("_parts"),
+    )
+    placed = counts.withColumn("_file", F.col("first_seen.File"))
+    pos = F.col("first_seen.pos")
+    phrase = F.when(F.col("first_seen.src") == 0, F.get("_words", pos)).otherwise(F.array_join(F.slice("_parts", F.lit(1), pos + 1), " "))
+    named = placed.join(texts, ["category", "_file"]).select(*counts.columns, phrase.alias("phrase"))
+    # Several documents may share a file and category; the mark tells whose phrase it is.
+    a = F.aggregate(F.transform(F.split("phrase", " "), lambda p, i: _marks(p, i)[0]), F.lit(0).cast("bigint"), lambda s, x: s + x)
+    return named.filter(a == F.col("a")).dropDuplicates(["category", "size", "a", "b"])
+
+
 def phrase_counts(found: DataFrame) -> DataFrame:
     """Count per category and phrase, with the first place it was seen.
 
@@ -77,8 +133,11 @@ def phrase_counts(found: DataFrame) -> DataFrame:
 
 def phrase_weight(phrase, count, weight="xor") -> Column:
     """Number of parts XOR twice the count, or ``length_squared`` times the count."""
-    parts = F.size(F.split(F.col(phrase), " ")).cast("bigint")
-    count = F.col(count).cast("bigint")
+    return _weight(F.size(F.split(F.col(phrase), " ")), F.col(count), weight)
+
+
+def _weight(parts: Column, count: Column, weight: str) -> Column:
+    parts, count = parts.cast("bigint"), count.cast("bigint")
     if weight == "xor":
         return parts.bitwiseXOR(count * 2)
     if weight == "length_squared":
@@ -107,6 +166,15 @@ def rank_all_phrases(counts: DataFrame, weight="xor") -> DataFrame:
     return number_rows(weighted, ["category"], _order())
 
 
+def best_phrases(categorised: DataFrame, category: str = "PredictedLabel", weight="xor", k: int = TITLE_PHRASES) -> DataFrame:
+    """The first ``k`` phrases of each category, ranked by their marks; only these get their texts."""
+    counts = marked_counts(marked_phrases(categorised, category))
+    weighted = counts.withColumn("weight", _weight(F.col("size"), F.col("cnt"), weight))
+    order = Window.partitionBy("category").orderBy(F.desc("cnt"), F.desc("weight"), F.col("first_seen"), "size", "a", "b")
+    ranked = weighted.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= k)
+    return with_phrases(ranked, categorised, category).drop("size", "a", "b")
+
+
 def category_titles(ranked: DataFrame, k: int = TITLE_PHRASES) -> DataFrame:
     """The first ``k`` phrases per category, longest first, joined by commas.
 
@@ -125,8 +193,7 @@ def summary_lines(categorised: DataFrame, category: str = "PredictedLabel", weig
 
     Unsorted; :func:`sort_summary` gives the reading order.
     """
-    ranked = rank_phrases(phrase_counts(phrases(categorised, category)), weight)
-    heads = category_titles(ranked).select(
+    heads = category_titles(best_phrases(categorised, category, weight)).select(
         "category",
         F.lit(0).alias("ord"),
         F.concat(F.lit("Category "), F.col("category").cast("string"), F.lit(": "), "title").alias("line"),
