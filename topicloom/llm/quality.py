@@ -7,11 +7,12 @@ symbols. A document goes if the Jensen-Shannon distance of its classes to the re
 each rule has a guard: the least number of words. ``BANDS`` adds rules by length, in which the word distance can reject
 alone, and classes are judged in every language: a null or rare one, with fewer than ``RARE`` documents in the reference
 or less than one in ``MOST_LANGUAGES``, is held against the whole corpus. Without ``bands`` languages without a list of
-common words are not judged this way; the SQL below has the rules without them. The base rules hold for all. The
-thresholds lie above all documents labelled good in sf0.01, sf0.1 and check_s.
+common words are not judged this way. The base rules hold for all. The thresholds lie above all documents labelled good
+in sf0.01, sf0.1 and check_s.
 
 Everything is a column expression over one row; the reference has at most ``MOST_LANGUAGES`` rows, so it is safe to
-broadcast. Rows keep their multiplicity and their ids, null or not. A null text counts as having no words. Clashing columns of the input are not read; ``judge`` needs only the id, text and language.
+broadcast. Rows keep their multiplicity and their ids, null or not. A null or empty text counts as having no words; a very long one is
+measured whole; an empty table has no references and gives no rows. Clashing columns of the input are not read; ``judge`` needs only the id, text and language.
 """
 
 from __future__ import annotations
@@ -204,6 +205,17 @@ _S = r"[\x20\x09-\x0D]"
 _LISTS = "CASE lang " + " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in COMMON_WORDS.items()) + " END"
 _COUNT = r"length(t) - length(regexp_replace(t, '{}', '', 'g'))"
 _JS = "sqrt(greatest(list_sum(list_transform(list_zip({a}, {b}), lambda z: (CASE WHEN z[1] > 0 THEN z[1] * log2(z[1] / ((z[1] + z[2]) / 2)) ELSE 0 END) + (CASE WHEN z[2] > 0 THEN z[2] * log2(z[2] / ((z[1] + z[2]) / 2)) ELSE 0 END))) / 2, 0))"
+
+
+def _sql_band(*at) -> str:
+    def pick(band):
+        for i in at:
+            band = band[i]
+        return band
+
+    return "CASE " + " ".join(f"WHEN n_words >= {band[0]} THEN {pick(band)}" for band in sorted(BANDS, reverse=True)) + " END"
+
+
 SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
@@ -218,17 +230,21 @@ m AS (SELECT w.r, doc_id, lang, len(words) AS n_words, list_sum(list_transform(w
     list_transform({_LISTS}, lambda x: len(list_filter(words, lambda y: y = x))) AS common FROM w LEFT JOIN c USING (r)),
 n AS (SELECT *, coalesce(chars, 0)::BIGINT AS word_chars,
     [n_chars - coalesce(chars, 0), n_symbols, u, dg, st, wide, coalesce(chars, 0) - n_symbols - u - dg - st] AS classes FROM m),
-f AS (SELECT * FROM n WHERE lang IN ({', '.join(f"'{k}'" for k in COMMON_WORDS)}) AND n_words >= {MIN_WORDS} AND 10 * n_symbols < n_words),
-s AS (SELECT lang, sum(n_words) AS ref_words,
+f AS (SELECT * FROM n WHERE n_words >= {MIN_WORDS} AND 10 * n_symbols < n_words),
+s AS (SELECT lang, count(*) AS docs, sum(n_words) AS ref_words,
     {', '.join(f'sum(classes[{i}]) AS c{i}' for i in range(1, 8))}, {', '.join(f'sum(common[{i}]) AS w{i}' for i in range(1, 13))} FROM f GROUP BY lang),
-j AS (SELECT n.*, ref_words, [{', '.join(f'c{i}' for i in range(1, 8))}] AS rc, [{', '.join(f'w{i}' for i in range(1, 13))}] AS rw FROM n LEFT JOIN s USING (lang)),
+a AS (SELECT sum(docs) AS all_docs, {', '.join(f'sum(c{i}) AS a{i}' for i in range(1, 8))} FROM s),
+o AS (SELECT s.* FROM s CROSS JOIN a WHERE lang IS NOT NULL AND docs >= {RARE} AND docs * {MOST_LANGUAGES} >= all_docs),
+j AS (SELECT n.*, ref_words, [{', '.join(f'coalesce(c{i}, a{i})' for i in range(1, 8))}] AS rc, [{', '.join(f'w{i}' for i in range(1, 13))}] AS rw,
+    n_words >= {MIN_WORDS} AND a1 IS NOT NULL AS judged FROM n LEFT JOIN o USING (lang) CROSS JOIN a),
 p AS (SELECT *, list_transform(classes, lambda x: x / n_bytes) AS p1, list_transform(rc, lambda x: x / list_sum(rc)) AS q1,
     list_transform(list_append(common, n_words - list_sum(common)::BIGINT), lambda x: x / n_words) AS p2,
     list_transform(list_append(rw, ref_words - list_sum(rw)), lambda x: x / ref_words) AS q2 FROM j),
-x AS (SELECT *, {_JS.format(a='p1', b='q1')} AS dc, {_JS.format(a='p2', b='q2')} AS dw FROM p),
+x AS (SELECT *, CASE WHEN judged THEN {_JS.format(a='p1', b='q1')} END AS dc,
+    CASE WHEN judged AND common IS NOT NULL AND ref_words IS NOT NULL THEN {_JS.format(a='p2', b='q2')} END AS dw FROM p),
 k AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
-    coalesce(n_words >= {MIN_WORDS} AND ref_words IS NOT NULL AND (dc > {CLASS_DISTANCE} OR
-        n_words >= {BOTH_WORDS} AND dc > {BOTH_DISTANCES[0]} AND dw > {BOTH_DISTANCES[1]}), false) AS far FROM x)
+    coalesce(dc > {CLASS_DISTANCE}, false) OR coalesce(n_words >= {BOTH_WORDS} AND dc > {BOTH_DISTANCES[0]} AND dw > {BOTH_DISTANCES[1]}, false)
+        OR coalesce(dc > {_sql_band(1)}, false) OR coalesce(dw > {_sql_band(2)}, false) OR coalesce(dc > {_sql_band(3, 0)} AND dw > {_sql_band(3, 1)}, false) AS far FROM x)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
     n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept FROM k
 """
