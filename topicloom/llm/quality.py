@@ -121,12 +121,15 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def references(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = MIN_WORDS) -> DataFrame:
-    """A row for each language with a word list: its summed histograms and words, over all documents.
+def _measured(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    return measures(df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")), repeats=False)
+
+
+def references(m: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """A row for each language with a word list: its summed histograms and words, over all measured documents.
 
     Documents under the guard, or with a symbol for every ten words or more, say nothing about their language.
     """
-    m = measures(df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")), repeats=False)
     m = where_computed(m, F.col("lang").isin(*COMMON_WORDS) & (F.col("n_words") >= min_words) & (10 * F.col("n_symbols") < F.col("n_words")))
     total = lambda name, n: F.array(*(F.sum(F.get(name, F.lit(i))) for i in range(n)))
     return m.groupBy(F.col("lang").alias("ref_lang")).agg(
@@ -134,9 +137,8 @@ def references(df: DataFrame, text_col: str = "text", lang_col: str = "lang", mi
     )
 
 
-def all_references(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
+def all_references(m: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
     """As :func:`references`, of every language that is not rare, and one row (whole_classes) of the whole corpus."""
-    m = measures(df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")), repeats=False)
     m = where_computed(m, (F.col("n_words") >= min_words) & (10 * F.col("n_symbols") < F.col("n_words")))
     total = lambda name, n: F.array(*(F.sum(F.get(name, F.lit(i))) for i in range(n)))
     by_lang = m.groupBy(F.col("lang").alias("ref_lang")).agg(
@@ -173,9 +175,23 @@ def _sum(counts: Column) -> Column:
 
 
 def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = MIN_WORDS, class_distance: float = CLASS_DISTANCE, both_distances: tuple[float, float] = BOTH_DISTANCES, both_words: int = BOTH_WORDS, bands: tuple = BANDS) -> DataFrame:
-    """``df`` with the base counts, the two distances (null where not judged), ``base_failed`` and ``kept``."""
-    ref, whole = all_references(df, text_col, lang_col, min_words) if bands else (references(df, text_col, lang_col, min_words), None)
-    m = measures(df, text_col, lang_col)
+    """``df`` with the base counts, the two distances (null where not judged), ``base_failed`` and ``kept``.
+
+    Texts are measured once for the references and once for their own verdict, so that rows need not be stored.
+    """
+    ref = _measured(df, text_col, lang_col)
+    return verdicts(measures(df, text_col, lang_col), ref, lang_col, min_words, class_distance, both_distances, both_words, bands)
+
+
+def judge_stored(df: DataFrame, text_col: str = "text", lang_col: str = "lang", **rules) -> DataFrame:
+    """As :func:`judge` without the texts: their measures are stored, small as they are, and each text is read once."""
+    m = stored(measures(df, text_col, lang_col).drop(text_col), "measures")
+    return verdicts(m, m.withColumnRenamed(lang_col, "lang"), lang_col, **rules)
+
+
+def verdicts(m: DataFrame, of: DataFrame, lang_col: str = "lang", min_words: int = MIN_WORDS, class_distance: float = CLASS_DISTANCE, both_distances: tuple[float, float] = BOTH_DISTANCES, both_words: int = BOTH_WORDS, bands: tuple = BANDS) -> DataFrame:
+    """Measured rows ``m`` with distances to the references of the measured rows ``of`` and verdicts, without the histograms."""
+    ref, whole = all_references(of, min_words) if bands else (references(of, min_words), None)
     m = m.join(F.broadcast(ref), m[lang_col] == ref["ref_lang"], "left")
     if bands:
         m = m.crossJoin(F.broadcast(whole)).withColumn("ref_classes", F.coalesce("ref_classes", "whole_classes")).drop("whole_classes")
