@@ -28,35 +28,17 @@ def words(docs: DataFrame) -> DataFrame:
     return docs.select("File", F.explode(_tokens_or_null()).alias("word"))
 
 
-def _runs(sorted_words: str) -> Column:
-    """(word, n) of each word of a sorted array."""
-    w = F.col(sorted_words)
-    starts = F.filter(
-        F.sequence(F.lit(0), F.size(w) - 1), lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1))
-    )
-    return F.transform(starts, lambda i: F.struct(F.get(w, i).alias("word"), i.alias("start")))
-
-
 def term_frequency(docs: DataFrame) -> DataFrame:
     """Count of each lower-case word per document.
 
-    A row counts its own words first, by sorting them, so that only distinct
-    words leave it. The counts of rows that share a key are then added up by
-    document and word, so neither a frequent word nor a large document ends up
-    in one task. Texts are not shuffled.
+    Tokens are counted in the task that reads the text, by generated code, before
+    anything is shuffled: what leaves is a row for each document and distinct word,
+    so neither a frequent word nor a large document ends up in one task, and texts
+    are not shuffled.
     """
     lowered = docs.select("File", F.lower("Words").alias("Words"))
-    ordered = lowered.select("File", F.sort_array(_tokens_or_null()).alias("_words"))
-    placed = ordered.select("File", _runs("_words").alias("_runs"), F.size("_words").alias("_size"))
-    counts = F.transform(
-        "_runs",
-        lambda r, i: F.struct(
-            r["word"].alias("word"),
-            (F.coalesce(F.get("_runs", i + 1)["start"], F.col("_size")) - r["start"]).alias("n"),
-        ),
-    )
-    own = placed.select("File", F.explode(counts).alias("_term")).select("File", "_term.word", "_term.n")
-    return own.groupBy("File", "word").agg(F.sum("n").alias("count"))
+    found = lowered.select("File", F.explode(_tokens_or_null()).alias("word"))
+    return found.groupBy("File", "word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:

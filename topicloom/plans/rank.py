@@ -10,6 +10,7 @@ from ..functions.text import clean_value, is_blank
 from ..operators import terms
 from ..operators.skew import join_salted
 from ..schemas import ATTRIBUTES, HEADINGS, MODEL_INPUT
+from ..session import materialize
 
 
 def attributes(docs: DataFrame) -> DataFrame:
@@ -45,13 +46,17 @@ def model_input(docs: DataFrame, k: int = terms.TOP, stop_words=STOP_WORDS,
 
 
 def register_views(spark, docs: DataFrame) -> None:
-    """Offer the intermediate tables and the three functions by name to SQL."""
+    """Offer the intermediate tables and the three functions by name to SQL.
+
+    Terms and their scores are computed and stored once; a query over any of the
+    views reads them and does not go through the texts again.
+    """
     register_functions(spark)
-    tf = terms.term_frequency(docs)
+    tf = materialize(terms.term_frequency(docs), "term-frequency")
     docs.createOrReplaceTempView("docs")
     tf.createOrReplaceTempView("termFrequency")
     terms.with_idf(terms.document_frequency(tf), docs).createOrReplaceTempView("documentFrequency")
-    scores = terms.tf_idf(tf, docs)
+    scores = materialize(terms.tf_idf(tf, docs), "scores")
     scores.createOrReplaceTempView("idfJoin")
     terms.word_counts(docs).createOrReplaceTempView("rollup")
     filtered = terms.drop_stop_words(scores).select("File", "word", terms.SCORE)
