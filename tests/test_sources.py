@@ -130,3 +130,36 @@ def test_summary_files_are_in_order(spark, tmp_path):
     tables.write_summary(lines, str(tmp_path / "s"))
     parts = sorted((tmp_path / "s").glob("part-*"))
     assert [x for p in parts for x in p.read_text().splitlines()] == want
+
+
+def test_sessions_share_tables(spark, tmp_path):
+    base = str(tmp_path / "shared")
+    first, second = (SessionLayout(base, tag, partitioned=True) for tag in (1, 2))
+    assert first.docs == f"{base}/docs/session=1" and first.table("docs") == second.table("docs")
+    one = spark.createDataFrame([(f"f{i}", *["x"] * (len(DOCS) - 1)) for i in range(3)], DOCS)
+    tables.write_docs(one, first.docs)
+    tables.write_docs(one.limit(2), second.docs)
+    read = lambda *tags: tables.read_sessions(spark, first.table("docs"), DOCS, tags or None)
+    counts = lambda: {r.session: r["count"] for r in read().groupBy("session").count().collect()}
+    assert counts() == {1: 3, 2: 2}
+    tables.write_docs(one.limit(1), first.docs)
+    assert counts() == {1: 1, 2: 2}
+    # A session without rows is empty, not its earlier run.
+    tables.write_docs(one.limit(0), first.docs)
+    assert counts() == {2: 2} and tables.read_docs(spark, first.docs).count() == 0
+    # Several at once: those with rows are replaced.
+    tables.write_sessions(one.withColumn("session", F.when(F.col("File") == "f0", 2).otherwise(5)), first.table("docs"), DOCS)
+    assert counts() == {2: 1, 5: 2}
+    assert sorted(r.File for r in read(5, 7).collect()) == ["f1", "f2"]
+    assert read(7).count() == 0
+
+
+def test_sessions_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    rows = spark.createDataFrame([(f"f{i}", *["x"] * (len(DOCS) - 1), i % 4) for i in range(40)], [*DOCS.names, "session"])
+    tables.write_sessions(rows, path, DOCS)
+    read = tables.read_sessions(spark, path, DOCS, [2])
+    assert {f.rsplit("/", 2)[1] for f in read.inputFiles()} == {f"session={i}" for i in range(4)}
+    plan = read.select("File")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(session" in plan or "PartitionFilters: [(session" in plan
+    assert read.count() == 10

@@ -8,6 +8,7 @@ from ..functions.text import clean_value, is_blank
 from ..operators import summary
 from ..operators.ranking import number_rows
 from ..plans.rank import model_input
+from ..schemas import DOCS
 from ..session import work_dir
 from ..sources import tables
 from ..sources.layout import SessionLayout
@@ -57,6 +58,21 @@ def categorized_round_trip(spark, sf_dir):
     return back.withColumn("PredictedLabel", F.col("PredictedLabel").cast("bigint"))
 
 
+def shared_sessions(spark, sf_dir):
+    """Two sessions in one table, then three; the first is run again and replaces only its own part."""
+    docs = c.stored_docs(spark, sf_dir)
+    layouts = [SessionLayout(work_dir(spark, "sessions"), 1, partitioned=True)]
+    layouts.append(SessionLayout(layouts[0].base, 2, partitioned=True))
+    for layout in layouts:
+        tables.write_docs(docs.withColumn("Title", F.upper("Title")), layout.docs)
+    tables.write_docs(docs.filter("length(Words) % 2 = 0"), layouts[0].docs)
+    table = layouts[0].table("docs")
+    more = docs.withColumn("session", F.when(F.length("Words") % 2 == 0, 3).otherwise(4))
+    tables.write_sessions(more, table, DOCS)
+    kept = tables.read_sessions(spark, table, DOCS, [1, 2, 4])
+    return kept.select("session", "File", "Title", F.md5(F.encode("Words", "UTF-8")).alias("digest"))
+
+
 def raw_lines_round_trip(spark, sf_dir):
     """Raw texts in every column of the text files: quotes, commas, back-slashes, line breaks."""
     layout = _layout(spark, "raw")
@@ -144,6 +160,7 @@ QUERIES = {
     "model_input_round_trip": model_input_round_trip,
     "categorized_round_trip": categorized_round_trip,
     "raw_lines_round_trip": raw_lines_round_trip,
+    "shared_sessions": shared_sessions,
     "summary_text": summary_text,
     "file_scan": file_scan,
     "hidden_file_scan": hidden_file_scan,
@@ -175,6 +192,12 @@ SQL = {
         ) + " FROM texts",
         "texts",
     ),
+    "shared_sessions": c.with_tables(
+        "SELECT s AS session, \"File\", CASE WHEN s = 2 THEN upper(\"Title\") ELSE \"Title\" END AS \"Title\", "
+        "md5(\"Words\") AS digest FROM docs, (SELECT unnest([1, 2, 4]) AS s) "
+        "WHERE s = 2 OR (s = 1) = (length(\"Words\") % 2 = 0)",
+        "docs",
+    ),
     "summary_text": c.with_tables(
         "SELECT line, position FROM summary", "summary",
     ),

@@ -2,10 +2,11 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators.summary import sort_summary
 from ..schemas import ATTRIBUTES, CATEGORIZED, DOCS, MODEL_INPUT
+from .layout import SESSION
 
 # A quote inside a value is doubled; the backslash is an ordinary character.
 _CSV = {"header": True, "escape": '"'}
@@ -95,3 +96,25 @@ def write_summary(lines: DataFrame, path: str, collation: str | None = None) ->
 
 def read_summary(spark, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def write_sessions(rows: DataFrame, path: str, schema, fmt: str = "parquet") -> None:
+    """Rows of several sessions, told by their ``session`` column, into one table.
+
+    Replaces the sessions that have rows and leaves all others. Each session is
+    gathered by a shuffle on (session, first column), so that neither one large
+    session is one task nor every task writes a file for every session.
+    """
+    first = schema.names[0]
+    spread = rows.select(*schema.names, F.col(SESSION).cast("bigint")).repartitionByRange(SESSION, first)
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SESSION).format(fmt).save(path)
+
+
+def read_sessions(spark, path: str, schema, tags=None, fmt: str = "parquet") -> DataFrame:
+    """A table that sessions share, with its ``session`` column; not for text files.
+
+    Only the folders of ``tags`` are listed in the scan; None takes all sessions.
+    """
+    whole = StructType(schema.fields + [StructField(SESSION, LongType())])
+    rows = spark.read.schema(whole).format(fmt).load(path)
+    return rows if tags is None else rows.filter(F.col(SESSION).isin(*tags))
