@@ -64,7 +64,7 @@ def shared_sessions(spark, sf_dir):
     layouts = [SessionLayout(work_dir(spark, "sessions"), 1, partitioned=True)]
     layouts.append(SessionLayout(layouts[0].base, 2, partitioned=True))
     for layout in layouts:
-        tables.write_docs(docs.withColumn("Title", F.upper("Title")), layout.docs)
+        tables.write_docs(docs.withColumn("Title", F.concat(F.lit("first run: "), F.col("Title"))), layout.docs)
     tables.write_docs(docs.filter("length(Words) % 2 = 0"), layouts[0].docs)
     table = layouts[0].table("docs")
     more = docs.withColumn("session", F.when(F.length("Words") % 2 == 0, 3).otherwise(4))
@@ -193,7 +193,7 @@ SQL = {
         "texts",
     ),
     "shared_sessions": c.with_tables(
-        "SELECT s AS session, \"File\", CASE WHEN s = 2 THEN upper(\"Title\") ELSE \"Title\" END AS \"Title\", "
+        "SELECT s AS session, \"File\", CASE WHEN s = 2 THEN 'first run: ' || \"Title\" ELSE \"Title\" END AS \"Title\", "
         "md5(\"Words\") AS digest FROM docs, (SELECT unnest([1, 2, 4]) AS s) "
         "WHERE s = 2 OR (s = 1) = (length(\"Words\") % 2 = 0)",
         "docs",
