@@ -89,3 +89,33 @@ def test_held_out_verdicts_are_mostly_right(spark):
 def test_one_class_only(spark):
     df = spark.createDataFrame([(1, "http://a.com/"), (2, "http://b.org/")], "page_id long, url string")
     assert {r.page_id: r.verdict for r in u.judge_urls(df, URL_RULES).collect()}[1] == "allow"
+
+
+@pytest.mark.parametrize("rule, least", [("net/fr/", 0.9), ("net/es/", 0.9)])
+def test_a_rule_left_out_is_told_by_the_model(spark, rule, least):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    known = {r.page_id for r in u.judge_urls(pages, URL_RULES).collect() if r.rule == rule}
+    fewer = tuple(r for r in URL_RULES if r[1] + r[2] != rule)
+    held = [r.verdict for r in u.judge_urls(pages, fewer).collect() if r.page_id in known]
+    assert len(held) == len(known) > 20 and held.count("block") >= least * len(held)
+
+
+def test_long_urls(spark):
+    """A million characters, of one and of four bytes, are linear work and equal the model by hand."""
+    labelled = spark.createDataFrame([("a.com/x", "allow", 0, 3), ("b.net/\U0001d538", "block", 1, 2)], "text string, verdict string, fold int, rows long")
+    grams, contexts = u.train(labelled)
+    text = "a.com/x\U0001d538" * 125_000
+    got = u.score(spark.createDataFrame([(text, 2), ("", 2)], "text string, model int"), grams, contexts).collect()
+    both = [model([("a.com/x", 3)]), model([("b.net/\U0001d538", 2)])]
+    for r in got:
+        a, b = (log_likelihood(x, r.text) for x in both)
+        assert r.score == pytest.approx(sum(round((x - y) * 1e6) for x, y in zip(a, b)) / len(a), abs=2)
+    assert {len(r.text) for r in got} == {0, 1_000_000}
+
+
+def test_empty_table_and_odd_urls(spark):
+    schema = "page_id long, url string, text string, score double, window int"
+    assert u.judge_urls(spark.createDataFrame([], schema), URL_RULES).count() == 0
+    rows = [(1, None, None, None, 1), (1, None, None, None, 1), (None, "x://\u0002\u0003:0", "t", 1.0, 2), (3, "x://" + "a:" * 9, "", 0.0, 3)]
+    got = u.judge_urls(spark.createDataFrame(rows, schema), URL_RULES).collect()
+    assert len(got) == 4 and all(r.verdict in ("allow", "block") and r.score is not None for r in got)

@@ -8,10 +8,12 @@ labelled URLs are counted, so the models grow with the table.
 
 URLs are modelled as host and path with digits written as 0, and each distinct one is counted and scored once, with its
 number of rows as weight. Counts are joined, not collected: one row of two numbers reaches the driver. If one class
-has no rows, the threshold is 0.
+has no rows, the threshold is 0 and its model knows every symbol to be as likely: without accepted URLs mostly blocked,
+without rejected ones mostly allowed.
 
 A null URL or one without ``://`` has an empty host and path, meets no rule and is scored as the empty text. Each row
-gives a row. Only the id and URL columns are read.
+gives a row, equal ones equal rows, and an empty table none; a score at the threshold is allowed. The work is linear in
+the length of a URL, whose places one task holds in memory at once. Only the id and URL columns are read.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.llm.common import stored
+from topicloom.operators.skew import join_weighted
 
 ORDER = 4
 #: Symbols a model spreads its last mass over: those of a byte.
@@ -49,11 +52,19 @@ def matching_rule(rules: Rules, host: Column, path: Column) -> tuple[Column, Col
     return rule, verdict
 
 
-def _grams(urls: DataFrame) -> DataFrame:
-    """A row for each place of a text and order: the symbol with ``n`` symbols before it."""
+def _windows(urls: DataFrame, *kept: str) -> DataFrame:
+    """A row for each symbol of a text: ``window``, the symbol with ``ORDER`` symbols before it.
+
+    The text is cut in one pass and does not travel with the rows, so the work is linear in its length.
+    """
     padded = F.concat(F.lit(START * ORDER), "text", F.lit(END))
-    places = urls.withColumn("padded", padded).withColumn("at", F.explode(F.sequence(F.lit(ORDER + 1), F.length("padded"))))
-    return places.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(ORDER)))).withColumn("gram", F.expr("substring(padded, at - n, n + 1)")).drop("padded")
+    pattern = F.lit(f"(?s)(?=(.{{{ORDER + 1}}})).")
+    return urls.select(*kept, F.explode(F.regexp_extract_all(padded, pattern, F.lit(1))).alias("window"))
+
+
+def _orders(windows: DataFrame) -> DataFrame:
+    """A row for each order: ``gram``, the symbol with ``n`` symbols before it."""
+    return windows.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(ORDER)))).withColumn("gram", F.expr(f"substring(window, {ORDER + 1} - n, n + 1)"))
 
 
 def train(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -61,7 +72,8 @@ def train(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     ``labelled``: text, verdict, fold (0 or 1), rows.
     """
-    counts = _grams(labelled).groupBy("gram").agg(
+    windows = _windows(labelled, "verdict", "fold", "rows").groupBy("window", "verdict", "fold").agg(F.sum("rows").alias("rows"))
+    counts = _orders(windows).groupBy("gram").agg(
         *(F.sum(F.when((F.col("verdict") == kind) & (F.col("fold") == fold), F.col("rows")).otherwise(0)).alias(f"{kind}{fold}") for kind in ("allow", "block") for fold in (0, 1))
     )
     # The model that leaves out a half has the counts of the other.
@@ -74,19 +86,40 @@ def train(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     return grams, contexts
 
 
+def _key(*columns: str) -> Column:
+    return F.concat_ws(":", *columns)
+
+
 def score(urls: DataFrame, grams: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(text, model, score) of distinct (text, model); scores in millionths, as whole numbers, so that sums agree."""
-    places = _grams(urls).withColumn("context", F.expr("substring(gram, 1, n)")).withColumn("size", F.col("n") + 1)
-    rows = places.join(grams, ["model", "gram"], "left").join(contexts, ["model", "context", "size"], "left")
+    """(text, model, score) of distinct (text, model); scores in millionths, as whole numbers, so that sums agree.
+
+    The term of a symbol depends on the model and the window alone, so it is computed once for each distinct window.
+    Short grams belong to very many windows and some windows to very many texts: both joins are salted by those counts.
+    """
+    texts = stored(urls.select("text", "model").withColumn("text_key", F.monotonically_increasing_id()), "texts")
+    places = _windows(texts, "text_key", "model").groupBy("text_key", "model", "window").agg(F.count("*").alias("times"))
+    places = stored(places.withColumn("key", _key("model", "window")), "places")
+    windows = stored(places.groupBy("model", "window", "key").agg(F.count("*").alias("weight")), "windows")
+    asked = _orders(windows.select("model", "window", "key")).withColumn("gram_key", _key("model", "gram"))
+
+    wanted = asked.groupBy("model", "gram", "n", "gram_key").agg(F.count("*").alias("gram_weight"))
+    wanted = wanted.withColumn("context", F.expr("substring(gram, 1, n)")).withColumn("size", F.col("n") + 1)
+    # Of one context there are no more rows here than symbols after it, so no key of these two joins is hot.
+    found = wanted.join(grams, ["model", "gram"], "left").join(contexts, ["model", "context", "size"], "left")
     numbers = [F.coalesce(F.col(f"{kind}{what}"), F.lit(0)).alias(f"{kind}{what}") for kind in ("allow", "block") for what in ("", "_all", "_kinds")]
-    orders = rows.groupBy("text", "model", "at").agg(F.sort_array(F.collect_list(F.struct("n", *numbers))).alias("orders"))
+    found = stored(found.select("gram_key", "gram_weight", F.struct("n", *numbers).alias("order")), "orders")
+    rows = join_weighted(asked.select("key", "gram_key"), found, "gram_key", "gram_weight", ["key"])
+    orders = rows.groupBy("key").agg(F.sort_array(F.collect_list("order")).alias("orders"))
 
     def log_likelihood(kind: str) -> Column:
         blend = lambda p, o: F.when(o[f"{kind}_all"] > 0, (o[kind] + o[f"{kind}_kinds"] * p) / (o[f"{kind}_all"] + o[f"{kind}_kinds"])).otherwise(p)
         return F.log(F.aggregate("orders", F.lit(1.0 / SYMBOLS), blend))
 
     difference = F.round((log_likelihood("allow") - log_likelihood("block")) * 1_000_000).cast("long")
-    return orders.select("text", "model", difference.alias("d")).groupBy("text", "model").agg((F.sum("d") / F.count("*")).alias("score"))
+    terms = stored(orders.select("key", difference.alias("d")).join(windows.select("key", "weight"), "key"), "terms")
+    sums = join_weighted(places.select("text_key", "key", "times"), terms, "key", "weight", ["text_key"])
+    scores = sums.groupBy("text_key").agg((F.sum(F.col("d") * F.col("times")) / F.sum("times")).alias("score"))
+    return texts.join(scores, "text_key").select("text", "model", "score")
 
 
 def threshold(scored: DataFrame) -> float:
