@@ -99,6 +99,28 @@ def test_recall_of_the_paths():
     assert nj.run_count(0.999, 1) == 7 and nj.run_count(0.999, 4) > nj.run_count(0.999, 1)
 
 
+def test_recall_in_deep_trees(spark, monkeypatch):
+    """Pairs just above the threshold among strangers that share half of their text, so that paths are split often."""
+    monkeypatch.setattr(nj, "BUCKET", 16)
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(100)]
+    docs = []
+    for _ in range(400):
+        own = [str(rng.randrange(10**9)) for _ in range(50)]
+        # Each has 146 shingles and the two share all but the last 16: 130 / 162 = 0.802.
+        for side in range(2):
+            tail = [str(rng.randrange(10**9)) for _ in range(16)] if side else own[-16:]
+            docs.append((len(docs), " ".join(common + own[:-16] + tail)))
+    pairs = sets(docs)
+    alike = [len(pairs[i] & pairs[i + 1]) / len(pairs[i] | pairs[i + 1]) for i in range(0, len(docs), 2)]
+    strange = len(pairs[0] & pairs[2]) / len(pairs[0] | pairs[2])
+    assert 0.8 <= min(alike) and max(alike) < 0.82 and strange > 0.45
+    got = {r.doc_id: (r.class_id, r.n_links) for r in nj.near_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    want = {i: (i - i % 2, 1) for i, _ in docs}
+    found = sum(got[i] == want[i] for i in range(0, len(docs), 2))
+    assert found >= 0.99 * len(alike) and all(x in ((i, 0), want[i]) for i, x in got.items())
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))] + [(1000 + i, 1001 + i) for i in range(60)] + [(None, 5), (7, 7)]
