@@ -12,7 +12,8 @@ compared. As one edit leaves three quarters of a line untouched, only lines that
 need to emit variants, and only at the positions of the fourth.
 
 Documents of null id come last. Each row is a document of its own; of equal or null ids the order is that of their texts'
-hashes. Null and empty texts have no lines to lose.
+hashes. Null and empty texts have no lines to lose, very long ones are cut whole in the task that reads them, and
+an empty table gives no rows.
 Only the id and text columns are read. Ids are whole numbers.
 """
 

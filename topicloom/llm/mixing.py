@@ -9,7 +9,7 @@ no more than one document. Draws are hashes of the data, so reruns agree.
 
 Blocks hold about ``FAN`` documents whatever the size of the source, so a hot source is many blocks. Documents equal in
 id, source and size are one unit of several rows: its copies are dealt out evenly over them. A null text has no words,
-and a document without words is taken 0 times. Sources sort by code point, null last; an empty table gives no rows.
+a very long one counts whole, and a document without words is taken 0 times. Sources sort by code point, null last; an empty table gives no rows.
 Only the id, text and source columns are read.
 """
 

@@ -13,7 +13,8 @@ check follows: within each component of candidates the shingle sets are compared
 threshold or above are counted and joined to components: the classes of near duplicates.
 
 A text of fewer than five words has one shingle of all its words. Null and texts without words are never linked. Each
-row is a document of its own, in the order of the ids, null ids last. Only the id and text columns are read.
+row is a document of its own, in the order of the ids, null ids last. Very long texts
+are shingled whole and may meet in one batch of a task; an empty table gives no rows. Only the id and text columns are read.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ tried only there, anchored, so a text without keywords costs one pass. Runs of h
 and are found by their own pattern. Tokens that carry a checksum (the last six characters are the CRC-32 of the
 payload in base 62) count only if it holds.
 
-Null and empty texts give no spans. A row gives a row: repeated rows and null ids are kept as they are. Only the id
+Null and empty texts give no spans, very long ones are scanned whole, and an empty table gives no rows. A row gives a row: repeated rows and null ids are kept as they are. Only the id
 and text columns are read, so further columns cannot clash.
 """
 

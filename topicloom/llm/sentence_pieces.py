@@ -6,7 +6,8 @@ The library turns the text into ids; the byte lengths of the pieces, run over th
 piece its span of source bytes. The lengths must add up to the normalised text exactly, so a normalisation that
 differed from the library's would be noticed and not lead to wrong spans.
 
-Null and empty texts give no pieces. A row gives a row, whatever its id; only the id and text columns are read.
+Null and empty texts give no pieces, a very long one is encoded whole in one task, and an empty table gives no rows.
+A row gives a row, equal ones equal rows, whatever its id; only the id and text columns are read.
 """
 
 from __future__ import annotations
