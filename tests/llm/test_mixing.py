@@ -63,3 +63,14 @@ def test_mixed_rows_repeat_documents(spark, rows):
     words = {r.source: r.n for r in out.groupBy("source").agg(F.sum(mixing.words_in(F.col("text"))).alias("n")).collect()}
     taken = {r.source: r.n for r in mixing.taken_words(mixing.mixture(df)).groupBy("source").agg(F.sum("taken").alias("n")).collect()}
     assert {s: n for s, n in words.items() if n} == {s: n for s, n in taken.items() if n}
+
+
+def test_very_many_equal_rows(spark):
+    """A unit of more rows than a step, one of just a step, and one row: each row once, copies dealt out evenly."""
+    n = {None: 3 * mixing.STEP + 7, 1: mixing.STEP, 2: 1}
+    units = spark.createDataFrame([(i, 2, rows, 2 * rows + 5, 0, 1.0, "s") for i, rows in n.items()], "doc_id long, size long, rows long, copies long, source_size long, target double, source string")
+    got = {(r.doc_id, r.taken): r["count"] for r in mixing.taken_words(units).groupBy("doc_id", "taken").count().collect()}
+    want = {(2, 14): 1}
+    for i in (None, 1):
+        want |= {(i, 6): 5, (i, 4): n[i] - 5}
+    assert got == want

@@ -27,6 +27,8 @@ FAN = 64
 LIMIT = 3
 #: A source is cut into parts for the join if it holds more than this share of the units: so at most as many are hot.
 HOT = 256
+#: Numbers of the rows of a unit that one row holds at once.
+STEP = 1 << 12
 
 
 def words_in(text: Column) -> Column:
@@ -133,7 +135,11 @@ def taken_words(units: DataFrame) -> DataFrame:
     """A row for each document: the copies of a unit dealt out over its rows."""
     n = F.col("copies")
     own = F.floor(n / F.col("rows")) + F.when(F.col("i") <= F.pmod(n, F.col("rows")), 1).otherwise(0)
-    each = units.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    # Numbers come in two steps, so that a unit of very many rows is no array of as many numbers.
+    step, zero = F.lit(STEP), F.lit(0).cast("long")
+    runs = units.withColumn("run", F.explode(F.sequence(zero, F.floor((F.col("rows") - 1) / step))))
+    within = F.sequence(F.col("run") * step + 1, F.least("rows", (F.col("run") + 1) * step))
+    each = runs.withColumn("i", F.explode(within)).drop("run")
     return each.select("doc_id", "size", "source_size", "target", (own * F.col("size")).cast("long").alias("taken"), "source")
 
 
