@@ -24,3 +24,28 @@ def test_contents_of_files_are_neither_broadcast_nor_joined(spark, documents):
     rows = found.orderBy("position").collect()
     assert [r.position for r in rows] == list(range(1, 13)) and {r.level for r in rows} == {3}
     assert {r.n_chars for r in rows} == {len("# Title 1\nText of 1"), len("# Title 11\nText of 11")}
+
+
+HELD = "row long, weight long, slots array<long>, values array<double>"
+
+
+def test_groups_are_bounded_in_rows(spark, monkeypatch):
+    """A number is held for each row and centre of a group, also where rows have few entries."""
+    from topicloom.operators import clustering
+
+    monkeypatch.setattr(clustering, "ROWS", 10)
+    groups = clustering._group(spark.createDataFrame([(i, 1, [0], [float(i)]) for i in range(400)], HELD))
+    assert groups.groups == 40
+    assert groups.rows.groupBy("group").count().agg(F.max("count")).first()[0] < 40
+
+
+def test_a_pass_does_not_move_the_rows(spark):
+    from topicloom.operators import clustering
+
+    groups = clustering._group(spark.createDataFrame([(i, 1, [0, i], [1.0, 2.0]) for i in range(1, 50)], HELD), passes=True)
+    other = spark.createDataFrame([(0, 0)], "group int, x int")
+    moved = groups.rows.groupBy("group").cogroup(other.groupBy("group")).applyInArrow(lambda a, b: a.select(["row"]), "row long")
+    tree = plan(moved)
+    groups.rows.unpersist()
+    above = tree[:tree.index("InMemoryTableScan")]
+    assert "Exchange" not in above.split("FlatMapCoGroupsInArrow")[-1]
