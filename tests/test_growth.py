@@ -49,3 +49,19 @@ def test_a_pass_does_not_move_the_rows(spark):
     groups.rows.unpersist()
     above = tree[:tree.index("InMemoryTableScan")]
     assert "Exchange" not in above.split("FlatMapCoGroupsInArrow")[-1]
+
+
+def test_phrases_are_made_after_the_last_shuffle(spark):
+    from topicloom.operators import summary
+
+    data = [(1, f"f{i // 2}.md", f"one two three {i % 5}x - end", "a b") for i in range(20)]
+    df = spark.createDataFrame(data, "PredictedLabel int, File string, Title string, Top20Words string")
+    texts = summary.numbered_texts(df)
+    counts = summary.marked_counts(summary.marked_phrases(df, texts=texts))
+    found = summary.with_phrases(summary.rank_marked_phrases(counts), df, texts=texts)
+    lines = plan(found).split("\n")
+    # The phrase stands in the topmost projection, and every exchange below it.
+    assert not any("Exchange" in x for x in lines[:next(i for i, x in enumerate(lines) if "Join" in x)])
+    assert not any("array_join" in x for x in lines if "Exchange" in x)
+    plain = summary.rank_all_phrases(summary.phrase_counts(summary.phrases(df)))
+    assert {(r.phrase, r.cnt, r.weight, r.rn, r.first_seen) for r in found.collect()} == {(r.phrase, r.cnt, r.weight, r.rn, r.first_seen) for r in plain.collect()}
