@@ -39,6 +39,14 @@ def test_groups_are_bounded_in_rows(spark, monkeypatch):
     assert groups.rows.groupBy("group").count().agg(F.max("count")).first()[0] < 40
 
 
+def test_equal_rows_are_dealt_to_all_groups(spark, monkeypatch):
+    from topicloom.operators import clustering
+
+    monkeypatch.setattr(clustering, "ROWS", 10)
+    groups = clustering._group(spark.createDataFrame([(i, 1, [0, 1], [1.0, 0.0]) for i in range(400)], HELD))
+    assert groups.rows.groupBy("group").count().agg(F.max("count")).first()[0] < 40
+
+
 def test_a_pass_does_not_move_the_rows(spark):
     from topicloom.operators import clustering
 
