@@ -73,3 +73,40 @@ def test_phrases_are_made_after_the_last_shuffle(spark):
     assert not any("array_join" in x for x in lines if "Exchange" in x)
     plain = summary.rank_all_phrases(summary.phrase_counts(summary.phrases(df)))
     assert {(r.phrase, r.cnt, r.weight, r.rn, r.first_seen) for r in found.collect()} == {(r.phrase, r.cnt, r.weight, r.rn, r.first_seen) for r in plain.collect()}
+
+
+def _docs(spark):
+    from topicloom.schemas import DOCS
+
+    rows = [(f, f"title {i}", *[None] * 5, w) for i, (f, w) in enumerate([("d1", "spark spark join"), (None, "spark window"), ("d3", "join here")])]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def test_term_rows_meet_their_scores_without_a_sort(spark):
+    from topicloom.operators.skew import join_weighted
+
+    facts = spark.createDataFrame([("d1", "a"), ("d2", "a"), ("d2", "b"), ("d3", None)], "File string, word string")
+    lookup = spark.createDataFrame([("a", 2), ("b", 1), (None, 1)], "word string, n long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = join_weighted(facts, lookup, "word", "n", ["File"])
+        assert "ShuffledHashJoin" in plan(found) and "SortMergeJoin" not in plan(found)
+        assert sorted(tuple(r) for r in found.select("File", "word", "n").collect()) == [("d1", "a", 2), ("d2", "a", 2), ("d2", "b", 1)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_stored_term_rows_are_counted_once(spark, tmp_path):
+    """The sum of the weights and the join read one count of the rows; before, only the join left out null words."""
+    from topicloom.operators import terms
+
+    docs = _docs(spark).select("File", "Words")
+    terms.term_frequency(docs).write.parquet(f"{tmp_path}/tf")
+    tf = spark.read.parquet(f"{tmp_path}/tf")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = terms.tf_idf(tf, docs)
+        assert sum("FileScan parquet" in line for line in plan(found).splitlines()) == 2
+        assert found.count() == 6
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
