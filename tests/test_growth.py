@@ -110,3 +110,17 @@ def test_stored_term_rows_are_counted_once(spark, tmp_path):
         assert found.count() == 6
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_model_input_splits_the_texts_once(spark):
+    """The join by file tests it for null; that must not reach one of the two uses of the term rows."""
+    from topicloom.plans.rank import model_input
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = model_input(_docs(spark))
+        assert plan(found).count("Generate explode(CASE") == 1, plan(found)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    rows = {r.File: (r.Top20Words, r.WordCount) for r in found.collect()}
+    assert rows == {"d1": ("spark join", 3), "d3": ("here join", 2)}
