@@ -124,3 +124,12 @@ def test_model_input_splits_the_texts_once(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     rows = {r.File: (r.Top20Words, r.WordCount) for r in found.collect()}
     assert rows == {"d1": ("spark join", 3), "d3": ("here join", 2)}
+
+
+def test_words_are_cleaned_and_trimmed_without_arrays_and_branches(spark):
+    from topicloom.functions.text import clean_words, trim_space
+
+    docs = spark.createDataFrame([("  Read, the DataFrame API\ndocs \U0001F600x ",)], "s string")
+    found = docs.select(clean_words("s").alias("w"), trim_space("s").alias("t"))
+    assert "lambda" not in plan(found) and "|" not in plan(found)
+    assert tuple(found.first()) == ("Read the docs x", "Read, the DataFrame API\ndocs \U0001F600x")
