@@ -133,3 +133,27 @@ def test_words_are_cleaned_and_trimmed_without_arrays_and_branches(spark):
     found = docs.select(clean_words("s").alias("w"), trim_space("s").alias("t"))
     assert "lambda" not in plan(found) and "|" not in plan(found)
     assert tuple(found.first()) == ("Read the docs x", "Read, the DataFrame API\ndocs \U0001F600x")
+
+
+def test_second_distances_have_no_row_for_each_entry_and_cluster(spark):
+    from topicloom.catalog.clustering import _distances
+    from topicloom.operators.clustering import Model
+
+    held = spark.createDataFrame([(0, 1, [0, 1], [3.0, 4.0]), (1, 1, [5], [1.0]), (2, 1, [], [])], HELD)
+    centres = spark.createDataFrame([(0, 0, 3.0), (2, 1, 4.0), (2, 5, 1.0)], "cluster int, slot long, value double")
+    model = Model(centres, spark.createDataFrame([(i, 1, 0.0) for i in range(3)], "cluster int, rows long, square double"))
+    found = _distances(held, model)
+    assert "sum((value" in plan(found) and "keys=[row#" in plan(found)
+    assert not any("keys=[row#" in line and "cluster#" in line for line in plan(found).splitlines())
+    got = {(r.row, r.cluster): r.distance for r in found.collect()}
+    far = {(0, 0): 4.0, (0, 1): 5.0, (0, 2): 10**0.5, (1, 0): 10**0.5, (1, 1): 1.0, (1, 2): 4.0, (2, 0): 3.0, (2, 1): 0.0, (2, 2): 17**0.5}
+    assert got == pytest.approx(far)
+
+
+def test_second_distances_of_no_clusters(spark):
+    from topicloom.catalog.clustering import _distances
+    from topicloom.operators.clustering import Model
+
+    held = spark.createDataFrame([(0, 1, [0], [1.0])], HELD)
+    empty = Model(spark.createDataFrame([], "cluster int, slot long, value double"), spark.createDataFrame([], "cluster int, rows long, square double"))
+    assert _distances(held, empty).count() == 0
