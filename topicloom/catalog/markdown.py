@@ -38,6 +38,10 @@ LEVELS = {"hash": 1, "underline": 2}
 # Marks of inline parts, control characters and odd spaces, and the sign of an address.
 BLANKED = r'[`\[\]()<>\\"~_*#\x00-\x09\x0B-\x1F\x7F-\x9F\p{Z}]|://'
 
+# The characters of BLANKED one by one: the regex engine looks them up in one table and takes a call for each range otherwise.
+_CONTROLS = "".join(rf"\x{i:02X}" for i in (*range(0x0A), *range(0x0B, 0x20), *range(0x7F, 0xA0)))
+_BLANKED_CHARACTERS = rf'[`\[\]()<>\\"~_*#{_CONTROLS}\p{{Z}}]'
+
 ALL = list(KINDS)
 CODE = ["paragraph", "fence", "indent", "inline"]
 LINKS = ["paragraph", "link", "image", "bare", "definition", "reference"]
@@ -46,7 +50,7 @@ CONTAINERS = ["quote", "table", "item", "paragraph"]
 
 def lines(spark, sf_dir):
     """(File, ls): the usable lines of each document, in order."""
-    allowed = F.regexp_replace("text", BLANKED, " ")
+    allowed = F.regexp_replace(F.replace("text", F.lit("://"), F.lit(" ")), _BLANKED_CHARACTERS, " ")
     usable = F.filter(F.split(allowed, "\n"), lambda line: line.rlike("[A-Za-z]"))
     ready = F.transform(usable, title_trim)
     found = c.texts(spark, sf_dir).select("File", ready.alias("ls"))
