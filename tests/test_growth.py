@@ -157,3 +157,44 @@ def test_second_distances_of_no_clusters(spark):
     held = spark.createDataFrame([(0, 1, [0], [1.0])], HELD)
     empty = Model(spark.createDataFrame([], "cluster int, slot long, value double"), spark.createDataFrame([], "cluster int, rows long, square double"))
     assert _distances(held, empty).count() == 0
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffles_behind_a_stored_table_go(spark):
+    import time
+
+    from topicloom.session import materialize
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, asked = _shuffle_files(spark), spark.conf.get(setting, None)
+    stored = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().orderBy("k"), "few")
+    assert [r["k"] for r in stored.orderBy("k").collect()] == list(range(7))
+    assert spark.conf.get(setting, None) == asked
+    stored = materialize(spark.range(1000).groupBy((F.col("id") % 5).alias("k")).count(), "few")
+    until = time.time() + 20
+    while len(_shuffle_files(spark) - before) > 12 and time.time() < until:
+        time.sleep(0.2)
+    # What the collected sort left, and nothing of the stored tables.
+    assert len({x.split("_")[1] for x in _shuffle_files(spark) - before}) <= 1
+
+
+def test_sorted_copies_and_released_tables_are_deleted(spark, monkeypatch, tmp_path):
+    import os
+
+    from topicloom import session
+    from topicloom.operators import ranking, summary
+
+    made = []
+    monkeypatch.setattr(session, "work_dir", lambda spark, name: made.append(f"{tmp_path}/{len(made)}-{name}") or made[-1])
+    data = [(1, f"f{i // 2}.md", f"one two three {i % 5}x - end", "a b") for i in range(20)]
+    df = spark.createDataFrame(data, "PredictedLabel int, File string, Title string, Top20Words string")
+    texts = summary.numbered_texts(df)
+    assert sorted(x.split("-", 1)[1] for x in os.listdir(tmp_path)) == ["phrase-texts"] and texts.count() == 20
+    session.release(texts)
+    session.release(texts)
+    assert os.listdir(tmp_path) == []
+    assert ranking.number_rows(df, [], ["File", "Title"]).count() == 20
