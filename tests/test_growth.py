@@ -198,3 +198,85 @@ def test_sorted_copies_and_released_tables_are_deleted(spark, monkeypatch, tmp_p
     session.release(texts)
     assert os.listdir(tmp_path) == []
     assert ranking.number_rows(df, [], ["File", "Title"]).count() == 20
+
+
+def test_grams_have_a_row_for_each_group_and_not_for_each_text(spark):
+    """Rows of odd texts get the weights of the grams that SQL makes of them."""
+    from topicloom.operators.features import LEAST_GROUPS, counted_grams, distinct_texts, gram_rows, text_key, vectors, vocabulary
+    from topicloom.schemas import FEATURE_TEXTS
+
+    odd = ["Same words here", None, "", "ab", " two  gaps ", "ÄÖ été 日本語", "aaaa aaaa b"]
+    data = [(odd[i % 7], *[odd[(i + j) % 7] for j in range(1, 6)], "same words here" if i < 190 else None) for i in range(200)] + [(None,) * 7]
+    rows = spark.createDataFrame(data, ", ".join(f"{n} string" for n in FEATURE_TEXTS))
+    texts = distinct_texts(rows)
+    counted = counted_grams(texts)
+    terms = vocabulary(counted)
+    wanted = {}
+    keyed = rows.withColumn("key", text_key()).distinct()
+    for r in gram_rows(keyed, key="key").groupBy("key", "name", "kind", "gram").count().collect():
+        wanted.setdefault(r["key"], {}).setdefault((r["name"], r["kind"]), {})[r["gram"]] = r["count"]
+    slots = {r["term"]: r for r in terms.collect()}
+    assert counted.count() <= LEAST_GROUPS * len(slots)
+    assert set(slots) == {f"{n}:{k}:{g}" for blocks in wanted.values() for (n, k), grams in blocks.items() for g in grams}
+    held = {r["key"]: r for r in vectors(texts, counted, terms).collect()}
+    assert set(held) == {r["key"] for r in keyed.collect()} and sum(r["weight"] for r in held.values()) == 201
+    for key, r in held.items():
+        own = {}
+        for (n, k), grams in wanted.get(key, {}).items():
+            length = sum(x * x for x in grams.values()) ** 0.5
+            own |= {slots[f"{n}:{k}:{g}"]["slot"]: x / length for g, x in grams.items()}
+        assert r["slots"] == sorted(own) and dict(zip(r["slots"], r["values"])) == pytest.approx(own)
+    assert sum(len(r["slots"]) for r in held.values()) == sum(t["rows"] for t in slots.values())
+
+
+def test_rows_and_sums_are_packed_without_loss():
+    import numpy as np
+
+    from topicloom.operators import clustering
+
+    rng = np.random.default_rng(0)
+    cases = [([], []), ([7], [1.5]), ([0, 2**40], [-1.0, 0.1]), ([0, -1, -2], [1.0, float("nan"), 2.0]), (np.arange(1000) * 3, np.tile([0.5, 0.25], 500)), (np.arange(64), rng.standard_normal(64))]
+    for slots, values in cases:
+        slots, values = np.array(slots, np.int64), np.array(values, np.float64)
+        got = clustering._unpack(clustering._pack(slots, values))
+        assert (got[0] == slots).all() and got[1].tobytes() == values.tobytes()
+    # Slots of one row each: 19 equal totals a slot take few bytes.
+    slots, centres = np.repeat(np.arange(500) * 11, 19), np.tile(np.arange(19) * 10, 500)
+    totals = np.repeat(rng.integers(-2**50, 2**50, 500), 19)
+    packed = clustering._pack_sums(slots, centres, totals)
+    got = clustering._unpack_sums(packed)
+    assert all((a == b).all() for a, b in zip(got, (slots, centres, totals))) and len(packed) < len(slots) * 2
+    assert [len(x) for x in clustering._unpack_sums(clustering._pack_sums(slots[:0], centres[:0], totals[:0]))] == [0, 0, 0]
+
+
+def test_distances_of_slots_that_many_rows_hold():
+    import numpy as np
+
+    from topicloom.operators import clustering
+
+    rng = np.random.default_rng(1)
+    n, m, slots = 200, 30, 80
+    held = rng.random((n, slots)) < np.linspace(0.02, 1, slots)
+    x, centres = rng.random((n, slots)) * held, rng.random((m, slots))
+    of, at = np.nonzero(held)
+    place, centre = np.repeat(np.arange(slots, dtype=np.int32), m), np.tile(np.arange(m, dtype=np.int32), slots)
+    rows = (held.sum(axis=1), np.arange(slots), at.astype(np.int32), x[of, at])
+    got = clustering._squares(rows, (np.arange(slots), place, centre, centres.T.ravel()), np.ones(m), (centres**2).sum(axis=1))
+    assert np.allclose(got, ((x[:, None] - centres[None]) ** 2).sum(axis=2))
+
+
+@pytest.mark.parametrize("metric", ["distance", "silhouette"])
+def test_a_fit_leaves_the_tables_of_its_model_only(spark, monkeypatch, tmp_path, metric):
+    import os
+
+    from topicloom import session
+    from topicloom.operators import clustering
+
+    made = []
+    monkeypatch.setattr(session, "work_dir", lambda spark, name: made.append(f"{tmp_path}/{len(made)}-{name}") or made[-1])
+    rows = spark.createDataFrame([(i, 1, [i % 3, 3 + i % 5], [1.0, 0.1 * i]) for i in range(40)], HELD)
+    found = clustering.sweep(rows, [2, 3], metric=metric)
+    left = sorted(x.split("-", 1)[1] for x in os.listdir(tmp_path))
+    assert [x for x in left if x.startswith("model-")] == ["model-centres", "model-clusters"]
+    assert not {"centres", "seeds", "nearest", "needed-slots", "hot-slots"} & set(left)
+    assert clustering.scored(rows, found.model).count() == 40
